@@ -20,23 +20,38 @@ SPAN_TYPE = "array<struct<start:int,n:int>>"
 def fixed_part(value: Column) -> Column:
     """Text before the first ``[`` or ``|`` (the payload is glued to the
     last fixed field, so the line is cut before it is split)."""
-    return F.try_element_at(F.split(value, r"[\[|]", 2), F.lit(1))
+    return F.substring_index(F.substring_index(value, L.PAYLOAD_START, 1), L.RECORD_END, 1)
 
 
 def field_array(value: Column) -> Column:
-    """``;``-split fixed part; trailing blanks kept (limit -1)."""
+    """``;``-split fixed part; trailing blanks kept (limit -1).  Use it when
+    many fields are needed; ``field_at`` reads one without the array."""
     return F.split(fixed_part(value), L.FIELD_SEP, -1)
 
 
-def field(fields: Column, position: int | Column, type_: str = "string") -> Column:
-    """Field at a 1-based position, typed with ``try_cast`` (blank -> null
-    for numbers).  Out-of-range positions give null."""
-    raw = F.get(fields, position - 1 if isinstance(position, int) else position - F.lit(1))
+def _typed(raw: Column, type_: str) -> Column:
     if type_ == "string":
         return raw
     return F.when(raw != "", raw).try_cast(type_)
 
 
+def field(fields: Column, position: int | Column, type_: str = "string") -> Column:
+    """Field at a 1-based position of a ``field_array``, typed with
+    ``try_cast`` (blank -> null for numbers).  Out of range gives null."""
+    raw = F.get(fields, position - 1 if isinstance(position, int) else position - F.lit(1))
+    return _typed(raw, type_)
+
+
+def field_at(value: Column, position: int, type_: str = "string") -> Column:
+    """One field of the raw record text by 1-based position, without
+    splitting the whole line; null when the record is shorter."""
+    head = fixed_part(value)
+    n_sep = F.length(head) - F.length(F.replace(head, F.lit(L.FIELD_SEP), F.lit("")))
+    raw = F.when(n_sep >= position - 1,
+                 F.substring_index(F.substring_index(head, L.FIELD_SEP, position), L.FIELD_SEP, -1))
+    return _typed(raw, type_)
+
+
 def has_payload(value: Column) -> Column:
     return F.instr(value, L.PAYLOAD_START) > 0
 

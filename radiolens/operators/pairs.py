@@ -50,13 +50,17 @@ def serving_pairs(records: DataFrame, *, missing_serving: str = "drop",
                 .otherwise(meas)
     else:
         s = F.coalesce(found, F.lit(-1.0))
-    rows = (reps.withColumn("s", s).withColumn("_meas", meas)
+    reps = reps.withColumn("s", s)
+    if missing_serving == "drop":
+        # The pair filter is applied to the array, not to the exploded rows:
+        # a row filter on ``s`` would be pushed below the generator and
+        # re-evaluate the whole decode there.
+        meas = F.when(D.valid_serving(F.col("s")), meas)
+    rows = (reps.withColumn("_meas", meas)
             .select(*keep, "report_pos", "serving_cell", "s", F.explode_outer("_meas").alias("_m"))
             .where(F.col("_m").isNotNull()))
     pairs = rows.select(*keep, "serving_cell", F.col("_m")["cell"].alias("neighbor_cell"),
                         "s", F.col("_m")["rsrp"].alias("n"))
-    if missing_serving == "drop":
-        pairs = pairs.where(D.valid_serving(F.col("s")))
     return pairs
 
 
@@ -74,8 +78,10 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     """
     o = F.struct(*[F.col(c) for c in order])
     v = F.col(value).cast("double")
+    # rows without a cell are no measurements; dropping them first keeps both
+    # uses of ``per_cell`` identical, so Spark computes it (and its shuffle) once
     base = df.select(F.col(report).alias("_r"), F.col(cell).alias("_c"), v.alias("_v"),
-                     o.alias("_o"), *[F.col(k) for k in keep])
+                     o.alias("_o"), *[F.col(k) for k in keep]).where(F.col("_c").isNotNull())
     kept = [F.first(F.col(k)).alias(k) for k in keep]
     # Per (report, cell): last non-null value (last wins, blanks never
     # override) and the first position of the cell.  Partial aggregation.
@@ -96,7 +102,7 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
         s = F.coalesce(F.col("s"), F.lit(-1.0))
     else:
         raise ValueError("tabular pairs support 'drop' and 'sentinel'")
-    meas = per_cell.where(F.col("_c").isNotNull() & F.col("n").isNotNull())
+    meas = per_cell.where(F.col("n").isNotNull())
     return meas.join(rep, "_r").select(
         *keep, "serving_cell", F.col("_c").alias("neighbor_cell"), s.alias("s"), "n")
 

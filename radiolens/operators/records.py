@@ -45,7 +45,7 @@ def reports(df: DataFrame, *, which: str = "all", value: str = "value",
     # measurements are computed once per row, not once per lambda call.
     rec = df.select(
         "*",
-        F.get(D.field_array(v), serving_field - 1).alias("serving_cell"),
+        D.field_at(v, serving_field).alias("serving_cell"),
         D.payload_tokens(v).alias("_tokens"),
     ).withColumn("_walk", D.report_walk(F.col("_tokens")))
     spans = F.col("_walk")["spans"]

@@ -37,7 +37,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     """``l_orderkey, lines`` with the order's lines sorted by the report
     order (struct ordering = linenumber, partkey, suppkey, quantity, ...)."""
     ln = F.struct(*[F.col(c) for c in LINE_FIELDS])
-    return lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(ln)).alias("lines"))
+    return lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(ln)).alias("lines"))
 
 
 def _rsrp_text(ln: Column, blank_returnflag: str | None) -> Column:

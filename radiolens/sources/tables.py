@@ -55,7 +55,9 @@ POST_SCHEMA = T.StructType(_POST_CORE + [
     T.StructField("retweeted_status", T.StructType(_POST_CORE)),
 ])
 
-POST_TIME_FORMAT = "EEE MMM dd HH:mm:ss Z yyyy"
+# posts carry "EEE MMM dd HH:mm:ss Z yyyy"; Spark does not parse day-of-week
+# names, so the leading "EEE " is cut off before parsing the rest
+POST_TIME_FORMAT = "MMM dd HH:mm:ss Z yyyy"
 
 
 def read_points(spark: SparkSession, path: str, *, header: bool,
@@ -70,7 +72,7 @@ def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines posts with the pinned nested schema; ``created_ts`` parsed."""
     df = spark.read.schema(POST_SCHEMA).json(path)
     return df.withColumn("created_ts",
-                         F.try_to_timestamp(F.col("created_at"), F.lit(POST_TIME_FORMAT)))
+                         F.try_to_timestamp(F.substring("created_at", 5, 64), F.lit(POST_TIME_FORMAT)))
 
 
 def post_mentions(posts: DataFrame) -> DataFrame:
