@@ -102,7 +102,9 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
         s = F.coalesce(F.col("s"), F.lit(-1.0))
     else:
         raise ValueError("tabular pairs support 'drop' and 'sentinel'")
-    meas = per_cell.where(F.col("n").isNotNull())
+    # Both uses of per_cell read the same aggregate columns (``_first`` too),
+    # so the two branches are one plan and Spark reuses its shuffle.
+    meas = per_cell.where(F.col("n").isNotNull() & F.col("_first").isNotNull())
     return meas.join(rep, "_r").select(
         *keep, "serving_cell", F.col("_c").alias("neighbor_cell"), s.alias("s"), "n")
 
@@ -135,3 +137,15 @@ def synthetic_pairs(df: DataFrame, *, offset: float = -L.RSRP_MIN, clamp: bool =
             .select(*keep, "serving_cell", F.col("_m")["cell"].alias("neighbor_cell"),
                     D.offset_clamp(F.col("_s"), offset, clamp).alias("s"),
                     D.offset_clamp(F.col("_m")["v"], offset, clamp).alias("n")))
+
+
+def record_pairs(records: DataFrame, *, fmt: str = "real", **options) -> DataFrame:
+    """Format dispatch: pairs of real (``;``) or synthetic (``,``) records,
+    both with the pair schema ``serving_cell, neighbor_cell, s, n``.  The
+    canonical server-value filter applies to both formats."""
+    if fmt == "real":
+        return serving_pairs(records, **options)
+    if fmt == "synthetic":
+        keep = options.pop("keep", ())
+        return synthetic_pairs(records, keep=keep, **options).where(D.valid_serving(F.col("s")))
+    raise ValueError("fmt must be 'real' or 'synthetic'")

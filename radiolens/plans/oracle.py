@@ -247,3 +247,16 @@ SELECT t.window_start, serving_cell, neighbor_cell, count(*) AS cnt,
        {R('sum(s * n)', 'sum_sn')}, {R('sum(n * n)', 'sum_nn')}
 FROM p JOIN t ON p.o = t.o
 GROUP BY t.window_start, serving_cell, neighbor_cell"""
+
+_Q = "''"   # one quote inside an SQL string literal
+SQL["tuple_text"] = f"""WITH {_STATS_CTE},
+lg AS ({_long('st', 1, 1)})
+SELECT kind, measured_cell_1, measured_cell_2,
+       '(' || case_id || ', ' || rnp_simulation_id || ', {_Q}' || kind || '{_Q}, {_Q}' || cell
+       || '{_Q}, {_Q}' || measured_cell_1 || '{_Q}, {_Q}' || measured_cell_2 || '{_Q}, '
+       || value::VARCHAR || ', ' || cnt || ')' AS line
+FROM lg"""
+
+SQL["record_times"] = f"""WITH {_record_cols()}
+SELECT o AS record_id, (epoch_ms(day0) + (pk0 * 60000) % 86400000)::BIGINT AS event_ms
+FROM rec"""

@@ -126,6 +126,12 @@ def q_measurements(spark, sf):
                        "rsrp", "serving_cell", "parse_error"))
 
 
+def q_record_times(spark, sf):
+    """Event time of every record from fields 5, 6 and 8 (P15)."""
+    f = records.fields(_records(spark, sf), {"record_id": (2, "bigint")})
+    return records.event_time(f).select("record_id", F.unix_millis("event_ts").alias("event_ms"))
+
+
 def q_bearers(spark, sf):
     b = records.bearers(_records(spark, sf))
     return b.select(F.col("l_orderkey").alias("record_id"), "bearer_pos", "bearer_count",
@@ -154,6 +160,13 @@ def q_long_stats(spark, sf):
     return (sinks.to_long(_tab_stats(spark, sf), 1, 1))
 
 
+def q_tuple_text(spark, sf):
+    """Tuple-text export line per long row (K2)."""
+    long_df = sinks.to_long(_tab_stats(spark, sf), 1, 1)
+    return long_df.select("kind", "measured_cell_1", "measured_cell_2",
+                          sinks.tuple_line().alias("line"))
+
+
 def q_report_text(spark, sf):
     return sinks.report_lines((_tab_stats(spark, sf)))
 
@@ -276,9 +289,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "field_stats": q_field_stats,
     "decode_fields": q_decode_fields,
     "measurements": q_measurements,
+    "record_times": q_record_times,
     "bearers": q_bearers,
     "bearer_filters": q_bearer_filters,
     "long_stats": q_long_stats,
+    "tuple_text": q_tuple_text,
     "report_text": q_report_text,
     "replace_partition": q_replace_partition,
     "edges": q_edges,
