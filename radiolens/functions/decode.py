@@ -45,10 +45,16 @@ def field(fields: Column, position: int | Column, type_: str = "string") -> Colu
 def field_at(value: Column, position: int, type_: str = "string") -> Column:
     """One field of the raw record text by 1-based position, without
     splitting the whole line; null when the record is shorter."""
-    head = fixed_part(value)
-    n_sep = F.length(head) - F.length(F.replace(head, F.lit(L.FIELD_SEP), F.lit("")))
-    raw = F.when(n_sep >= position - 1,
-                 F.substring_index(F.substring_index(head, L.FIELD_SEP, position), L.FIELD_SEP, -1))
+    # The field exists when the line has position-1 separators and the last
+    # of them lies before the payload (the payload also holds separators).
+    if position == 1:
+        exists = F.lit(True)
+    else:
+        before = F.substring_index(value, L.FIELD_SEP, position - 1)
+        exists = ((F.length(before) < F.length(value))
+                  & (F.instr(before, L.PAYLOAD_START) == 0) & (F.instr(before, L.RECORD_END) == 0))
+    cell = F.substring_index(F.substring_index(value, L.FIELD_SEP, position), L.FIELD_SEP, -1)
+    raw = F.when(exists, fixed_part(cell))
     return _typed(raw, type_)
 
 
@@ -96,7 +102,14 @@ def report_walk(tokens: Column) -> Column:
         return F.when(~at_head, acc).when(bad, stop).otherwise(take)
 
     idx = F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    return F.aggregate(F.slice(idx, 1, F.size(tokens)), init, step)
+    walk = F.aggregate(F.slice(idx, 1, F.size(tokens)), init, step)
+    # Fast path, same result: when the first count's report reaches the end
+    # of the payload, there is exactly one report and no fold is needed.
+    n0 = F.get(tokens, 0).try_cast("int")
+    single = n0.isNotNull() & (n0 >= 0) & (1 + n0 * L.MEAS_WIDTH >= F.size(tokens))
+    one = F.struct((1 + n0 * L.MEAS_WIDTH).alias("next"), F.lit(True).alias("ok"),
+                   F.array(F.struct(F.lit(0).alias("start"), n0.alias("n"))).alias("spans"))
+    return F.when(single, one).otherwise(walk)
 
 
 def span_measurements(tokens: Column, span: Column) -> Column:
@@ -118,20 +131,24 @@ def span_measurements(tokens: Column, span: Column) -> Column:
     return F.transform(idx, meas)
 
 
+def typed(meas: Column) -> Column:
+    """Add the numeric RSRP (``try_cast``, once per measurement)."""
+    return F.transform(meas, lambda m: F.struct(
+        m["f1"].alias("f1"), m["cell"].alias("cell"), m["rsrp_raw"].alias("rsrp_raw"),
+        m["rsrp_raw"].try_cast("double").alias("rsrp"), m["f4"].alias("f4")))
+
+
 def usable(meas: Column) -> Column:
-    """Drop measurements with a blank cell or a blank RSRP; type the RSRP.
-    A non-numeric RSRP is dropped too (see ``bad_rsrp``)."""
-    kept = F.filter(meas, lambda m: (m["cell"] != "") & (m["rsrp_raw"] != "")
-                    & m["rsrp_raw"].try_cast("double").isNotNull())
+    """Of ``typed`` measurements, keep those with a cell and a numeric RSRP
+    (blank cell or blank RSRP: skipped; non-numeric RSRP: see ``bad_rsrp``)."""
+    kept = F.filter(meas, lambda m: (m["cell"] != "") & m["rsrp"].isNotNull())
     return F.transform(kept, lambda m: F.struct(
-        m["f1"].alias("f1"), m["cell"].alias("cell"),
-        m["rsrp_raw"].try_cast("double").alias("rsrp"), m["f4"].alias("f4")))
+        m["f1"].alias("f1"), m["cell"].alias("cell"), m["rsrp"].alias("rsrp"), m["f4"].alias("f4")))
 
 
 def bad_rsrp(meas: Column) -> Column:
-    """True when some measurement has a non-blank RSRP that is no number."""
-    return F.exists(meas, lambda m: (m["cell"] != "") & (m["rsrp_raw"] != "")
-                    & m["rsrp_raw"].try_cast("double").isNull())
+    """Of ``typed`` measurements: some non-blank RSRP is not a number."""
+    return F.exists(meas, lambda m: (m["cell"] != "") & (m["rsrp_raw"] != "") & m["rsrp"].isNull())
 
 
 def last_wins(meas: Column) -> Column:

@@ -61,7 +61,7 @@ def reports(df: DataFrame, *, which: str = "all", value: str = "value",
     exploded = rec.select("*", F.posexplode_outer("_spans").alias("report_pos", "_span")) \
                   .where(F.col("report_pos").isNotNull())
     out = (exploded
-           .withColumn("_raw", D.span_measurements(F.col("_tokens"), F.col("_span")))
+           .withColumn("_raw", D.typed(D.span_measurements(F.col("_tokens"), F.col("_span"))))
            .withColumn("parse_error", F.col("parse_error") | D.bad_rsrp(F.col("_raw")))
            .withColumn("_use", D.usable(F.col("_raw")))
            .withColumn("meas", D.last_wins(F.col("_use")))
