@@ -4,7 +4,7 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints one JSON line.  A query is timed to full
 materialisation with the ``noop`` sink (every row computed, nothing
 collected on the driver).  Each query runs once cold, then ``$BENCH_REPS``
-(default 2) warm times; the reported time is the best warm run.
+(default 3) warm times; the reported time is the best warm run.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def run(spark, name: str, sf: str) -> float:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "2"))
+    reps = int(os.environ.get("BENCH_REPS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus))
     cold, warm = {}, {}

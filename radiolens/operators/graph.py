@@ -89,7 +89,8 @@ def _same(e1: DataFrame, e2: DataFrame) -> bool:
     return e1.exceptAll(e2).isEmpty() and e2.exceptAll(e1).isEmpty()
 
 
-def components(node_df: DataFrame, edges: DataFrame, *, max_rounds: int = 200) -> DataFrame:
+def components(node_df: DataFrame, edges: DataFrame, *, max_rounds: int = 200,
+               report: dict | None = None) -> DataFrame:
     """Connected components, edge direction ignored, isolated nodes kept.
 
     Returns ``node, component`` where ``component`` is the smallest node id
@@ -97,16 +98,19 @@ def components(node_df: DataFrame, edges: DataFrame, *, max_rounds: int = 200) -
     the loop stops when a round leaves the edge set unchanged -- checked by
     a fingerprint each round and confirmed exactly once it matches.
     ``max_rounds`` only guards against a non-converging input; reaching it
-    raises instead of returning a partial answer.
+    raises instead of returning a partial answer.  ``report``, if given,
+    receives the number of rounds.
     """
     e = _save(_undirected(edges))
     sig = _signature(e)
-    for _ in range(max_rounds):
+    for rnd in range(1, max_rounds + 1):
         nxt = _save(_small_star(_large_star(e)))
         nsig = _signature(nxt)
         done = nsig == sig and _same(nxt, e)
         e, sig = nxt, nsig
         if done:
+            if report is not None:
+                report["rounds"] = rnd
             break
     else:
         raise RuntimeError("connected components did not converge")
