@@ -5,7 +5,9 @@ in-row expressions as the batch path, pairs get their event time from the
 record (fields 5, 6, 8), and per (event-time window, pair) only the
 mergeable sums are kept as state.  The watermark bounds the state: a
 window's state is dropped once the watermark passes it, and rows later
-than the watermark are ignored.
+than the watermark are ignored (Spark judges an input row against the
+watermark of the previous micro-batch, so a row is dropped at the latest
+one batch after it became late; rows within the delay are always kept).
 
 The sink is an append-only parquet log written by ``foreachBatch`` in
 update mode: every batch appends the windows it changed, tagged with the
@@ -33,9 +35,13 @@ def stream_pairs(stream_records: DataFrame, *, value: str = "value") -> DataFram
 
 def stream_pair_sums(stream_pairs_df: DataFrame, *, window: str, watermark: str) -> DataFrame:
     """Per tumbling event-time window and pair: count and sums (A2 state)."""
-    p = stream_pairs_df.withWatermark("event_ts", watermark) \
-                       .withColumn("window", F.window("event_ts", window))
-    sums = moments.pair_partials(p, by=["window"])
+    # The window must be a grouping expression over the watermarked column
+    # itself; only then can Spark drop late rows and evict closed windows.
+    p = stream_pairs_df.withWatermark("event_ts", watermark)
+    s, n = F.col("s"), F.col("n")
+    sums = p.groupBy(F.window("event_ts", window).alias("window"), *moments.PAIR_KEYS).agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum(s).alias("sum_s"), F.sum(n).alias("sum_n"),
+        F.sum(s * s).alias("sum_ss"), F.sum(s * n).alias("sum_sn"), F.sum(n * n).alias("sum_nn"))
     return sums.select(F.col("window.start").alias("window_start"),
                        F.col("window.end").alias("window_end"),
                        "serving_cell", "neighbor_cell", *moments.SUM_COLS)

@@ -26,3 +26,35 @@ def test_stream_equals_batch(spark, tmp_dir):
         *moments.SUM_COLS)
     assert got == {tuple(r) for r in batch.collect()}
     assert len(got) > 0
+
+
+def test_watermark_drops_late_rows(spark, tmp_dir):
+    """Rows older than the watermark are ignored; earlier windows stay."""
+    import os
+    import time
+
+    from conftest import record_line
+
+    def rec(day, ms, rsrp):
+        return record_line(serving="A", payload=f"[1;7;A;{rsrp};1|",
+                           fields={5: day, 6: "2014", 8: str(ms)})
+
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    # Spark judges late input against the previous batch's watermark, so
+    # the late row comes two batches after the one that moved the watermark.
+    batches = [
+        [rec("03:26", 61_200_000, 40)],            # 17:00 on day 26
+        [rec("03:27", 61_200_000, 42)],            # a day later: watermark moves past day 26
+        [rec("03:27", 63_000_000, 43)],            # 17:30 on day 27, same window
+        [rec("03:26", 61_300_000, 44)],            # late for the day-26 window: dropped
+    ]
+    for i, lines in enumerate(batches):
+        with open(os.path.join(src, f"part-{i}.txt"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+        os.utime(os.path.join(src, f"part-{i}.txt"), (1_000_000 + i, 1_000_000 + i))
+        time.sleep(0.01)
+    out = pair_sums.run_available(spark, src, f"{tmp_dir}/out", window="1 hour",
+                                  watermark="1 hour", max_files_per_trigger=1)
+    got = sorted((r.window_start.day, r.cnt, r.sum_s) for r in out.collect())
+    assert got == [(26, 1, 40.0), (27, 2, 85.0)]
