@@ -1,2 +1,2 @@
 """DataFrame operators: records, pairs, moments, graph, sinks."""
-from . import graph, moments, pairs, records, sinks  # noqa: F401
+from . import graph, joins, moments, pairs, records, sinks  # noqa: F401

@@ -1,6 +1,8 @@
 """Cell-interference graph: edges, nodes, connected components, summary.
 
-Edges and node totals are aggregates and equi-joins.  Components use the
+Edges and node totals are aggregates and equi-joins; every join of a
+large side with a one-row-per-key side splits hot keys (a hub cell) over
+several tasks (``joins.join_one_per_key``).  Components use the
 alternating large-star / small-star rounds of Kiveris et al. ("Connected
 Components in MapReduce and Beyond", SoCC 2014): every round is a
 ``groupBy(min)`` (map-side combined) and one equi-join, and it converges
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..session import shared_dir
+from .joins import join_one_per_key
 
 
 def interference_edges(stats: DataFrame, *, threshold: float = L.EDGE_THRESHOLD) -> DataFrame:
@@ -25,8 +28,9 @@ def interference_edges(stats: DataFrame, *, threshold: float = L.EDGE_THRESHOLD)
     nonself = stats.where(F.col("serving_cell") != F.col("neighbor_cell")) \
                    .select(F.col("serving_cell").alias("src"),
                            F.col("neighbor_cell").alias("dst"), "cnt")
-    totals = nonself.groupBy("src").agg(F.sum("cnt").alias("total"))
-    return (nonself.join(totals, "src")
+    totals = nonself.groupBy("src").agg(F.sum("cnt").alias("total"),
+                                        F.count(F.lit(1)).alias("_deg"))
+    return (join_one_per_key(nonself, totals, "src", counts="_deg")
             .where(F.col("cnt").cast("double") > F.col("total").cast("double") * F.lit(float(threshold)))
             .select("src", "dst", "cnt", "total"))
 
@@ -51,9 +55,9 @@ def _large_star(e: DataFrame) -> DataFrame:
     # link every larger neighbour v > u to m(u)
     sym = e.select(F.col("a").alias("u"), F.col("b").alias("v")) \
            .union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    m = sym.groupBy("u").agg(F.min("v").alias("mn")) \
-           .select("u", F.least("u", "mn").alias("m"))
-    return (sym.where(F.col("v") > F.col("u")).join(m, "u")
+    m = sym.groupBy("u").agg(F.min("v").alias("mn"), F.count(F.lit(1)).alias("_deg")) \
+           .select("u", F.least("u", "mn").alias("m"), "_deg")
+    return (join_one_per_key(sym.where(F.col("v") > F.col("u")), m, "u", counts="_deg")
             .select(F.least("v", "m").alias("a"), F.greatest("v", "m").alias("b"))
             .where(F.col("a") != F.col("b")).distinct())
 
@@ -62,9 +66,9 @@ def _small_star(e: DataFrame) -> DataFrame:
     # orient each edge to its larger end u with v <= u; m(u) = min(u, those v);
     # link every such v (and u itself) to m(u)
     d = e.select(F.col("b").alias("u"), F.col("a").alias("v"))
-    m = d.groupBy("u").agg(F.min("v").alias("mn")) \
-         .select("u", F.least("u", "mn").alias("m"))
-    linked = d.join(m, "u").select(F.col("v").alias("x"), "m") \
+    m = d.groupBy("u").agg(F.min("v").alias("mn"), F.count(F.lit(1)).alias("_deg")) \
+         .select("u", F.least("u", "mn").alias("m"), "_deg")
+    linked = join_one_per_key(d, m, "u", counts="_deg").select(F.col("v").alias("x"), "m") \
               .union(m.select(F.col("u").alias("x"), "m"))
     return (linked.select(F.least("x", "m").alias("a"), F.greatest("x", "m").alias("b"))
             .where(F.col("a") != F.col("b")).distinct())
@@ -116,14 +120,14 @@ def components(node_df: DataFrame, edges: DataFrame, *, max_rounds: int = 200,
         raise RuntimeError("connected components did not converge")
     # converged: every edge is (root, leaf) with root the component minimum
     labels = e.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-    return (node_df.select("node").join(labels, "node", "left")
+    return (join_one_per_key(node_df.select("node"), labels, "node", how="left")
             .select("node", F.coalesce("component", "node").alias("component")))
 
 
 def component_summary(comp: DataFrame, edges: DataFrame) -> DataFrame:
     """Per component: node count and undirected edge count."""
     n = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n_nodes"))
-    und = _undirected(edges).join(comp.withColumnRenamed("node", "a"), "a")
+    und = join_one_per_key(_undirected(edges), comp.withColumnRenamed("node", "a"), "a")
     m = und.groupBy("component").agg(F.count(F.lit(1)).alias("n_edges"))
     return (n.join(m, "component", "left")
             .select("component", "n_nodes", F.coalesce("n_edges", F.lit(0)).cast("bigint").alias("n_edges")))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode as D
 from ..functions import layout as L
+from .joins import join_one_per_key
 from .records import reports as _reports
 
 MISSING = ("drop", "sentinel", "zero")
@@ -72,9 +73,9 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     ``report`` identifies the report, ``order`` orders rows within it; the
     serving cell is the report's first row, each cell's value is its last
     row (last wins).  Built from two partial (map-side combined)
-    aggregations and two equi-joins; no group is ever collected, so a report
-    holding a large share of all rows does not end up in one task -- the
-    joins are split by adaptive skew handling.
+    aggregations and one equi-join; no group is ever collected, and a report
+    holding a large share of all rows is spread over several tasks by
+    ``join_one_per_key``.
     """
     o = F.struct(*[F.col(c) for c in order])
     v = F.col(value).cast("double")
@@ -92,9 +93,10 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     # value is that cell's last value.  Again a partial aggregation.
     rep = (per_cell.groupBy("_r")
            .agg(F.min_by(F.struct(F.col("_c").alias("c"), F.col("n").alias("v")),
-                         F.col("_first")).alias("_srv"))
+                         F.col("_first")).alias("_srv"),
+                F.count(F.lit(1)).alias("_cells"))
            .select("_r", F.col("_srv")["c"].alias("serving_cell"),
-                   F.col("_srv")["v"].alias("s")))
+                   F.col("_srv")["v"].alias("s"), "_cells"))
     if missing_serving == "drop":
         rep = rep.where(F.col("s").isNotNull() & D.valid_serving(F.col("s")))
         s = F.col("s")
@@ -105,7 +107,7 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     # Both uses of per_cell read the same aggregate columns (``_first`` too),
     # so the two branches are one plan and Spark reuses its shuffle.
     meas = per_cell.where(F.col("n").isNotNull() & F.col("_first").isNotNull())
-    return meas.join(rep, "_r").select(
+    return join_one_per_key(meas, rep, "_r", counts="_cells").select(
         *keep, "serving_cell", F.col("_c").alias("neighbor_cell"), s.alias("s"), "n")
 
 

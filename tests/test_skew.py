@@ -63,3 +63,26 @@ def test_plans_never_gather_groups(spark):
     rec = spark.createDataFrame([("6|",)], "value string")
     plan = _plan(moments.pair_stats(pairs.serving_pairs(rec)))
     assert "collect_list" not in plan and "Window" not in plan and "partial_sum" in plan
+
+
+def test_join_one_per_key_salts_hot_keys(spark):
+    from radiolens.operators.joins import hot_keys, join_one_per_key
+    many = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(3000)], "k long, x long")
+    one = spark.createDataFrame([(k, f"v{k}") for k in range(0, 3000, 7)], "k long, v string")
+    cnt = many.groupBy("k").count()
+    assert [r.k for r in hot_keys(cnt, ["k"], "count", max_keys=5, min_rows=10).collect()] == [0]
+    plain = sorted(tuple(r) for r in many.join(one, "k").collect())
+    for how in ("inner", "left"):
+        got = sorted(tuple(r) for r in join_one_per_key(
+            many, one, "k", how=how, salts=8, max_keys=5, min_rows=10).collect())
+        want = plain if how == "inner" else sorted(tuple(r) for r in many.join(one, "k", "left").collect())
+        assert got == want
+        # with the per-key count supplied by the one side
+        one_n = one.join(cnt, "k", "left").fillna(0, ["count"])
+        got = sorted(tuple(r) for r in join_one_per_key(
+            many, one_n, "k", how=how, counts="count", salts=8, max_keys=5, min_rows=10).collect())
+        assert got == want
+    # the hot key's rows really are spread over several salts
+    from pyspark.sql import functions as F
+    salted = many.join(F.broadcast(hot_keys(cnt, ["k"], "count", max_keys=5, min_rows=10)), "k")
+    assert salted.select(F.pmod(F.xxhash64("k", "x"), F.lit(8))).distinct().count() == 8
