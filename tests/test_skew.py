@@ -86,3 +86,35 @@ def test_join_one_per_key_salts_hot_keys(spark):
     from pyspark.sql import functions as F
     salted = many.join(F.broadcast(hot_keys(cnt, ["k"], "count", max_keys=5, min_rows=10)), "k")
     assert salted.select(F.pmod(F.xxhash64("k", "x"), F.lit(8))).distinct().count() == 8
+
+
+def test_operators_with_salting_active(spark, monkeypatch):
+    """Force every many-to-one join to salt (tiny thresholds) and check the
+    operators still give the exact answers."""
+    from radiolens.operators import graph, joins
+    monkeypatch.setattr(joins, "MIN_HOT_ROWS", 5)
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 3)
+    monkeypatch.setattr(joins, "SALTS", 4)
+    # a hub graph: "a00" linked to 40 leaves, plus a chain and an isolated node
+    names = [f"a{i:02d}" for i in range(50)]
+    edges = [("a00", names[i]) for i in range(1, 41)] + [("a41", "a42"), ("a42", "a43")]
+    nodes_df = spark.createDataFrame([(v,) for v in names], "node string")
+    edges_df = spark.createDataFrame(edges, "src string, dst string")
+    got = {r.node: r.component for r in graph.components(nodes_df, edges_df).collect()}
+    want = {v: "a00" for v in names[:41]}
+    want.update({"a41": "a41", "a42": "a41", "a43": "a41"})
+    want.update({v: v for v in names[44:]})
+    assert got == want
+    # tabular pairs on the hot-report fixture
+    rng = random.Random(5)
+    rows = [(0, i, f"c{rng.randint(0, 40)}", float(rng.randint(0, 97))) for i in range(300)]
+    rows += [(r, j, f"c{rng.randint(0, 5)}", float(rng.randint(0, 97)))
+             for r in range(1, 60) for j in range(rng.randint(1, 4))]
+    df = spark.createDataFrame(rows, "rep long, ord int, cell string, v double")
+    p = pairs.serving_pairs_tabular(df, report="rep", cell="cell", value="v", order=["ord"])
+    got = {(r.serving_cell, r.neighbor_cell): (r.cnt, r.mean_s, r.mean_n)
+           for r in moments.pair_stats(p).collect()}
+    want = _brute(rows)
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9
