@@ -48,48 +48,48 @@ def _tab_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_pair_stats(spark, sf):
     """Records -> decode -> pairs -> moments -> covariance, sorted (E1)."""
-    return (moments.pair_stats(pairs.serving_pairs(_records(spark, sf)), sort=True))
+    return moments.pair_stats(pairs.serving_pairs(_records(spark, sf)), sort=True)
 
 
 def q_pair_stats_tabular(spark, sf):
-    return (_tab_stats(spark, sf))
+    return _tab_stats(spark, sf)
 
 
 def q_pair_stats_blanks(spark, sf):
     rec = _records(spark, sf, blank_returnflag="R")
-    return (moments.pair_stats(pairs.serving_pairs(rec, missing_serving="drop")))
+    return moments.pair_stats(pairs.serving_pairs(rec, missing_serving="drop"))
 
 
 def q_pair_stats_sentinel(spark, sf):
     rec = _records(spark, sf, blank_returnflag="R")
-    return (moments.pair_stats(pairs.serving_pairs(rec, missing_serving="sentinel")))
+    return moments.pair_stats(pairs.serving_pairs(rec, missing_serving="sentinel"))
 
 
 def q_pair_stats_zero(spark, sf):
     rec = _records(spark, sf, blank_returnflag="R")
     p = pairs.serving_pairs(rec, missing_serving="zero", which="first",
                             serving_field=L.SERVING_FIELD_V0)
-    return (moments.pair_stats(p))
+    return moments.pair_stats(p)
 
 
 def q_pair_stats_multi_report(spark, sf):
     rec = _records(spark, sf, split_reports=True)
-    return (moments.pair_stats(pairs.serving_pairs(rec)))
+    return moments.pair_stats(pairs.serving_pairs(rec))
 
 
 def q_synthetic_pairs(spark, sf):
     rec = render.synthetic_records(_lineitem(spark, sf))
     p = pairs.synthetic_pairs(rec).where(F.col("s") > -0.001)
-    return (moments.pair_stats(p))
+    return moments.pair_stats(p)
 
 
 def q_synthetic_raw(spark, sf):
     rec = render.synthetic_records(_lineitem(spark, sf))
-    return (moments.pair_stats(pairs.synthetic_pairs(rec, offset=0.0, clamp=False)))
+    return moments.pair_stats(pairs.synthetic_pairs(rec, offset=0.0, clamp=False))
 
 
 def q_raw_moments(spark, sf):
-    return (moments.pair_stats(pairs.serving_pairs(_records(spark, sf)), finalize=False))
+    return moments.pair_stats(pairs.serving_pairs(_records(spark, sf)), finalize=False)
 
 
 def q_rollup_partials(spark, sf):
@@ -104,11 +104,11 @@ def q_rollup_partials(spark, sf):
     path = staging_path(spark, "pair-partials")
     part.write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
-    return (moments.finalize_partials(moments.merge_partials(stored)))
+    return moments.finalize_partials(moments.merge_partials(stored))
 
 
 def q_field_stats(spark, sf):
-    return (moments.default_field_stats(_records(spark, sf)))
+    return moments.default_field_stats(_records(spark, sf))
 
 
 def q_decode_fields(spark, sf):
@@ -122,8 +122,8 @@ def q_measurements(spark, sf):
     rep = records.reports(_records(spark, sf, split_reports=True))
     m = records.measurements(rep.select("l_orderkey", "report_pos", "serving_cell",
                                         "parse_error", "meas"))
-    return (m.select(F.col("l_orderkey").alias("record_id"), "report_pos", "cell",
-                       "rsrp", "serving_cell", "parse_error"))
+    return m.select(F.col("l_orderkey").alias("record_id"), "report_pos", "cell",
+                    "rsrp", "serving_cell", "parse_error")
 
 
 def q_record_times(spark, sf):
@@ -157,7 +157,7 @@ def q_bearer_filters(spark, sf):
 # --- sinks ----------------------------------------------------------------------
 
 def q_long_stats(spark, sf):
-    return (sinks.to_long(_tab_stats(spark, sf), 1, 1))
+    return sinks.to_long(_tab_stats(spark, sf), 1, 1)
 
 
 def q_tuple_text(spark, sf):
@@ -168,7 +168,7 @@ def q_tuple_text(spark, sf):
 
 
 def q_report_text(spark, sf):
-    return sinks.report_lines((_tab_stats(spark, sf)))
+    return sinks.report_lines(_tab_stats(spark, sf))
 
 
 def q_replace_partition(spark, sf):
@@ -181,7 +181,7 @@ def q_replace_partition(spark, sf):
     syn = moments.pair_stats(pairs.synthetic_pairs(render.synthetic_records(_lineitem(spark, sf)),
                                                    offset=0.0, clamp=False))
     sinks.replace_case(sinks.to_long(syn, 1, 1), path, 1, 1, overwrite=True)
-    return (sinks.read_long_table(spark, path))
+    return sinks.read_long_table(spark, path)
 
 
 # --- graph ----------------------------------------------------------------------
@@ -268,11 +268,13 @@ def q_stream_pair_sums(spark, sf):
     per-hour, per-pair sums as state (several micro-batches)."""
     src = staging_path(spark, "stream-in")
     _records(spark, sf).select("value").repartition(8).write.text(src)
+    # The rendered records span years in no particular file order, so the
+    # allowed lateness covers that disorder; the result then equals the batch.
     out = pair_sums.run_available(spark, src, staging_path(spark, "stream-out"),
                                   window=STREAM_WINDOW, watermark="100000 days",
                                   max_files_per_trigger=2)
-    return (out.select(F.unix_seconds("window_start").alias("window_start"),
-                         "serving_cell", "neighbor_cell", *moments.SUM_COLS))
+    return out.select(F.unix_seconds("window_start").alias("window_start"),
+                      "serving_cell", "neighbor_cell", *moments.SUM_COLS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
