@@ -114,3 +114,10 @@ def test_measurements_rows(spark):
     df = spark.createDataFrame([(line,)], "value string")
     rows = {(r.cell, r.rsrp) for r in records.measurements(records.reports(df)).collect()}
     assert rows == {("X:1", 30.0), ("X:2", 22.0)}
+
+
+def test_serving_field_option(spark):
+    # field 131 as the serving cell (the one-field fork's key)
+    line = record_line(serving="X:9", payload="[2;7;X:1;30;5;8;X:2;20;4|", fields={131: "X:2"})
+    got = _pairs(spark, [line], serving_field=131)
+    assert got == {("X:2", "X:1", 20.0, 30.0), ("X:2", "X:2", 20.0, 20.0)}
