@@ -9,11 +9,11 @@ than the watermark are ignored (Spark judges an input row against the
 watermark of the previous micro-batch, so a row is dropped at the latest
 one batch after it became late; rows within the delay are always kept).
 
-The sink is an append-only parquet log written by ``foreachBatch`` in
-update mode: every batch appends the windows it changed, tagged with the
-batch id, and the current value of a window is its latest version
-(``latest``).  Nothing is collected on the driver and the log survives a
-restart from the checkpoint.
+The sink is a parquet log written by ``foreachBatch`` in update mode: every
+batch writes the windows it changed into its own ``batch_id=N`` folder
+(overwritten, so a re-run batch is idempotent), and the current value of a
+window is its latest version (``latest``).  Nothing is collected on the
+driver and the log survives a restart from the checkpoint.
 """
 
 from __future__ import annotations
@@ -63,9 +63,14 @@ def run_available(spark: SparkSession, src: str, out: str, *, window: str, water
               .option("maxFilesPerTrigger", max_files_per_trigger).load(src))
     sums = stream_pair_sums(stream_pairs(stream), window=window, watermark=watermark)
 
+    # an empty seed batch, so the log is readable even when no batch runs
+    spark.createDataFrame([], sums.schema).write.mode("overwrite") \
+        .parquet(f"{out}/log/batch_id=-1")
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-             .write.mode("append").parquet(f"{out}/log")
+        # one folder per batch, overwritten: a batch re-run after a failure
+        # (foreachBatch is at-least-once) replaces its own output
+        batch.write.mode("overwrite").parquet(f"{out}/log/batch_id={batch_id}")
 
     q = (sums.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", f"{out}/_checkpoint")
@@ -73,4 +78,5 @@ def run_available(spark: SparkSession, src: str, out: str, *, window: str, water
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return latest(spark.read.parquet(f"{out}/log"))
+    log = spark.read.parquet(f"{out}/log").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return latest(log)

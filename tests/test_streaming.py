@@ -58,3 +58,11 @@ def test_watermark_drops_late_rows(spark, tmp_dir):
                                   watermark="1 hour", max_files_per_trigger=1)
     got = sorted((r.window_start.day, r.cnt, r.sum_s) for r in out.collect())
     assert got == [(26, 1, 40.0), (27, 2, 85.0)]
+
+
+def test_stream_without_input(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    out = pair_sums.run_available(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", window="1 hour",
+                                  watermark="1 hour")
+    assert out.count() == 0
