@@ -93,10 +93,9 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     # value is that cell's last value.  Again a partial aggregation.
     rep = (per_cell.groupBy("_r")
            .agg(F.min_by(F.struct(F.col("_c").alias("c"), F.col("n").alias("v")),
-                         F.col("_first")).alias("_srv"),
-                F.count(F.lit(1)).alias("_cells"))
+                         F.col("_first")).alias("_srv"))
            .select("_r", F.col("_srv")["c"].alias("serving_cell"),
-                   F.col("_srv")["v"].alias("s"), "_cells"))
+                   F.col("_srv")["v"].alias("s")))
     if missing_serving == "drop":
         rep = rep.where(F.col("s").isNotNull() & D.valid_serving(F.col("s")))
         s = F.col("s")
@@ -107,7 +106,9 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     # Both uses of per_cell read the same aggregate columns (``_first`` too),
     # so the two branches are one plan and Spark reuses its shuffle.
     meas = per_cell.where(F.col("n").isNotNull() & F.col("_first").isNotNull())
-    return join_one_per_key(meas, rep, "_r", counts="_cells").select(
+    # hot reports from a count over the report column alone (one narrow
+    # column of the input; an upper bound on the report's cells)
+    return join_one_per_key(meas, rep, "_r", key_rows=base.select("_r")).select(
         *keep, "serving_cell", F.col("_c").alias("neighbor_cell"), s.alias("s"), "n")
 
 
