@@ -107,7 +107,10 @@ def components(node_df: DataFrame, edges: DataFrame, *, max_rounds: int = 200,
     """
     e = _save(_undirected(edges))
     sig = _signature(e)
-    for rnd in range(1, max_rounds + 1):
+    rounds = range(1, max_rounds + 1) if sig[0] > 0 else []   # no edge: every node alone
+    if not rounds and report is not None:
+        report["rounds"] = 0
+    for rnd in rounds:
         nxt = _save(_small_star(_large_star(e)))
         nsig = _signature(nxt)
         done = nsig == sig and _same(nxt, e)
@@ -117,7 +120,8 @@ def components(node_df: DataFrame, edges: DataFrame, *, max_rounds: int = 200,
                 report["rounds"] = rnd
             break
     else:
-        raise RuntimeError("connected components did not converge")
+        if rounds:
+            raise RuntimeError("connected components did not converge")
     # converged: every edge is (root, leaf) with root the component minimum
     labels = e.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
     return (join_one_per_key(node_df.select("node"), labels, "node", how="left")

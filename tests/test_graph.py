@@ -53,3 +53,11 @@ def test_components_match_brute_force(spark):
         edges_df = spark.createDataFrame(list(edges) or [("c000", "c000")], "src string, dst string")
         got = {r.node: r.component for r in graph.components(nodes_df, edges_df).collect()}
         assert got == _union_find(names, [e for e in edges if e[0] != e[1]])
+
+
+def test_components_without_edges(spark):
+    stats = spark.createDataFrame([("A", "A", 5), ("B", "C", 1), ("B", "D", 1)], STATS)
+    e = graph.interference_edges(stats, threshold=0.9)
+    rep = {}
+    comp = {r.node: r.component for r in graph.components(graph.nodes(stats), e, report=rep).collect()}
+    assert comp == {"A": "A", "B": "B", "C": "C", "D": "D"} and rep["rounds"] == 0
