@@ -6,7 +6,7 @@ several tasks (``joins.join_one_per_key``).  Components use the
 alternating large-star / small-star rounds of Kiveris et al. ("Connected
 Components in MapReduce and Beyond", SoCC 2014): every round is a
 ``groupBy(min)`` (map-side combined) and one equi-join, and it converges
-in O(log^2 n) rounds.  Each round's edge set is checkpointed to the
+in O(log^2 n) rounds.  Each round's edge set is written as a table in the
 session's shared checkpoint folder, so lineage stays short and a lost
 executor only recomputes the current round.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..session import shared_dir
+from ..session import staging_path
 from .joins import join_one_per_key
 
 
@@ -75,10 +75,13 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def _save(df: DataFrame) -> DataFrame:
-    """Materialise one round in the shared checkpoint folder (reliable
-    checkpoint: survives executor loss, cuts the lineage)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise one round as a table in the shared checkpoint folder: it
+    survives executor loss and cuts the lineage.  (A ``checkpoint()`` of an
+    uncached frame would compute the round twice: once to count, once to
+    write.)"""
+    path = staging_path(df.sparkSession, "components-round")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _signature(e: DataFrame) -> tuple:
