@@ -2,13 +2,13 @@
 folder used to cut lineage and to stage written tables.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
-(HDFS, S3, ...).  A private folder is created only when the session names
-none, which happens in tests and local runs.
+(HDFS, S3, ...).  A session that names none works only on a local master.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,11 +38,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session, created if unset.
+    """The shared folder of this session: the one ``spark.checkpoint.dir`` names,
+    or the folder set with ``setCheckpointDir``.
 
-    Reads ``spark.checkpoint.dir`` (or a directory set earlier with
-    ``setCheckpointDir``).  Only when neither exists -- a test or a local
-    run -- a private folder is made and registered as the checkpoint dir.
+    With neither, a cluster session is an error: a folder of the driver's
+    machine is not seen by executors.  A ``local`` master has one machine and
+    one process, so a fresh folder of its own is named there.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
@@ -54,9 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a random sub-folder; stage next to it.
         return current.rstrip("/").rsplit("/", 1)[0]
-    local = tempfile.mkdtemp(prefix="radiolens-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    own = f"{tempfile.gettempdir()}/radiolens-{uuid.uuid4().hex[:12]}"
+    sc.setCheckpointDir(own)
+    return own
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
