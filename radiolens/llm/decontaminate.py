@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az, staged
+from .common import let, lower_az, staged
 
 SPAN, K = 10, 5
 SLOTS = 1 << 16          # size of the bit table, whatever the benchmark's size
@@ -57,12 +57,6 @@ def context(ws: Column, pos: Column, k: int, reach: int) -> Column:
 FP = "array<struct<k:int,h:bigint,pos:int,ctx:array<string>>>"
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row: a lambda would
-    otherwise compute what it refers to again for every element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def fingerprints(ws: Column, k: int, span: int, within: bytes | None) -> Column:
     """Structs (k, hash, position, context) of the winnowed runs; with
     ``within`` only those whose slot is set in the bit table."""

@@ -4,8 +4,9 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing
+from . import decontaminate, exact_dedup, hilbert, line_dedup, mixing
 from .common import read_table
 
 
@@ -17,15 +18,28 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_hilbert_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hilbert.shard(read_table(spark, sf_dir, "documents"), 24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"),
                                        read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_exact_dedup, op9_decontaminate)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_mix_sources, op4_exact_dedup, op6_hilbert_shard, op9_decontaminate, op10_line_dedup)}
 
 SQL = {
     "op2_mix_sources": mixing.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op9_decontaminate": decontaminate.SQL,
+    "op10_line_dedup": line_dedup.SQL,
 }
