@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, hilbert, line_dedup, mixing
+from . import decontaminate, exact_dedup, hilbert, line_dedup, mixing, ngram_join
 from .common import read_table
 
 
@@ -18,6 +18,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(read_table(spark, sf_dir, "documents"), 3, (90, 100))
+
+
 def op6_hilbert_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = hilbert.shard(read_table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -35,7 +39,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_mix_sources, op4_exact_dedup, op6_hilbert_shard, op9_decontaminate, op10_line_dedup)}
+    op2_mix_sources, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op9_decontaminate, op10_line_dedup)}
 
 SQL = {
     "op2_mix_sources": mixing.SQL,
