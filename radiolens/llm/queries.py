@@ -6,10 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, hilbert, line_dedup, mixing, ngram_join
+from . import decontaminate, exact_dedup, hilbert, line_dedup, mixing, ngram_join, toxicity
 from .common import read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(toxicity.crc_of(F.col("doc_id")), F.lit(4)) == 2
+    out = toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                            learn=~held_out)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -39,7 +46,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_mix_sources, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op9_decontaminate, op10_line_dedup)}
+    op1_toxicity, op2_mix_sources, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op9_decontaminate, op10_line_dedup)}
 
 SQL = {
     "op2_mix_sources": mixing.SQL,
