@@ -16,6 +16,10 @@ are further apart than r.  The order puts rare shingles first, so a passage that
 documents share makes no cell.  Inside a cell, document pivots split it as above,
 again and again until nothing lies outside.
 
+Before any whole set is moved, pairs of a cell are tested on short count vectors: each
+set's shingles counted in ``BUCKETS`` hash buckets.  The weighted Jaccard distance
+of two such vectors is never more than d, so it may only rule pairs out.
+
 Large cells are split with DataFrame joins against their pivot (one row per member, no
 gathering) and, if documents remain outside, into the cells of a second shingle;
 only cells of at most ``SMALL`` members are finished inside one task.  Documents
@@ -26,13 +30,14 @@ pair within r shares a cell at every level until its link, or a path of links, i
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (NOT_SPACE, mix64, ngram_hash, packed, prefix_hash, span_hash, staged, text_chunks,
@@ -42,6 +47,7 @@ from .components import components
 SLOT_BITS = 24          # counters of the shingle order: fixed size, one byte each
 SLICE = 1 << 16
 SMALL = 512             # members of a cell that one task finishes
+BUCKETS = 64            # counters of a count vector, one byte each
 
 
 def shingles(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +141,8 @@ def prefix_length(n: np.ndarray | int, threshold: tuple[int, int], depth: int =
 
 def ordered_sets(docs: DataFrame, k: int, order, threshold: tuple[int, int], whole: bool) -> DataFrame:
     """Per row of ``docs`` (``_id``, ``_text``): ``_id``, ``_n`` (set size), ``_node`` (digest of the
-    set, null when empty) and the first shingles, or with ``whole`` all, as int64 in one cell.
+    set, null when empty), the first shingles, or with ``whole`` all, as int64 in one cell, and
+    ``_vec``, the count vector (empty if a counter does not fit its byte).
 
     A shingle is kept as its slot's count followed by 56 bits of its hash, so
     sorted sets are in the global order.
@@ -148,20 +155,23 @@ def ordered_sets(docs: DataFrame, k: int, order, threshold: tuple[int, int], who
                 h, count = shingles(buf, offsets, k)
                 h = (order.value[_slots(h, bits)].astype(np.uint64) << np.uint64(56)) | (mix64(h) >> np.uint64(8))
                 ends = np.cumsum(count)
-                sizes, nodes, cells = [], [], []
+                sizes, nodes, cells, vecs = [], [], [], []
                 for lo, hi in zip(ends - count, ends):
                     s = np.unique(h[lo:hi])
                     sizes.append(len(s))
                     nodes.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     cells.append(s if whole else s[:prefix_length(len(s), threshold)])
+                    v = np.bincount((s % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+                    vecs.append(v.astype(np.uint8).tobytes() if v.max() < 256 else b"")
                 flat = np.concatenate(cells) if cells else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(rows.start, rows.stop - rows.start),
                      pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
-                     packed(flat, np.array([len(c) for c in cells], np.int64))], ["_id", "_n", "_node", "_set"])
+                     packed(flat, np.array([len(c) for c in cells], np.int64)), pa.array(vecs, pa.binary())],
+                    ["_id", "_n", "_node", "_set", "_vec"])
 
     kind = docs.schema["_id"].dataType.simpleString()
-    return docs.select("_id", "_text").mapInArrow(run, f"_id {kind}, _n long, _node binary, _set binary")
+    return docs.select("_id", "_text").mapInArrow(run, f"_id {kind}, _n long, _node binary, _set binary, _vec binary")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -263,7 +273,7 @@ def _open_cells(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         F.min("_cell").alias("_cell")).select("_cell", "_count", "_pivot")
 
 
-def link_nodes(first: DataFrame, sets: Column | DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def link_nodes(first: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Edges (``src``, ``dst``) between nodes whose components are those of all links.
 
     ``first``: the members of the first cells; ``sets``: ``_node``, ``_set`` of their nodes.
@@ -315,6 +325,59 @@ def link_nodes(first: DataFrame, sets: Column | DataFrame, threshold: tuple[int,
             return edges
 
 
+def _possible(threshold: tuple[int, int]):
+    """From members sorted by cell, those with a partner in the cell that sizes and count vectors
+    do not rule out; large cells pass whole."""
+    names = ["_cell", "_node", "_pos", "_depth"]
+
+    def partners(n: np.ndarray, vecs: list[bytes]) -> np.ndarray:
+        v = np.frombuffer(b"".join(x or bytes(BUCKETS) for x in vecs), np.uint8).reshape(len(n), BUCKETS)
+        open_ = np.array([not x for x in vecs])
+        found = np.zeros(len(n), bool)
+        for i in range(len(n) - 1):
+            rest = slice(i + 1, len(n))
+            most = np.minimum(v[i], v[rest]).sum(axis=1, dtype=np.int64)
+            most = np.where(open_[rest] | open_[i], np.minimum(n[i], n[rest]), most)
+            ok = _linked(most, n[i], n[rest], threshold)
+            found[rest] |= ok
+            found[i] |= ok.any()
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                t = pa.Table.from_batches([b])
+                held = t if held is None else pa.concat_tables([held, t])
+            if held is None or not len(held):
+                continue
+            cell = held.column("_cell").to_numpy()
+            cut = len(cell) if b is None else int(np.searchsorted(cell, cell[-1], "left"))
+            part, held = held.slice(0, cut), held.slice(cut)
+            if not cut:
+                continue
+            cell = cell[:cut]
+            n, vec = part.column("_n").to_numpy(), part.column("_vec").to_pylist()
+            first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+            keep = np.zeros(cut, bool)
+            for lo, hi in zip(first, [*first[1:], cut]):
+                keep[lo:hi] = partners(n[lo:hi], vec[lo:hi])
+            yield from part.filter(pa.array(keep)).select(names).to_batches()
+    return run
+
+
+def possible_members(members: DataFrame, nodes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``members`` without those that the count vectors rule out, and without cells that
+    repeat another cell's members."""
+    cells = staged(_open_cells(members, None).select("_cell", "_count"), "cells")
+    here = members.join(cells, "_cell")
+    # a large cell is not gathered for this test
+    tested = (here.where(F.col("_count") <= SMALL).drop("_count").join(nodes.select("_node", "_n", "_vec"), "_node")
+              .repartition("_cell").sortWithinPartitions("_cell")
+              .select("_cell", "_node", "_pos", "_depth", "_n", "_vec").mapInArrow(_possible(threshold), CELL))
+    return tested.unionByName(here.where(F.col("_count") > SMALL).drop("_count"))
+
+
 def _against_pivot(members: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Distance of each member to its ``_pivot``."""
     pivots = sets.join(members.select(F.col("_pivot").alias("_node")).distinct(), "_node", "left_semi").select(
@@ -339,7 +402,8 @@ def ngram_components(docs: DataFrame, k: int, threshold: tuple[int, int], id_col
     order = spark.sparkContext.broadcast(shingle_counts(rows.select("_text"), k, slot_bits))
     heads = staged(ordered_sets(rows, k, order, threshold, False), "heads")
     nodes = staged(heads.where("_node is not null").groupBy("_node").agg(
-        F.min("_id").alias("_rep"), F.first("_set").alias("_set")), "nodes")
+        F.min("_id").alias("_rep"), F.first("_set").alias("_set"), F.first("_n").alias("_n"),
+        F.first("_vec").alias("_vec")), "nodes")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -354,6 +418,7 @@ def ngram_components(docs: DataFrame, k: int, threshold: tuple[int, int], id_col
     members = nodes.select("_node", "_set").mapInArrow(explode, CELL)
     shared = members.groupBy("_cell").agg(F.count("*").alias("n")).where("n > 1").select("_cell")
     members = staged(members.join(shared, "_cell", "left_semi"), "members")
+    members = staged(possible_members(members, nodes, threshold), "possible")
     wanted = members.select("_node").distinct().join(nodes.select("_node", "_rep"), "_node")
     texts = rows.join(wanted.select(F.col("_rep")).distinct(), F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
     sets = staged(ordered_sets(texts, k, order, threshold, True).select("_node", "_set")
