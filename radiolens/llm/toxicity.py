@@ -25,8 +25,8 @@ from .common import LETTERS, mix64, packed, prefix_hash, span_hash, staged, text
 
 DIM_BITS = 20
 FACTORS = 4
-BEGINNINGS = (3, 4, 5, 6)   # bytes
-MAX_FIT = 20_000            # labelled rows that the fit sees, about
+BEGINNINGS = (4, 5, 6)   # bytes
+MAX_FIT = 10_000            # labelled rows that the fit sees, about
 MIN_ROWS, PER_ROWS = 2, 1500   # a term in fewer than MIN_ROWS + rows / PER_ROWS fitted rows has weight 0
 EPOCHS, BATCH, RATE, DAMPING, DECAY = 5, 128, 0.4, 1e-2, 2e-5
 MIN_STEPS = 600             # a small fit goes round more often
@@ -93,12 +93,11 @@ def fit(labels: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> tuple[float,
     if n == 0 or labels.min() == labels.max() or len(used) == 0:
         return bias, w, v
     scale = (np.log(n / rows_of[used]) / np.log(n)) ** 2
-    small = np.full(1 << DIM_BITS, -1, np.int64)
+    small = np.full(1 << DIM_BITS, -1, np.int32)
     small[used] = np.arange(len(used))
     at = small[ids]
-    row = np.repeat(np.arange(n), counts)[at >= 0]
+    lo = np.concatenate(([0], np.cumsum(at >= 0)))[np.concatenate(([0], np.cumsum(counts)))]
     at = at[at >= 0]
-    lo = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n))))
     rng = np.random.default_rng(SEED)
     a = np.zeros(len(used))
     f = rng.normal(0, 0.01, (len(used), FACTORS))
