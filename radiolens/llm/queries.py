@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, hilbert, line_dedup, mixing, ngram_join, token_files, toxicity
+from . import decontaminate, exact_dedup, hilbert, hmm, line_dedup, mixing, ngram_join, token_files, toxicity
 from .common import read_table
 
 
@@ -35,6 +35,11 @@ def op6_hilbert_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def op7_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(toxicity.crc_of(F.col("doc_id")), F.lit(7)) == 2
+    return hmm.language_scores(read_table(spark, sf_dir, "documents"), held_out)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -50,7 +55,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_mix_sources, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op8_token_counts, op9_decontaminate, op10_line_dedup)}
+    op1_toxicity, op2_mix_sources, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op7_hmm_scores, op8_token_counts, op9_decontaminate, op10_line_dedup)}
 
 SQL = {
     "op2_mix_sources": mixing.SQL,
