@@ -121,14 +121,18 @@ def shingle_counts(docs: DataFrame, k: int, bits: int = SLOT_BITS) -> np.ndarray
                          "part": pa.array([total.tobytes()], pa.binary())})
 
     parts = docs.mapInArrow(count, "slice int, part binary")
+    def finish(key: tuple[pa.Scalar, ...], frames: pa.Table) -> pa.Table:
+        total = add(key, frames)
+        n = np.frombuffer(total.column("part")[0].as_buffer(), np.uint64).astype(np.float64)
+        return pa.table({"slice": total.column("slice"), "part": pa.array([scaled(n).tobytes()], pa.binary())})
+
     # two levels, so that one task never holds the slices of all partitions
     some = (parts.withColumn("half", F.pmod(F.spark_partition_id(), F.lit(16)))
             .groupBy("slice", "half").applyInArrow(add, "slice int, part binary"))
-    whole = some.groupBy("slice").applyInArrow(add, "slice int, part binary")
+    whole = some.groupBy("slice").applyInArrow(finish, "slice int, part binary")
     out = np.zeros(1 << bits, np.uint8)
-    for row in whole.toLocalIterator():     # 2 ** bits counters in all
-        n = np.frombuffer(row.part, np.uint64)
-        out[row.slice:row.slice + len(n)] = scaled(n.astype(np.float64))
+    for row in whole.toLocalIterator():     # 2 ** bits bytes in all
+        out[row.slice:row.slice + len(row.part)] = np.frombuffer(row.part, np.uint8)
     return out
 
 
@@ -140,7 +144,7 @@ def prefix_length(n: np.ndarray | int, threshold: tuple[int, int], depth: int =
 
 
 def ordered_sets(docs: DataFrame, k: int, order, threshold: tuple[int, int], whole: bool) -> DataFrame:
-    """Per row of ``docs`` (``_id``, ``_text``): ``_id``, ``_n`` (set size), ``_node`` (digest of the
+    """Per row of ``docs`` (``_id``, ``_text``): ``_id``, ``_n`` (set size), ``_digest`` (of the
     set, null when empty), the first shingles, or with ``whole`` all, as int64 in one cell, and
     ``_vec``, the count vector (empty if a counter does not fit its byte).
 
@@ -168,10 +172,10 @@ def ordered_sets(docs: DataFrame, k: int, order, threshold: tuple[int, int], who
                     [b.column(0).slice(rows.start, rows.stop - rows.start),
                      pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
                      packed(flat, np.array([len(c) for c in cells], np.int64)), pa.array(vecs, pa.binary())],
-                    ["_id", "_n", "_node", "_set", "_vec"])
+                    ["_id", "_n", "_digest", "_set", "_vec"])
 
     kind = docs.schema["_id"].dataType.simpleString()
-    return docs.select("_id", "_text").mapInArrow(run, f"_id {kind}, _n long, _node binary, _set binary, _vec binary")
+    return docs.select("_id", "_text").mapInArrow(run, f"_id {kind}, _n long, _digest binary, _set binary, _vec binary")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -246,13 +250,13 @@ def _deeper(threshold: tuple[int, int]):
                 at = np.arange(r["_pos"] + 1, min(end, len(s)))
                 cells = mix64(s[at] ^ mix64(np.array([r["_cell"]], np.int64).view(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells.view(np.int64)), pa.array([r["_node"]] * len(at), pa.binary()),
+                    [pa.array(cells.view(np.int64)), pa.array([r["_node"]] * len(at), pa.int64()),
                      pa.array(at, pa.int32()), pa.array([r["_depth"] + 1] * len(at), pa.int32())],
                     ["_cell", "_node", "_pos", "_depth"])
     return run
 
 
-CELL = "_cell long, _node binary, _pos int, _depth int"
+CELL = "_cell long, _node long, _pos int, _depth int"
 
 
 def _open_cells(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -279,7 +283,7 @@ def link_nodes(first: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
     ``first``: the members of the first cells; ``sets``: ``_node``, ``_set`` of their nodes.
     """
     spark = first.sparkSession
-    edges = spark.createDataFrame([], "src binary, dst binary")
+    edges = spark.createDataFrame([], "src long, dst long")
     members, labels, star_first = first, None, True
     while True:
         cells = staged(_open_cells(members, labels), "cells")
@@ -301,12 +305,14 @@ def link_nodes(first: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
             "_cell", "_node", F.coalesce("component", "_node").alias("_comp")).join(sets, "_node")
 
         def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("_node", key=lambda s: s.map(bytes)).reset_index(drop=True)
+            pdf = pdf.sort_values("_node").reset_index(drop=True)
             links = peel([np.frombuffer(s, np.uint64) for s in pdf["_set"]],
-                         pd.factorize(pdf["_comp"].map(bytes))[0], threshold)
-            return pd.DataFrame({"src": [pdf["_node"][i] for i, _ in links], "dst": [pdf["_node"][j] for _, j in links]})
+                         pd.factorize(pdf["_comp"])[0], threshold)
+            node = pdf["_node"].to_numpy()
+            i, j = np.array(links, np.int64).reshape(-1, 2).T
+            return pd.DataFrame({"src": node[i], "dst": node[j]})
 
-        found = small.groupBy("_cell").applyInPandas(solve, "src binary, dst binary")
+        found = small.groupBy("_cell").applyInPandas(solve, "src long, dst long")
         large = here.where(F.col("_count") > SMALL)
         more = not cells.where(F.col("_count") > SMALL).isEmpty()
         if more:
@@ -384,7 +390,7 @@ def _against_pivot(members: DataFrame, sets: DataFrame, threshold: tuple[int, in
         F.col("_node").alias("_pivot"), F.col("_set").alias("_pset"))
     rows = members.join(sets, "_node").join(pivots, "_pivot").select(
         "_cell", "_node", "_pivot", "_pos", "_depth", "_set", "_pset")
-    return rows.mapInArrow(_pivot_distance(threshold), "_cell long, _node binary, _pivot binary, _pos int, _depth int, "
+    return rows.mapInArrow(_pivot_distance(threshold), "_cell long, _node long, _pivot long, _pos int, _depth int, "
                                                         "_near boolean, _d double")
 
 
@@ -401,9 +407,9 @@ def ngram_components(docs: DataFrame, k: int, threshold: tuple[int, int], id_col
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     order = spark.sparkContext.broadcast(shingle_counts(rows.select("_text"), k, slot_bits))
     heads = staged(ordered_sets(rows, k, order, threshold, False), "heads")
-    nodes = staged(heads.where("_node is not null").groupBy("_node").agg(
+    nodes = staged(heads.where("_digest is not null").groupBy("_digest").agg(
         F.min("_id").alias("_rep"), F.first("_set").alias("_set"), F.first("_n").alias("_n"),
-        F.first("_vec").alias("_vec")), "nodes")
+        F.first("_vec").alias("_vec")).withColumn("_node", F.monotonically_increasing_id()), "nodes")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -419,16 +425,18 @@ def ngram_components(docs: DataFrame, k: int, threshold: tuple[int, int], id_col
     shared = members.groupBy("_cell").agg(F.count("*").alias("n")).where("n > 1").select("_cell")
     members = staged(members.join(shared, "_cell", "left_semi"), "members")
     members = staged(possible_members(members, nodes, threshold), "possible")
-    wanted = members.select("_node").distinct().join(nodes.select("_node", "_rep"), "_node")
-    texts = rows.join(wanted.select(F.col("_rep")).distinct(), F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
-    sets = staged(ordered_sets(texts, k, order, threshold, True).select("_node", "_set")
-                  .where("_node is not null").dropDuplicates(["_node"]), "sets")
+    wanted = members.select("_node").distinct().join(nodes.select("_node", "_rep", "_digest"), "_node")
+    texts = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select(
+        F.struct("_node", F.col("_digest").alias("is")).alias("_id"), "_text")
+    # rows may share an identifier: the digest tells whose set it is
+    sets = staged(ordered_sets(texts, k, order, threshold, True).where("_id.is = _digest")
+                  .select("_id._node", "_set").dropDuplicates(["_node"]), "sets")
     edges = link_nodes(members, sets, threshold)
     comp = components(edges)
-    named = nodes.select("_node", "_rep").join(comp, F.col("_node") == F.col("node"), "left").select(
-        "_node", "_rep", F.coalesce("component", "_node").alias("_comp"))
+    named = nodes.select("_node", "_rep", "_digest").join(comp, F.col("_node") == F.col("node"), "left").select(
+        "_digest", "_rep", F.coalesce("component", "_node").alias("_comp"))
     least = named.groupBy("_comp").agg(F.min("_rep").alias("_name"))
-    named = staged(named.join(least, "_comp").select("_node", "_name"), "names")
-    return heads.join(named, "_node", "left").select(
+    named = staged(named.join(least, "_comp").select("_digest", "_name"), "names")
+    return heads.select("_id", "_n", "_digest").join(named, "_digest", "left").select(
         F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
         F.coalesce("_name", "_id").alias("component_id"))
