@@ -87,7 +87,7 @@ def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tf = np.frombuffer(b.column(2)[i].as_buffer(), np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(words), b.column(0)[i].as_py())), pa.array(np.arange(len(words), dtype=np.int32)),
-                 pa.array(words), pa.array(tf.astype(np.int64))], ["page", "at", "word", "tf"])
+                 pa.array(words), pa.array(tf.astype(np.int32))], ["page", "at", "word", "tf"])
 
 
 def class_of(words: np.ndarray) -> np.ndarray:
@@ -126,32 +126,41 @@ def expected(model: Model, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     s, length = seq.shape
     valid = seq >= 0
     cls = np.where(valid, seq & (CLASSES - 1), 0)
-    e = np.where(valid[:, :, None], model.emit[cls], 1.0)
-    alpha, scale = np.empty((length, s, STATES)), np.empty((length, s, 1))
-    a = model.start * e[:, 0]
+    # single precision: each step is rescaled, and sums over steps are in double.  Word-major, so that a
+    # step is one block of memory.
+    cls, valid, seq = cls.T, valid.T, seq.T
+    e = model.emit.astype(np.float32)[cls]
+    e[~valid] = 1
+    step = model.move.astype(np.float32)
+    full = valid.all(axis=1)
+    alpha, scale = np.empty((length, s, STATES), np.float32), np.empty((length, s, 1), np.float32)
+    a = model.start.astype(np.float32) * e[0]
     for t in range(length):
         if t:
-            a = np.where(valid[:, t, None], (a @ model.move) * e[:, t], a)
-        c = a.sum(axis=1, keepdims=True)
-        scale[t] = c
-        a = a / c
-        alpha[t] = a
-    beta = np.ones((s, STATES))
-    gamma = np.empty((s, length, STATES))
+            moved = (a @ step) * e[t]
+            a = moved if full[t] else np.where(valid[t][:, None], moved, a)
+        scale[t] = a.sum(axis=1, keepdims=True)
+        a = np.divide(a, scale[t], out=alpha[t])
+    beta = np.ones((s, STATES), np.float32)
     move = np.zeros((STATES, STATES))
     for t in range(length - 1, -1, -1):
-        gamma[:, t] = alpha[t] * beta
+        back = beta
         if t:
-            live = valid[:, t, None]
-            out = np.where(live, e[:, t] * beta / scale[t], 0.0)
+            out = e[t] * beta / scale[t]
+            if not full[t]:
+                out[~valid[t]] = 0
             move += alpha[t - 1].T @ out
-            beta = np.where(live, out @ model.move.T, beta)
+            back = out @ step.T
+            if not full[t]:
+                back = np.where(valid[t][:, None], back, beta)
+        alpha[t] *= beta
+        beta = back
     move *= model.move
-    gamma /= gamma.sum(axis=2, keepdims=True)
-    start = gamma[:, 0].sum(axis=0)
-    g, flat = gamma[valid], cls[valid]
+    alpha /= alpha.sum(axis=2, keepdims=True)
+    start = alpha[0].sum(axis=0, dtype=np.float64)
+    g, flat = alpha[valid], cls[valid]
     count = np.stack([np.bincount(flat, g[:, k], minlength=CLASSES) for k in range(STATES)], axis=1)
-    once = g[(seq[valid] & ONCE) > 0].sum(axis=0)
+    once = g[(seq[valid] & ONCE) > 0].sum(axis=0, dtype=np.float64)
     return start, move, count, once
 
 
@@ -200,18 +209,18 @@ def language_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
         rows.mapInArrow(_pages(), f"page long, ids array<{kind}>, held array<boolean>, n array<bigint>, "
                                   "codes binary, words binary, tf binary")
         .withColumn("page", F.col("page") + F.spark_partition_id().cast("long") * (1 << 32)), "pages")
-    words = pages.select("page", "words", "tf").mapInArrow(_dictionary, "page long, at int, word long, tf long")
-    counts = staged(words.groupBy("word").agg(F.sum("tf").alias("c")), "word-counts")
-    known = counts.where("c > 0")
-    total, vocab, single = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
-                                     F.coalesce(F.sum((F.col("c") == 1).cast("int")), F.lit(0))).first()
-
+    words = pages.select("page", "words", "tf").mapInArrow(_dictionary, "page long, at int, word long, tf int")
     @F.pandas_udf("int")
     def word_class(w: pd.Series) -> pd.Series:
         return pd.Series(class_of(w.to_numpy(np.int64).view(np.uint64)).astype(np.int32))
 
+    counts = staged(words.groupBy("word").agg(F.sum("tf").alias("c")).withColumn("k", word_class("word")), "word-counts")
+    known = counts.where("c > 0")
+    total, vocab, single = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
+                                     F.coalesce(F.sum((F.col("c") == 1).cast("int")), F.lit(0))).first()
+
     mass = np.zeros(CLASSES)
-    for r in known.groupBy(word_class("word").alias("k")).agg(F.sum(F.col("c") + 1).alias("m")).collect():
+    for r in known.groupBy("k").agg(F.sum(F.col("c") + 1).alias("m")).collect():
         mass[r.k] = r.m             # one number per class
     if not mass.any():
         mass[CLASSES - 1] = 1.0
@@ -220,10 +229,9 @@ def language_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
     def placed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for p in left.itertuples(index=False):
-            c = np.zeros(len(p.words) // 8, np.int64)
+            c, k = np.zeros(len(right), np.int64), np.zeros(len(right), np.int64)
             c[right["at"].to_numpy()] = right["c"].to_numpy()
-            w = np.frombuffer(p.words, np.uint64)
-            k = class_of(w)
+            k[right["at"].to_numpy()] = right["k"].to_numpy()
             inner = np.where(c > 0, np.log10((c + 1) / np.maximum(masses.value[k], 1)), 0.0)
             base = np.log10((c + 1) / (total + vocab + 1))
             mark = np.where(c == 0, UNKNOWN, np.where(c == 1, k | ONCE, k)).astype(np.uint16)
@@ -234,9 +242,9 @@ def language_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
                         "seq": mark[codes].tobytes()})
         return pd.DataFrame(out, columns=["ids", "held", "n", "known", "base", "inner", "seq"])
 
-    back = words.select("page", "at", "word").join(counts, "word").select("page", "at", "c")
+    back = words.select("page", "at", "word").join(counts, "word").select("page", "at", "c", "k")
     ready = staged(
-        pages.select("page", "ids", "held", "n", "codes", "words").groupBy("page").cogroup(back.groupBy("page"))
+        pages.select("page", "ids", "held", "n", "codes").groupBy("page").cogroup(back.groupBy("page"))
         .applyInPandas(placed, f"ids array<{kind}>, held array<boolean>, n array<bigint>, known array<bigint>, "
                                "base array<double>, inner array<double>, seq binary"), "sequences")
 
