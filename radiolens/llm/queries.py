@@ -11,10 +11,11 @@ from .common import read_table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
     held_out = F.pmod(toxicity.crc_of(F.col("doc_id")), F.lit(4)) == 2
-    out = toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
-                            learn=~held_out)
-    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+    weights = toxicity.learned(docs, read_table(spark, sf_dir, "labels"), learn=~held_out)
+    return toxicity.toxicity(docs, weights).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,15 +138,14 @@ def crc_of(c: Column) -> Column:
     return F.crc32(c.cast("string").cast("binary"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
-             text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic",
-             max_fit: int = MAX_FIT) -> DataFrame:
-    """Add ``score`` and ``predicted`` to every row of ``docs`` (id and these two are returned).
-
-    ``learn`` says, on the labels' table, which rows may be learnt from (default all).  Null or empty
-    texts get the score of the bias.  Null labels and null identifiers teach nothing;
-    an identifier with several labels counts as toxic if one says so.  With an empty
-    labels table every score is near 0.
+def learned(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
+            text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic",
+            max_fit: int = MAX_FIT):
+    """Broadcast weights, fitted on about ``max_fit`` labelled rows at most.
+
+    ``learn`` says, on the labels' table, which rows may be learnt from (default all).  Null labels
+    and null identifiers teach nothing; an identifier with several labels counts as toxic if
+    one says so.  With an empty labels table every score is near 0.
     """
     known = labels if learn is None else labels.where(learn)
     known = staged(known.select(F.col(label_id).alias("_l"), F.col(label_col).alias("_y"))
@@ -185,17 +184,34 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id
         bias = model[0].bias
         w[ids] = np.frombuffer(model[0].w, np.float32)
         v[ids] = np.frombuffer(model[0].v, np.float32).reshape(-1, FACTORS)
-    weights = docs.sparkSession.sparkContext.broadcast((bias, w, v))
+    return docs.sparkSession.sparkContext.broadcast((bias, w, v))
 
+
+def _score_of(weights, texts: pa.Array) -> np.ndarray:
+    out = [raw_score(*weights.value, *terms(buf, offsets)) for _, buf, offsets in text_chunks(texts)]
+    z = np.concatenate(out) if out else np.zeros(0)
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def toxicity(docs: DataFrame, weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, ``score``, ``predicted``.  Null or empty texts get the
+    score of the bias; repeated rows are scored alike."""
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for rows, buf, offsets in text_chunks(b.column(1)):
-                z = raw_score(*weights.value, *terms(buf, offsets))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(rows.start, rows.stop - rows.start),
-                     pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_score_of(weights, b.column(1)))], ["_id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
         scored, f"_id {kind}, score double")
     return out.select(F.col("_id").alias(id_col), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, weights, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows that are predicted toxic: a narrow pass."""
+    place = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_score_of(weights, b.column(place)) < THRESHOLD))
+
+    return docs.mapInArrow(kept, docs.schema)
