@@ -69,7 +69,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xD6E8FEB86659FD93                        # odd, so it has an inverse mod 2^64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -93,7 +93,7 @@ def prefix_hash(buf: np.ndarray, lower: bool = True) -> np.ndarray:
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte span, equal for equal bytes at any place."""
-    h = (prefix[ends] - prefix[starts]) * powers(_INVERSE, len(prefix))[starts]
+    h = (prefix[ends] - prefix[starts]) * powers(INVERSE, len(prefix))[starts]
     return mix64(h + mix64((ends - starts).astype(np.uint64)))
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, hilbert, hmm, line_dedup, mixing, ngram_join, token_files, toxicity
+from . import decontaminate, exact_dedup, hilbert, hmm, line_dedup, mixing, ngram_join, suffix_dedup, token_files, toxicity
 from .common import read_table
 
 
@@ -22,6 +22,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_mix_sources, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op7_hmm_scores, op8_token_counts, op9_decontaminate, op10_line_dedup)}
+    op1_toxicity, op2_mix_sources, op3_suffix_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op7_hmm_scores, op8_token_counts, op9_decontaminate, op10_line_dedup)}
 
 SQL = {
     "op2_mix_sources": mixing.SQL,
