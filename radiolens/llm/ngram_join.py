@@ -46,7 +46,8 @@ from .components import components
 
 SLOT_BITS = 24          # counters of the shingle order: fixed size, one byte each
 SLICE = 1 << 16
-SMALL = 512             # members of a cell that one task finishes
+SMALL = 4096            # members of a cell that one task finishes
+TABLE = 1 << 26         # entries of a cell's membership table in memory
 BUCKETS = 64            # counters of a count vector, one byte each
 
 
@@ -196,6 +197,26 @@ def peel(sets: list[np.ndarray], group: np.ndarray, threshold: tuple[int, int])
     flat = np.concatenate(sets)
     size = np.array([len(s) for s in sets])
     first = np.concatenate(([0], np.cumsum(size)[:-1]))
+    values, column, often = np.unique(flat, return_inverse=True, return_counts=True)
+    wide = int((often > 1).sum())
+    table = None
+    if len(sets) * wide <= TABLE:       # which member has which of the shingles that two or more have
+        place = np.cumsum(often > 1) - 1
+        both = often[column] > 1
+        table = np.zeros((len(sets), wide), np.float32)
+        table[np.repeat(np.arange(len(sets)), size)[both], place[column[both]]] = 1
+
+    def common_with(p: int, region: np.ndarray) -> np.ndarray:
+        if table is not None:
+            out = (table @ table[p])[region].astype(np.int64)
+            out[region == p] = size[p]
+            return out
+        pick = np.concatenate([np.arange(first[i], first[i] + size[i]) for i in region])
+        at = np.searchsorted(sets[p], flat[pick])
+        at[at == size[p]] = 0
+        hit = sets[p][at] == flat[pick]
+        return np.add.reduceat(hit.astype(np.int64), np.concatenate(([0], np.cumsum(size[region])[:-1])))
+
     group, links = group.copy(), []
     todo = [np.arange(len(sets))]
     radius = 1 - threshold[0] / threshold[1]
@@ -204,11 +225,7 @@ def peel(sets: list[np.ndarray], group: np.ndarray, threshold: tuple[int, int])
         if len(np.unique(group[region])) < 2:
             continue
         p = region[0]
-        pick = np.concatenate([np.arange(first[i], first[i] + size[i]) for i in region])
-        at = np.searchsorted(sets[p], flat[pick])
-        at[at == size[p]] = 0
-        hit = sets[p][at] == flat[pick]
-        common = np.add.reduceat(hit.astype(np.int64), np.concatenate(([0], np.cumsum(size[region])[:-1])))
+        common = common_with(p, region)
         near = _linked(common, size[region], size[p], threshold)
         for i in region[near]:
             if group[i] != group[p]:
@@ -273,8 +290,17 @@ def _open_cells(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         F.bit_xor(F.hash("_node")).alias("_y")).where("_lo <> _hi"))
     # a large cell is kept for itself: equal members may sit at other places of their sets
     same = F.when(F.col("_count") > SMALL, F.col("_cell"))
-    return cells.groupBy("_count", "_pivot", "_x", "_y", same.alias("_own")).agg(
-        F.min("_cell").alias("_cell")).select("_cell", "_count", "_pivot")
+    cells = staged(cells.groupBy("_count", "_pivot", "_x", "_y", same.alias("_own")).agg(
+        F.min("_cell").alias("_cell")).select("_cell", "_count", "_pivot"), "cells")
+    # a cell that lies within another one, which a task finishes as a whole, adds nothing
+    here = members.join(cells, "_cell")
+    best = here.where(F.col("_count") <= SMALL).groupBy("_node").agg(
+        F.max_by("_cell", F.struct("_count", "_cell")).alias("_best"))
+    within = (here.join(best, "_node", "left").groupBy("_cell")
+              .agg(F.min("_best").alias("_lo"), F.max("_best").alias("_hi"),
+                   F.count("_best").alias("_known"), F.count("*").alias("_all"))
+              .where("_lo = _hi and _known = _all and _lo <> _cell").select("_cell"))
+    return cells.join(within, "_cell", "left_anti")
 
 
 def link_nodes(first: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
