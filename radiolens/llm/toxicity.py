@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from .common import LETTERS, mix64, packed, prefix_hash, span_hash, staged, text_chunks, word_spans
 
 DIM_BITS = 20
+PIECE = 1 << 20             # bytes of text scored at once: bounds the arrays of terms
 FACTORS = 4
 BEGINNINGS = (4, 5, 6)   # bytes
 MAX_FIT = 10_000            # labelled rows that the fit sees, about
 MIN_ROWS, PER_ROWS = 2, 1500   # a term in fewer than MIN_ROWS + rows / PER_ROWS fitted rows has weight 0
-EPOCHS, BATCH, RATE, DAMPING, DECAY = 5, 128, 0.4, 1e-2, 2e-5
+EPOCHS, BATCH, RATE, DAMPING, DECAY = 5, 128, 0.25, 1e-2, 2e-5
 MIN_STEPS = 600             # a small fit goes round more often
 CALIBRATION = 5             # every fifth fitted row only calibrates the probability
 THRESHOLD = 0.3
@@ -68,6 +69,7 @@ def raw_score(bias: float, w: np.ndarray, v: np.ndarray, ids: np.ndarray, counts
 
 def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic through raw scores, with smoothed targets, by Newton steps."""
+    z = np.clip(z, -6, 6)       # a few far-off rows must not flatten the slope
     ones = y.sum()
     t = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (len(y) - ones + 2))
     a, b = 1.0, 0.0
@@ -188,7 +190,7 @@ def learned(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_
 
 
 def _score_of(weights, texts: pa.Array) -> np.ndarray:
-    out = [raw_score(*weights.value, *terms(buf, offsets)) for _, buf, offsets in text_chunks(texts)]
+    out = [raw_score(*weights.value, *terms(buf, offsets)) for _, buf, offsets in text_chunks(texts, PIECE)]
     z = np.concatenate(out) if out else np.zeros(0)
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -212,6 +214,8 @@ def without_toxic(docs: DataFrame, weights, text_col: str = "text") -> DataFrame
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(_score_of(weights, b.column(place)) < THRESHOLD))
+            for lo in range(0, len(b), 1024):
+                part = b.slice(lo, 1024)
+                yield part.filter(pa.array(_score_of(weights, part.column(place)) < THRESHOLD))
 
     return docs.mapInArrow(kept, docs.schema)
