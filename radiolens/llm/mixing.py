@@ -145,20 +145,21 @@ def mixed_rows(docs: DataFrame, taken: DataFrame, id_col: str = "doc_id", text_c
                length_col: str | None = "n_chars") -> DataFrame:
     """The mix itself: ``docs``' columns, a row once per whole pass, and once more with the words
     that a cut pass takes.  ``taken`` is what :func:`mix` returned for ``docs``; rows that share an
-    identifier are told apart by their size."""
-    t = taken.select(F.col(id_col).alias("_id"), F.col("size").alias("_words"), "taken", "first").distinct()
-    t = t.where("taken > 0").withColumns({"_passes": F.expr("taken div _words"), "_rest": F.col("taken") % F.col("_words")})
-    t = t.select("_id", "_words", "first", F.explode(F.concat(
-        F.array_repeat(F.col("_words"), F.col("_passes").cast("int")),
-        F.when(F.col("_rest") > 0, F.array("_rest")).otherwise(F.array().cast("array<bigint>")))).alias("_part"))
+    identifier are told apart by their size.  Helper columns are named ``__mix_*``."""
+    t = taken.select(F.col(id_col).alias("__mix_id"), F.col("size").alias("__mix_words"), "taken", "first").distinct()
+    t = t.where("taken > 0").withColumns({"__mix_passes": F.expr("taken div __mix_words"), "__mix_rest": F.col("taken") % F.col("__mix_words")})
+    t = t.select("__mix_id", "__mix_words", F.col("first").alias("__mix_first"), F.explode(F.concat(
+        F.array_repeat(F.col("__mix_words"), F.col("__mix_passes").cast("int")),
+        F.when(F.col("__mix_rest") > 0, F.array("__mix_rest")).otherwise(F.array().cast("array<bigint>")))).alias("__mix_part"))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("_size", size).join(t, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words")))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})")),
-                               (F.col("first") + 1).cast("int"), F.col("_part").cast("int")), " ")
-    text = F.when(F.col("_part") == F.col("_words"), F.col(text_col)).otherwise(cut)
-    out = rows.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], "_part", "_words")
+    rows = docs.withColumn("__mix_size", size).join(t, F.col(id_col).eqNullSafe(F.col("__mix_id")) & (F.col("__mix_size") == F.col("__mix_words")))
+    every = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"))
+    # a pass may end in the document it began in: its words then go on from the beginning
+    cut = F.array_join(F.slice(F.concat(every, every), (F.col("__mix_first") + 1).cast("int"), F.col("__mix_part").cast("int")), " ")
+    text = F.when(F.col("__mix_part") == F.col("__mix_words"), F.col(text_col)).otherwise(cut)
+    out = rows.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], "__mix_part", "__mix_words")
     if length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col("_part") == F.col("_words"), F.col(length_col))
+        out = out.withColumn(length_col, F.when(F.col("__mix_part") == F.col("__mix_words"), F.col(length_col))
                              .otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
     return out.select(*docs.columns)
 
