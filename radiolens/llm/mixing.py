@@ -145,8 +145,10 @@ def mixed_rows(docs: DataFrame, taken: DataFrame, id_col: str = "doc_id", text_c
                length_col: str | None = "n_chars") -> DataFrame:
     """The mix itself: ``docs``' columns, a row once per whole pass, and once more with the words
     that a cut pass takes.  ``taken`` is what :func:`mix` returned for ``docs``; rows that share an
-    identifier are told apart by their size.  Helper columns are named ``__mix_*``."""
-    t = taken.select(F.col(id_col).alias("__mix_id"), F.col("size").alias("__mix_words"), "taken", "first").distinct()
+    identifier are told apart by their size, and rows equal in both take the most that either takes.
+    Helper columns are named ``__mix_*``."""
+    t = (taken.groupBy(F.col(id_col).alias("__mix_id"), F.col("size").alias("__mix_words"))
+         .agg(F.max(F.struct("taken", "first")).alias("t")).select("__mix_id", "__mix_words", "t.*"))
     t = t.where("taken > 0").withColumns({"__mix_passes": F.expr("taken div __mix_words"), "__mix_rest": F.col("taken") % F.col("__mix_words")})
     t = t.select("__mix_id", "__mix_words", F.col("first").alias("__mix_first"), F.explode(F.concat(
         F.array_repeat(F.col("__mix_words"), F.col("__mix_passes").cast("int")),
