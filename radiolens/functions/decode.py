@@ -58,6 +58,9 @@ def field_at(value: Column, position: int, type_: str = "string") -> Column:
     return _typed(raw, type_)
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[nN][aA][nN]|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+
+
 def has_payload(value: Column) -> Column:
     return F.instr(value, L.PAYLOAD_START) > 0
 
@@ -78,6 +81,13 @@ def payload_tokens(value: Column) -> Column:
                   F.split(value.substr(start + 1, end - start - 1), L.FIELD_SEP, -1))
 
 
+def _count(tokens: Column, i: Column) -> Column:
+    """The count at token ``i``, null if it is no number.  One larger than the
+    payload reads it to its end, so a damaged count cannot overflow."""
+    n = F.get(tokens, i).try_cast("int")
+    return F.when(n.isNotNull(), F.least(n, F.size(tokens)))
+
+
 def report_walk(tokens: Column) -> Column:
     """Walk the counted report groups of a payload.
 
@@ -91,7 +101,7 @@ def report_walk(tokens: Column) -> Column:
                     F.array().cast(SPAN_TYPE).alias("spans"))
 
     def step(acc: Column, i: Column) -> Column:
-        cnt = F.get(tokens, i).try_cast("int")
+        cnt = _count(tokens, i)
         at_head = acc["ok"] & (i == acc["next"])
         bad = cnt.isNull() | (cnt < 0)
         stop = F.struct(acc["next"].alias("next"), F.lit(False).alias("ok"),
@@ -105,7 +115,7 @@ def report_walk(tokens: Column) -> Column:
     walk = F.aggregate(F.slice(idx, 1, F.size(tokens)), init, step)
     # Fast path, same result: when the first count's report reaches the end
     # of the payload, there is exactly one report and no fold is needed.
-    n0 = F.get(tokens, 0).try_cast("int")
+    n0 = _count(tokens, F.lit(0))
     single = n0.isNotNull() & (n0 >= 0) & (1 + n0 * L.MEAS_WIDTH >= F.size(tokens))
     one = F.struct((1 + n0 * L.MEAS_WIDTH).alias("next"), F.lit(True).alias("ok"),
                    F.array(F.struct(F.lit(0).alias("start"), n0.alias("n"))).alias("spans"))
@@ -132,10 +142,10 @@ def span_measurements(tokens: Column, span: Column) -> Column:
 
 
 def typed(meas: Column) -> Column:
-    """Add the numeric RSRP (``try_cast``, once per measurement)."""
+    """Add the numeric RSRP (once per measurement); a cast alone would accept ``30d``."""
     return F.transform(meas, lambda m: F.struct(
         m["f1"].alias("f1"), m["cell"].alias("cell"), m["rsrp_raw"].alias("rsrp_raw"),
-        m["rsrp_raw"].try_cast("double").alias("rsrp"), m["f4"].alias("f4")))
+        F.when(m["rsrp_raw"].rlike(NUMBER), m["rsrp_raw"].try_cast("double")).alias("rsrp"), m["f4"].alias("f4")))
 
 
 def usable(meas: Column) -> Column:
