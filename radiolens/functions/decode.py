@@ -32,6 +32,8 @@ def field_array(value: Column) -> Column:
 def _typed(raw: Column, type_: str) -> Column:
     if type_ == "string":
         return raw
+    if type_ == "double":
+        return number(raw)
     return F.when(raw != "", raw).try_cast(type_)
 
 
@@ -42,6 +44,13 @@ def field(fields: Column, position: int | Column, type_: str = "string") -> Colu
     return _typed(raw, type_)
 
 
+def counted(count: Column, room: Column) -> Column:
+    """``0 .. count-1`` for a stated count, as far as the record has ``room``;
+    a blank, negative or damaged count gives no more than there is."""
+    n = F.greatest(F.least(F.coalesce(count, F.lit(0)), room.cast("int")), F.lit(0))
+    return F.slice(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), 1, n)
+
+
 def field_at(value: Column, position: int, type_: str = "string") -> Column:
     """One field of the raw record text by 1-based position, without
     splitting the whole line; null when the record is shorter."""
@@ -61,6 +70,11 @@ def field_at(value: Column, position: int, type_: str = "string") -> Column:
 NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[nN][aA][nN]|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
 
+def number(text: Column) -> Column:
+    """The text as a double where it has the form of a number, else null."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def has_payload(value: Column) -> Column:
     return F.instr(value, L.PAYLOAD_START) > 0
 
@@ -145,7 +159,7 @@ def typed(meas: Column) -> Column:
     """Add the numeric RSRP (once per measurement); a cast alone would accept ``30d``."""
     return F.transform(meas, lambda m: F.struct(
         m["f1"].alias("f1"), m["cell"].alias("cell"), m["rsrp_raw"].alias("rsrp_raw"),
-        F.when(m["rsrp_raw"].rlike(NUMBER), m["rsrp_raw"].try_cast("double")).alias("rsrp"), m["f4"].alias("f4")))
+        number(m["rsrp_raw"]).alias("rsrp"), m["f4"].alias("f4")))
 
 
 def usable(meas: Column) -> Column:
@@ -161,11 +175,24 @@ def bad_rsrp(meas: Column) -> Column:
     return F.exists(meas, lambda m: (m["cell"] != "") & (m["rsrp_raw"] != "") & m["rsrp"].isNull())
 
 
-def last_wins(meas: Column) -> Column:
-    """Keep, per cell, only the last measurement of the report (in-row; no
-    shuffle).  Blanks were removed before, so they never override."""
-    return F.filter(meas, lambda m, i: ~F.exists(
-        F.slice(meas, i + 2, F.size(meas)), lambda y: y["cell"] == m["cell"]))
+def by_cell(meas: Column) -> Column:
+    """Usable measurements ordered by cell, then by place in the report."""
+    return F.sort_array(F.transform(meas, lambda m, i: F.struct(
+        m["cell"].alias("cell"), i.alias("pos"), m["f1"].alias("f1"), m["rsrp"].alias("rsrp"),
+        m["f4"].alias("f4"))))
+
+
+def last_wins(cells: Column) -> Column:
+    """Of a ``by_cell`` column, only each cell's last measurement, in report
+    order (in-row; no shuffle; n log n in a report's length).  Blanks were
+    removed before, so they never override.  Pass a column, not an
+    expression: every element looks at the one after it."""
+    last = F.filter(cells, lambda m, i: ~m["cell"].eqNullSafe(F.get(cells, i + 1)["cell"]))
+    in_order = F.sort_array(F.transform(last, lambda m: F.struct(
+        m["pos"].alias("pos"), m["f1"].alias("f1"), m["cell"].alias("cell"), m["rsrp"].alias("rsrp"),
+        m["f4"].alias("f4"))))
+    return F.transform(in_order, lambda m: F.struct(
+        m["f1"].alias("f1"), m["cell"].alias("cell"), m["rsrp"].alias("rsrp"), m["f4"].alias("f4")))
 
 
 def serving_value(meas: Column, serving: Column) -> Column:

@@ -96,35 +96,25 @@ def _same(e1: DataFrame, e2: DataFrame) -> bool:
     return e1.exceptAll(e2).isEmpty() and e2.exceptAll(e1).isEmpty()
 
 
-def components(node_df: DataFrame, edges: DataFrame, *, max_rounds: int = 200,
-               report: dict | None = None) -> DataFrame:
+def components(node_df: DataFrame, edges: DataFrame, *, report: dict | None = None) -> DataFrame:
     """Connected components, edge direction ignored, isolated nodes kept.
 
     Returns ``node, component`` where ``component`` is the smallest node id
     of the component.  A round is one large-star and one small-star step;
     the loop stops when a round leaves the edge set unchanged -- checked by
     a fingerprint each round and confirmed exactly once it matches.
-    ``max_rounds`` only guards against a non-converging input; reaching it
-    raises instead of returning a partial answer.  ``report``, if given,
-    receives the number of rounds.
+    ``report``, if given, receives the number of rounds.
     """
     e = _save(_undirected(edges))
     sig = _signature(e)
-    rounds = range(1, max_rounds + 1) if sig[0] > 0 else []   # no edge: every node alone
-    if not rounds and report is not None:
-        report["rounds"] = 0
-    for rnd in rounds:
+    done, rnd = sig[0] == 0, 0                # no edge: every node alone
+    while not done:
         nxt = _save(_small_star(_large_star(e)))
         nsig = _signature(nxt)
-        done = nsig == sig and _same(nxt, e)
+        done, rnd = nsig == sig and _same(nxt, e), rnd + 1
         e, sig = nxt, nsig
-        if done:
-            if report is not None:
-                report["rounds"] = rnd
-            break
-    else:
-        if rounds:
-            raise RuntimeError("connected components did not converge")
+    if report is not None:
+        report["rounds"] = rnd
     # converged: every edge is (root, leaf) with root the component minimum
     labels = e.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
     return (join_one_per_key(node_df.select("node"), labels, "node", how="left")

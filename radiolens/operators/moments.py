@@ -83,12 +83,6 @@ def raw_moments(partials: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.col("cnt"))
 
 
-def unshift_means(stats: DataFrame, shift: float = L.RSRP_MIN) -> DataFrame:
-    """Report means in dBm (index + -140); variances are shift-free."""
-    return (stats.withColumn("mean_s", F.col("mean_s") + F.lit(shift))
-            .withColumn("mean_n", F.col("mean_n") + F.lit(shift)))
-
-
 def field_stats(df: DataFrame, key: str | Column, value: str | Column, *,
                 where: Column | None = None, min_fields: int | None = None) -> DataFrame:
     """Statistics of any value field by any key field: mean, second moment,
@@ -106,13 +100,10 @@ def field_stats(df: DataFrame, key: str | Column, value: str | Column, *,
     if min_fields is not None:
         cond = cond & (F.size("fields") >= min_fields)
     rows = df.where(cond).select(k.alias("key"), v.alias("v"))
-    sums = rows.groupBy("key").agg(F.count("v").alias("cnt"), F.sum("v").alias("sv"),
-                                   F.sum(F.col("v") * F.col("v")).alias("svv"))
-    c = F.col("cnt").cast("double")
-    return sums.select(
-        "key", F.try_divide(F.col("sv"), c).alias("mean"),
-        F.try_divide(F.col("svv"), c).alias("second_moment"),
-        F.when(c > 0, _var(c, F.col("svv"), F.col("sv"))).alias("var"), "cnt")
+    # ``var_pop`` keeps centred moments, combined map-side: values far from 0 lose nothing
+    return rows.groupBy("key").agg(
+        F.avg("v").alias("mean"), F.avg(F.col("v") * F.col("v")).alias("second_moment"),
+        F.var_pop("v").alias("var"), F.count("v").alias("cnt"))
 
 
 def default_field_stats(records: DataFrame, *, value: str = "value") -> DataFrame:

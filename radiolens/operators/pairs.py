@@ -83,7 +83,8 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     # uses of ``per_cell`` identical, so Spark computes it (and its shuffle) once
     base = df.select(F.col(report).alias("_r"), F.col(cell).alias("_c"), v.alias("_v"),
                      o.alias("_o"), *[F.col(k) for k in keep]).where(F.col("_c").isNotNull())
-    kept = [F.first(F.col(k)).alias(k) for k in keep]
+    # a cell's first row gives the kept columns, whatever the task order
+    kept = [F.min_by(F.struct(F.col(k)), F.col("_o"))[k].alias(k) for k in keep]
     # Per (report, cell): last non-null value (last wins, blanks never
     # override) and the first position of the cell.  Partial aggregation.
     per_cell = (base.groupBy("_r", "_c")
@@ -124,14 +125,13 @@ def synthetic_pairs(df: DataFrame, *, offset: float = -L.RSRP_MIN, clamp: bool =
     """
     t = F.split(F.col(value), L.SYN_SEP, -1)
     cnt = F.get(t, L.SYN_COUNT_INDEX).try_cast("int")
-    cnt = F.greatest(F.coalesce(cnt, F.lit(0)), F.lit(0))
-    first = F.get(t, L.SYN_FIRST_CELL_INDEX + 1).try_cast("double")
-    idx = F.slice(F.sequence(F.lit(0), F.greatest(cnt - 1, F.lit(0))), 1, cnt)
+    first = D.number(F.get(t, L.SYN_FIRST_CELL_INDEX + 1))
+    idx = D.counted(cnt, F.floor((F.size(t) - L.SYN_FIRST_CELL_INDEX) / F.lit(2.0)))
 
     def item(j: Column) -> Column:
         pos = L.SYN_FIRST_CELL_INDEX + 2 * j
         return F.struct(F.get(t, pos).alias("cell"),
-                        F.get(t, pos + 1).try_cast("double").alias("v"))
+                        D.number(F.get(t, pos + 1)).alias("v"))
 
     rows = df.select(*keep, F.get(t, 0).alias("serving_cell"), first.alias("_s"),
                      F.explode(F.transform(idx, item)).alias("_m"))

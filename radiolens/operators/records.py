@@ -64,11 +64,30 @@ def reports(df: DataFrame, *, which: str = "all", value: str = "value",
            .withColumn("_raw", D.typed(D.span_measurements(F.col("_tokens"), F.col("_span"))))
            .withColumn("parse_error", F.col("parse_error") | D.bad_rsrp(F.col("_raw")))
            .withColumn("_use", D.usable(F.col("_raw")))
-           .withColumn("meas", D.last_wins(F.col("_use")))
-           .drop("_tokens", "_walk", "_spans", "_span", "_raw", "_use"))
+           .withColumn("_cells", D.by_cell(F.col("_use")))
+           .withColumn("meas", D.last_wins(F.col("_cells")))
+           .drop("_tokens", "_walk", "_spans", "_span", "_raw", "_use", "_cells"))
     return out
 
 
+def parse_errors(df: DataFrame, *, value: str = "value",
+                 serving_field: int = L.SERVING_FIELD) -> DataFrame:
+    """The rows of ``df`` with ``n_reports`` (reports before any damage) and
+    the record-level ``parse_error``: a payload that is not closed, a damaged
+    report count, a non-numeric RSRP, or no serving field.  Records whose
+    damage leaves no report are rows here too; a record without a payload has
+    no reports and no error."""
+    v = F.col(value)
+    rec = df.withColumn("_tokens", D.payload_tokens(v)).withColumn("_walk", D.report_walk(F.col("_tokens")))
+    bad = F.exists(F.col("_walk")["spans"],
+                   lambda s: D.bad_rsrp(D.typed(D.span_measurements(F.col("_tokens"), s))))
+    err = D.has_payload(v) & (~D.payload_ok(v) | ~F.col("_walk")["ok"] | bad
+                              | D.field_at(v, serving_field).isNull())
+    return (rec.withColumn("n_reports", F.greatest(F.coalesce(F.size(F.col("_walk")["spans"]), F.lit(0)), F.lit(0)))
+            .withColumn("parse_error", F.coalesce(err, D.has_payload(v), F.lit(False)))
+            .drop("_tokens", "_walk"))
+
+
 def measurements(report_rows: DataFrame) -> DataFrame:
     """One row per (deduplicated) measurement of each report."""
     return (report_rows
@@ -81,15 +100,17 @@ def measurements(report_rows: DataFrame) -> DataFrame:
 
 def bearers(df: DataFrame, *, value: str = "value", names=None) -> DataFrame:
     """One row per bearer block: block ``k`` starts at field 234 + 36k and
-    ``bearer_count`` (field 173) blocks exist.  Adds ``bearer_pos`` and the
-    typed bearer fields."""
+    ``bearer_count`` (field 173) blocks exist, as far as the record reaches
+    (a count beyond its fields is damage).  Adds ``bearer_pos`` and the typed
+    bearer fields."""
     names = list(names or L.BEARER_FIELDS)
     base = df if "fields" in df.columns else df.withColumn("fields", D.field_array(F.col(value)))
     if "bearer_count" not in base.columns:
         base = base.withColumn("bearer_count",
                                D.field(F.col("fields"), L.BEARER_COUNT_FIELD, "int"))
-    cnt = F.greatest(F.coalesce(F.col("bearer_count"), F.lit(0)), F.lit(0))
-    idx = F.slice(F.sequence(F.lit(0), F.greatest(cnt - 1, F.lit(0))), 1, cnt)
+    # a block cut short still counts: its missing fields are null
+    room = F.ceil((F.size("fields") - L.FIXED_FIELDS) / F.lit(float(L.BEARER_WIDTH)))
+    idx = D.counted(F.col("bearer_count"), room)
     out = base.select("*", F.posexplode(idx).alias("bearer_pos", "_k"))
     start = F.lit(L.BEARER_FIRST_FIELD) + F.col("_k") * L.BEARER_WIDTH
     cols = [D.field(F.col("fields"), start + L.BEARER_FIELDS[n][0], L.BEARER_FIELDS[n][1]).alias(n)

@@ -9,19 +9,20 @@ from __future__ import annotations
 
 CELL = "'311:480:' || lower(hex({}))"
 
-# Lines of each order in report order, with the line's rank and the order size.
-LINES = f"""r AS (
-  SELECT l_orderkey AS o, {CELL.format('l_suppkey')} AS cell, l_quantity AS q,
-         l_returnflag AS flag, l_linestatus, l_linenumber, l_partkey, l_extendedprice, l_shipdate,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-           l_quantity, l_returnflag, l_linestatus, l_extendedprice, l_shipdate) AS rn,
-         count(*) OVER (PARTITION BY l_orderkey) AS nl
-  FROM lineitem)"""
-
-
-def R(expr: str, name: str) -> str:
-    return f"{expr} AS {name}"
-
+# Every row as the call record it is rendered to (see sources/render.py).
+RECORDS = f"""r AS (
+  SELECT row_number() OVER () AS id, l_orderkey AS o, l_returnflag AS flag, l_linestatus AS ls,
+         l_linenumber AS ln, l_partkey AS pk, l_quantity AS q, l_shipdate AS day0,
+         {CELL.format('l_suppkey')} AS cell21, {CELL.format('l_suppkey + 1')} AS cell3,
+         {CELL.format('l_partkey % 100 + 1')} AS cell131, l_partkey % 100 + 1 AS pn,
+         greatest(coalesce(l_linenumber, 0) - 1, 0)::INTEGER AS nb,
+         CASE WHEN (l_partkey % 100 + 1) % 11 = 5 THEN 0 ELSE l_linenumber - 1 END AS blocks,
+         round(l_extendedprice * 100)::BIGINT AS cents
+  FROM lineitem),
+rb AS (
+  SELECT *, CASE WHEN blocks < 1 THEN NULL WHEN flag = 'A' THEN cents WHEN flag = 'R' THEN cents % 4 END AS dl0,
+         CASE WHEN blocks < 2 THEN NULL WHEN ls = 'F' THEN -1 ELSE cents + 1 END AS dl1
+  FROM r)"""
 
 C = "count(*)::DOUBLE"
 
@@ -35,61 +36,86 @@ def COV(c: str, sxy: str, sx: str, sy: str) -> str:
     return f"({c} * {sxy} - {sx} * {sy}) / ({c} * {c})"
 
 
-def _pairs(*, blank: bool = False, by_flag: bool = False, missing: str = "drop") -> str:
-    """CTEs ``r, srv, d, p``: p(serving_cell, neighbor_cell, s, n[, o])."""
-    v = "CASE WHEN flag = 'R' THEN NULL ELSE q END" if blank else "q"
-    rep = "o, flag" if by_flag else "o"
-    same = "AND sd.flag = d.flag" if by_flag else ""
+def _measured(*, blank: bool = False, split: bool = False, window: str = "") -> str:
+    """CTEs ``r, rb, m, d``: d(id, o, j, cell, v), a report's usable measurements."""
+    reports = "1 + ln % 3" if split else "1"
+    v = "q + k * 0.25::DOUBLE + j * 2.0::DOUBLE"
+    if blank:
+        v = f"CASE WHEN k = 1 AND flag = 'R' THEN NULL ELSE {v} END"
+    return f"""{RECORDS},
+m AS (
+  SELECT id, o, j, k, {v} AS v,
+         CASE WHEN k = 1 THEN cell21 WHEN k = 3 AND ls = 'F' THEN '' WHEN k = 3 THEN cell3 ELSE cell131 END AS cell
+  FROM (SELECT *, unnest(range(2 + ln % 3)) AS k
+        FROM (SELECT *, unnest(range({reports})) AS j FROM r WHERE ln <> 7 {window}))),
+d AS (SELECT id, o, j, cell, arg_max(v, k) AS v FROM m WHERE cell <> '' AND v IS NOT NULL
+      GROUP BY id, o, j, cell)"""
+
+
+def _pairs(*, serving: str = "cell21", missing: str = "drop", first: bool = False, **kw) -> str:
+    """CTEs of ``_measured`` and p(serving_cell, neighbor_cell, s, n, id)."""
     if missing == "drop":
-        s, where = "sd.v", "WHERE sd.v IS NOT NULL AND sd.v > -0.001"
+        s, where = "sd.v", "sd.v IS NOT NULL AND sd.v > -0.001"
     elif missing == "sentinel":
-        s, where = "coalesce(sd.v, -1.0::DOUBLE)", ""
+        s, where = "coalesce(sd.v, -1.0::DOUBLE)", "true"
     else:
-        s, where = "coalesce(sd.v, 0.0::DOUBLE)", ""
+        s, where = "coalesce(sd.v, 0.0::DOUBLE)", "true"
+    if first:
+        where += " AND d.j = 0"
     extra = ""
     if missing == "zero":
-        extra = """
+        extra = f"""
   UNION ALL
-  SELECT srv.serving_cell, srv.serving_cell, 0.0::DOUBLE, 0.0::DOUBLE, srv.o FROM srv
-  WHERE EXISTS (SELECT 1 FROM d WHERE d.o = srv.o)
-    AND NOT EXISTS (SELECT 1 FROM d WHERE d.o = srv.o AND d.cell = srv.serving_cell)"""
-    return f"""{LINES},
-srv AS (SELECT o, cell AS serving_cell FROM r WHERE rn = 1),
-d AS (SELECT {rep}, cell, arg_max(v, rn) AS v
-      FROM (SELECT *, {v} AS v FROM r) WHERE v IS NOT NULL GROUP BY {rep}, cell),
+  SELECT r.{serving}, r.{serving}, 0.0::DOUBLE, 0.0::DOUBLE, r.id
+  FROM (SELECT DISTINCT id, j FROM d {"WHERE j = 0" if first else ""}) AS rep JOIN r ON r.id = rep.id
+  WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.id = rep.id AND d.j = rep.j AND d.cell = r.{serving})"""
+    return f"""{_measured(**kw)},
 p AS (
-  SELECT srv.serving_cell, d.cell AS neighbor_cell, {s} AS s, d.v AS n, d.o
-  FROM d JOIN srv ON d.o = srv.o
-  LEFT JOIN d AS sd ON sd.o = d.o {same} AND sd.cell = srv.serving_cell
-  {where}{extra})"""
+  SELECT r.{serving} AS serving_cell, d.cell AS neighbor_cell, {s} AS s, d.v AS n, d.id
+  FROM d JOIN r ON r.id = d.id
+  LEFT JOIN d AS sd ON sd.id = d.id AND sd.j = d.j AND sd.cell = r.{serving}
+  WHERE {where}{extra})"""
+
 
+# The tabular form: report = order, cell = supplier, value = quantity; the
+# serving cell is the report's first row, a cell's value its last.
+TAB_PAIRS = f"""l AS (
+  SELECT l_orderkey AS o, {CELL.format('l_suppkey')} AS cell, l_quantity AS q,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS rn
+  FROM lineitem),
+srv AS (SELECT o, cell AS serving_cell FROM l WHERE rn = 1),
+d AS (SELECT o, cell, arg_max(q, rn) AS v FROM l GROUP BY o, cell),
+p AS (
+  SELECT srv.serving_cell, d.cell AS neighbor_cell, sd.v AS s, d.v AS n
+  FROM d JOIN srv ON d.o = srv.o JOIN d AS sd ON sd.o = d.o AND sd.cell = srv.serving_cell
+  WHERE sd.v > -0.001)"""
 
 STATS_COLS = ", ".join([
     f"sum(s) / {C} AS mean_s", f"sum(n) / {C} AS mean_n",
     f"{VAR(C, 'sum(s * s)', 'sum(s)')} AS var_s",
     f"{COV(C, 'sum(s * n)', 'sum(s)', 'sum(n)')} AS cov_sn",
     f"{VAR(C, 'sum(n * n)', 'sum(n)')} AS var_n", "count(*) AS cnt"])
-ROUNDED_STATS = STATS_COLS
+
+
+def _stats_of(ctes: str, where: str = "") -> str:
+    return (f"WITH {ctes}\nSELECT serving_cell, neighbor_cell, {STATS_COLS}\n"
+            f"FROM p {where} GROUP BY serving_cell, neighbor_cell")
 
 
 def _stats(**kw) -> str:
-    return (f"WITH {_pairs(**kw)}\nSELECT serving_cell, neighbor_cell, {ROUNDED_STATS}\n"
-            "FROM p GROUP BY serving_cell, neighbor_cell")
+    return _stats_of(_pairs(**kw))
 
 
-def _syn_pairs(offset: float, clamp: bool) -> str:
+def _syn_pairs(offset: float, clamp: bool, source: str = "lineitem") -> str:
+    """CTE ``p`` of the synthetic records: the first listed value is the server's."""
     def f(x):
         y = f"({x} + {offset}::DOUBLE)"
         return f"greatest({y}, 0.0::DOUBLE)" if clamp else y
-    return f"""{LINES},
-first AS (SELECT o, cell AS serving_cell, q - 150.0::DOUBLE AS s0 FROM r WHERE rn = 1),
-p AS (SELECT first.serving_cell, r.cell AS neighbor_cell, {f('first.s0')} AS s,
-             {f('r.q - 150.0::DOUBLE')} AS n FROM r JOIN first ON r.o = first.o)"""
-
-
-def _syn_stats(offset: float, clamp: bool, where: str = "") -> str:
-    return (f"WITH {_syn_pairs(offset, clamp)}\nSELECT serving_cell, neighbor_cell, {ROUNDED_STATS}\n"
-            f"FROM p {where} GROUP BY serving_cell, neighbor_cell")
+    return f"""p AS (
+  SELECT {CELL.format('l_suppkey')} AS serving_cell,
+         CASE WHEN k = 1 THEN {CELL.format('l_suppkey')} ELSE {CELL.format('l_partkey % 100 + 1 + k')} END AS neighbor_cell,
+         {f('l_quantity - 150.0::DOUBLE')} AS s, {f('(l_quantity - 150.0::DOUBLE + k * 0.25::DOUBLE)')} AS n
+  FROM (SELECT *, unnest(range(2 + l_linenumber % 3)) AS k FROM {source}))"""
 
 
 def _long(stats_cte: str, case_id: int, rnp: int) -> str:
@@ -99,11 +125,11 @@ def _long(stats_cte: str, case_id: int, rnp: int) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT {case_id}::INTEGER AS case_id, {rnp}::INTEGER AS rnp_simulation_id, "
         f"'{k}' AS kind, serving_cell AS cell, serving_cell AS measured_cell_1, "
-        f"neighbor_cell AS measured_cell_2, {R(expr, 'value')}, cnt FROM {stats_cte}"
+        f"neighbor_cell AS measured_cell_2, {expr} AS value, cnt FROM {stats_cte}"
         for k, expr in kinds)
 
 
-GRAPH = f"""{_pairs()},
+GRAPH = f"""{TAB_PAIRS},
 st AS (SELECT serving_cell, neighbor_cell, count(*) AS cnt FROM p GROUP BY serving_cell, neighbor_cell),
 ns AS (SELECT serving_cell AS src, neighbor_cell AS dst, cnt,
               sum(cnt) OVER (PARTITION BY serving_cell) AS total
@@ -117,28 +143,17 @@ comp AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a),
 ue AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM e)"""
 
 
-def _record_cols() -> str:
-    return f"""{LINES},
-rec AS (
-  SELECT o, arg_max(cell, rn) AS last_cell, min(nl) AS nl,
-         max(CASE WHEN rn = 1 THEN cell END) AS serving_cell,
-         max(CASE WHEN rn = 1 THEN l_shipdate END) AS day0,
-         max(CASE WHEN rn = 1 THEN l_partkey END) AS pk0,
-         max(CASE WHEN rn = 1 AND flag <> 'N' THEN floor(l_extendedprice / 100) END) AS dl0,
-         max(CASE WHEN rn = 2 AND flag <> 'N' THEN floor(l_extendedprice / 100) END) AS dl1
-  FROM r GROUP BY o)"""
-
-
 SQL: dict[str, str] = {}
 
 SQL["pair_stats"] = _stats()
-SQL["pair_stats_tabular"] = _stats()
+SQL["pair_stats_tabular"] = _stats_of(TAB_PAIRS)
 SQL["pair_stats_blanks"] = _stats(blank=True)
 SQL["pair_stats_sentinel"] = _stats(blank=True, missing="sentinel")
-SQL["pair_stats_zero"] = _stats(blank=True, missing="zero")
-SQL["pair_stats_multi_report"] = _stats(by_flag=True)
-SQL["synthetic_pairs"] = _syn_stats(140.0, True, "WHERE s > -0.001")
-SQL["synthetic_raw"] = _syn_stats(0.0, False)
+SQL["pair_stats_zero"] = _stats(serving="cell3", missing="zero", first=True, blank=True, split=True)
+SQL["pair_stats_cell_field"] = _stats(serving="cell131", split=True)
+SQL["pair_stats_multi_report"] = _stats(split=True)
+SQL["synthetic_pairs"] = _stats_of(_syn_pairs(140.0, True), "WHERE s > -0.001")
+SQL["synthetic_raw"] = _stats_of(_syn_pairs(0.0, False))
 SQL["rollup_partials"] = _stats()
 SQL["raw_moments"] = (
     f"WITH {_pairs()}\nSELECT serving_cell, neighbor_cell, "
@@ -147,64 +162,72 @@ SQL["raw_moments"] = (
                 + ["count(*) AS cnt"])
     + "\nFROM p GROUP BY serving_cell, neighbor_cell")
 
-SQL["field_stats"] = (
-    f"WITH {_record_cols()}\nSELECT last_cell AS key, "
-    + ", ".join(["sum(dl0) / count(dl0)::DOUBLE AS mean",
-                 "sum(dl0 * dl0) / count(dl0)::DOUBLE AS second_moment",
-                 f"CASE WHEN count(dl0) > 0 THEN "
-                 f"{VAR('count(dl0)::DOUBLE', 'sum(dl0 * dl0)', 'sum(dl0)')} END AS var",
-                 "count(dl0) AS cnt"])
-    + "\nFROM rec WHERE nl = 2 GROUP BY last_cell")
-
-SQL["decode_fields"] = f"""WITH {_record_cols()}
-SELECT o AS record_id, 6::INTEGER AS version, serving_cell AS serving_cell_v0,
+
+def _field_stats(window: str = "") -> str:
+    return f"""WITH {RECORDS}
+SELECT cell131 AS key, sum(dl0)::DOUBLE / count(dl0)::DOUBLE AS mean,
+       (sum(dl0::HUGEINT * dl0) / count(dl0)::DOUBLE)::FLOAT AS second_moment,
+       var_pop(dl0::DOUBLE)::FLOAT AS var, count(dl0) AS cnt
+FROM rb WHERE nb = 2 AND blocks = 2 {window} GROUP BY cell131"""
+
+
+def _months(day: str) -> str:
+    return (f"AND date_trunc('month', {day}) BETWEEN TIMESTAMP '1998-01-01 00:00:00' "
+            "AND TIMESTAMP '1998-07-01 00:00:00'")
+
+
+SQL["field_stats"] = _field_stats()
+SQL["windowed_field_stats"] = _field_stats(_months("day0"))
+SQL["windowed_stats"] = (f"WITH {_pairs(window=_months('day0'))},\nst AS (SELECT serving_cell, neighbor_cell, "
+                         f"{STATS_COLS} FROM p GROUP BY serving_cell, neighbor_cell)\n" + _long("st", 1, 1))
+SQL["windowed_synthetic"] = _stats_of(
+    _syn_pairs(140.0, True, f"(SELECT * FROM lineitem WHERE true {_months('l_shipdate')})"), "WHERE s > -0.001")
+
+SQL["damaged_records"] = """SELECT l_orderkey AS record_id,
+       CASE WHEN l_orderkey % 7 IN (2, 4) THEN 0 ELSE 1 END::INTEGER AS n_reports,
+       l_orderkey % 7 IN (1, 2, 3, 5) AS parse_error
+FROM lineitem"""
+
+SQL["decode_fields"] = f"""WITH {RECORDS}
+SELECT o AS record_id, 6::INTEGER AS version, cell3 AS serving_cell_v0,
        '+00:00' AS tz_offset, strftime(day0, '%m:%d') AS month_day,
-       year(day0)::INTEGER AS year, ((pk0 * 60000) % 86400000)::BIGINT AS time_ms,
-       serving_cell, last_cell AS cell_id, '' AS ue_location_capability,
-       least(nl, 3)::INTEGER AS bearer_count
-FROM rec"""
-
-SQL["measurements"] = f"""WITH {LINES},
-srv AS (SELECT o, cell AS serving_cell FROM r WHERE rn = 1),
-d AS (SELECT o, flag, cell, arg_max(q, rn) AS rsrp FROM r GROUP BY o, flag, cell),
-rp AS (SELECT o, flag, (dense_rank() OVER (PARTITION BY o ORDER BY flag) - 1)::INTEGER AS report_pos
-       FROM (SELECT DISTINCT o, flag FROM r))
-SELECT d.o AS record_id, rp.report_pos, d.cell, {R('d.rsrp', 'rsrp')}, srv.serving_cell,
+       year(day0)::INTEGER AS year, ((pk * 60000) % 86400000)::BIGINT AS time_ms,
+       cell21 AS serving_cell, cell131 AS cell_id, '' AS ue_location_capability,
+       nb AS bearer_count
+FROM r"""
+
+SQL["measurements"] = f"""WITH {_measured(split=True)}
+SELECT d.o AS record_id, d.j::INTEGER AS report_pos, d.cell, d.v AS rsrp, r.cell21 AS serving_cell,
        false AS parse_error
-FROM d JOIN rp ON d.o = rp.o AND d.flag = rp.flag JOIN srv ON d.o = srv.o"""
-
-SQL["bearers"] = f"""WITH {LINES}
-SELECT o AS record_id, (rn - 1)::INTEGER AS bearer_pos, least(nl, 3)::INTEGER AS bearer_count,
-       'pgw-' || l_partkey AS pgw_id, 'apn.' || lower(l_linestatus) AS apn,
-       l_linenumber::INTEGER AS qci, (l_partkey % 1000)::BIGINT AS setup_duration,
-       (4 + rn)::INTEGER AS bearer_id, q::BIGINT AS ul_rlc_kbytes,
-       CASE WHEN flag = 'N' THEN NULL ELSE floor(l_extendedprice / 100)::BIGINT END AS dl_rlc_bytes,
+FROM d JOIN r ON r.id = d.id"""
+
+SQL["bearers"] = f"""WITH {RECORDS},
+b AS (SELECT *, unnest(range(blocks)) AS k FROM rb)
+SELECT o AS record_id, k::INTEGER AS bearer_pos, nb AS bearer_count,
+       'pgw-' || (pk + k) AS pgw_id, 'apn.' || lower(ls) AS apn,
+       ln::INTEGER AS qci, (pk % 1000 + k)::BIGINT AS setup_duration,
+       (5 + k)::INTEGER AS bearer_id, q::BIGINT AS ul_rlc_kbytes,
+       (CASE WHEN k = 0 THEN dl0 WHEN ls = 'F' THEN -1 ELSE cents + k END)::BIGINT AS dl_rlc_bytes,
        0::INTEGER AS tertiary_count
-FROM r WHERE rn <= 3"""
+FROM b"""
 
-SQL["bearer_filters"] = f"""WITH {_record_cols()}
-SELECT o AS record_id, least(nl, 3)::INTEGER AS bearer_count,
-       coalesce(dl0 > 1, false) AS first_dl_gt1,
-       coalesce(least(nl, 3) = 2 AND dl1 >= 0, false) AS second_dl_ge0,
-       least(nl, 3) = 3 AS three_bearers
-FROM rec"""
+SQL["bearer_filters"] = f"""WITH {RECORDS}
+SELECT o AS record_id, nb AS bearer_count, coalesce(dl0 > 1, false) AS first_dl_gt1,
+       coalesce(nb = 2 AND dl1 >= 0, false) AS second_dl_ge0, nb = 3 AS three_bearers
+FROM rb"""
 
-_STATS_CTE = f"{_pairs()},\nst AS (SELECT serving_cell, neighbor_cell, {STATS_COLS} FROM p GROUP BY serving_cell, neighbor_cell)"
+_STATS_CTE = f"{TAB_PAIRS},\nst AS (SELECT serving_cell, neighbor_cell, {STATS_COLS} FROM p GROUP BY serving_cell, neighbor_cell)"
 
 SQL["long_stats"] = f"WITH {_STATS_CTE}\n" + _long("st", 1, 1)
 
-SQL["report_text"] = f"""WITH {_STATS_CTE},
-rs AS (SELECT serving_cell, neighbor_cell, {R('mean_s', 'mean_s')}, {R('mean_n', 'mean_n')},
-              {R('var_s', 'var_s')}, {R('cov_sn', 'cov_sn')}, {R('var_n', 'var_n')}, cnt FROM st)
+SQL["report_text"] = f"""WITH {_STATS_CTE}
 SELECT serving_cell, neighbor_cell,
        printf('%-16s  %-16s   %10.2f%10.2f%10.2f%10.2f%10.2f%8d', serving_cell, neighbor_cell,
               mean_s, mean_n, var_s, cov_sn, var_n, cnt) AS line
-FROM rs"""
+FROM st"""
 
 SQL["replace_partition"] = f"""WITH {_STATS_CTE},
-syn_first AS (SELECT o, cell AS serving_cell, q - 150.0::DOUBLE AS s0 FROM r WHERE rn = 1),
-syn_p AS (SELECT syn_first.serving_cell, r.cell AS neighbor_cell, syn_first.s0 AS s,
-                 r.q - 150.0::DOUBLE AS n FROM r JOIN syn_first ON r.o = syn_first.o),
+{_syn_pairs(0.0, False).replace('p AS (', 'syn_p AS (', 1)},
 syn AS (SELECT serving_cell, neighbor_cell, {STATS_COLS} FROM syn_p GROUP BY serving_cell, neighbor_cell)
 {_long('syn', 1, 1)}
 UNION ALL
@@ -224,7 +247,7 @@ SELECT 'nodes' AS metric, count(*) AS value FROM v
 UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT src, dst FROM e)
 UNION ALL SELECT 'components', count(DISTINCT component) FROM comp"""
 
-SQL["file_window"] = """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value,
+SQL["file_window"] = """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props,
        strftime(date_trunc('hour', ts), '%Y-%m-%d.%H_%M') AS file_hour
 FROM events
 WHERE date_trunc('hour', ts) BETWEEN TIMESTAMP '2024-01-05 12:00:00'
@@ -239,13 +262,11 @@ SQL["scan_json"] = """SELECT doc_id AS post_id, lang, 'u' || doc_id AS author,
 FROM documents"""
 
 SQL["stream_pair_sums"] = f"""WITH {_pairs()},
-t AS (SELECT o, epoch(date_trunc('hour', day0 + to_milliseconds((pk0 * 60000) % 86400000)))::BIGINT AS window_start
-      FROM (SELECT o, max(CASE WHEN rn = 1 THEN l_shipdate END) AS day0,
-                   max(CASE WHEN rn = 1 THEN l_partkey END) AS pk0 FROM r GROUP BY o))
-SELECT t.window_start, serving_cell, neighbor_cell, count(*) AS cnt,
-       {R('sum(s)', 'sum_s')}, {R('sum(n)', 'sum_n')}, {R('sum(s * s)', 'sum_ss')},
-       {R('sum(s * n)', 'sum_sn')}, {R('sum(n * n)', 'sum_nn')}
-FROM p JOIN t ON p.o = t.o
+t AS (SELECT id, epoch(date_trunc('hour', day0 + to_milliseconds((pk * 60000) % 86400000)))::BIGINT AS window_start
+      FROM r)
+SELECT t.window_start, serving_cell, neighbor_cell, count(*) AS cnt, sum(s) AS sum_s, sum(n) AS sum_n,
+       sum(s * s) AS sum_ss, sum(s * n) AS sum_sn, sum(n * n) AS sum_nn
+FROM p JOIN t ON p.id = t.id
 GROUP BY t.window_start, serving_cell, neighbor_cell"""
 
 _Q = "''"   # one quote inside an SQL string literal
@@ -257,6 +278,6 @@ SELECT kind, measured_cell_1, measured_cell_2,
        || value::VARCHAR || ', ' || cnt || ')' AS line
 FROM lg"""
 
-SQL["record_times"] = f"""WITH {_record_cols()}
-SELECT o AS record_id, (epoch_ms(day0) + (pk0 * 60000) % 86400000)::BIGINT AS event_ms
-FROM rec"""
+SQL["record_times"] = f"""WITH {RECORDS}
+SELECT o AS record_id, (epoch_ms(day0) + (pk * 60000) % 86400000)::BIGINT AS event_ms
+FROM r"""

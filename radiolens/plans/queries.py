@@ -1,8 +1,9 @@
 """Named queries over the driver tables: each takes ``(spark, sf_dir)`` and
 returns a DataFrame whose columns match the SQL in ``plans.oracle``.
 
-Statistics are finalised from exact sums (whole-number values), so the
-Spark results and the SQL results are the same doubles, unrounded.
+Pair statistics are finalised from exact sums (quarters of whole numbers), so
+the Spark and the SQL results are the same doubles, unrounded; the field
+statistics, over larger values, are compared in single precision.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import decode as D
 from ..functions import layout as L
 from ..operators import graph, moments, pairs, records, sinks
 from ..session import staging_path, table_path
@@ -19,10 +21,12 @@ from ..sources import render
 from ..sources import records as rsrc
 from ..sources import tables
 from ..streaming import pair_sums
+from . import windowed
 
 REPORT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 GRAPH_THRESHOLD = 0.025
 WINDOW_START, WINDOW_MINUTES = "2024-01-05.12_00", 120
+RECORD_START, RECORD_MINUTES = "1998-01-01.00_00", 181 * 1440   # up to 1998-07-01, inclusive
 STREAM_WINDOW = "1 hour"
 
 
@@ -48,7 +52,7 @@ def _tab_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_pair_stats(spark, sf):
     """Records -> decode -> pairs -> moments -> covariance, sorted (E1)."""
-    return moments.pair_stats(pairs.serving_pairs(_records(spark, sf)), sort=True)
+    return moments.pair_stats(pairs.record_pairs(_records(spark, sf)), sort=True)
 
 
 def q_pair_stats_tabular(spark, sf):
@@ -66,12 +70,19 @@ def q_pair_stats_sentinel(spark, sf):
 
 
 def q_pair_stats_zero(spark, sf):
-    rec = _records(spark, sf, blank_returnflag="R")
+    """First report only, serving cell of field 3, missing one as 0 (P11)."""
+    rec = _records(spark, sf, blank_returnflag="R", split_reports=True)
     p = pairs.serving_pairs(rec, missing_serving="zero", which="first",
                             serving_field=L.SERVING_FIELD_V0)
     return moments.pair_stats(p)
 
 
+def q_pair_stats_cell_field(spark, sf):
+    """Serving cell from field 131, every report."""
+    rec = _records(spark, sf, split_reports=True)
+    return moments.pair_stats(pairs.serving_pairs(rec, serving_field=L.FIELD_MAP["cell_id"][0]))
+
+
 def q_pair_stats_multi_report(spark, sf):
     rec = _records(spark, sf, split_reports=True)
     return moments.pair_stats(pairs.serving_pairs(rec))
@@ -79,8 +90,7 @@ def q_pair_stats_multi_report(spark, sf):
 
 def q_synthetic_pairs(spark, sf):
     rec = render.synthetic_records(_lineitem(spark, sf))
-    p = pairs.synthetic_pairs(rec).where(F.col("s") > -0.001)
-    return moments.pair_stats(p)
+    return moments.pair_stats(pairs.record_pairs(rec, fmt="synthetic"))
 
 
 def q_synthetic_raw(spark, sf):
@@ -107,8 +117,58 @@ def q_rollup_partials(spark, sf):
     return moments.finalize_partials(moments.merge_partials(stored))
 
 
+def _single(stats: DataFrame) -> DataFrame:
+    return stats.select("key", "mean", F.col("second_moment").cast("float").alias("second_moment"),
+                        F.col("var").cast("float").alias("var"), "cnt")
+
+
 def q_field_stats(spark, sf):
-    return moments.default_field_stats(_records(spark, sf))
+    return _single(moments.default_field_stats(_records(spark, sf)))
+
+
+def _month_files(spark, sf, render_rows, name: str) -> str:
+    """Rendered rows as text files, one folder per month; returns the path."""
+    li = _lineitem(spark, sf).withColumn("file_month", render.file_month(F.col("l_shipdate")))
+    path = staging_path(spark, name)
+    render_rows(li, keep=("file_month",)).select("value", "file_month") \
+        .write.partitionBy("file_month").text(path)
+    return path
+
+
+def q_windowed_stats(spark, sf):
+    """Record files of a time window -> decode -> statistics, stored once ->
+    long rows (E1)."""
+    path = _month_files(spark, sf, render.call_records, "record-files")
+    stats = windowed.windowed_cell_statistics(spark, path, RECORD_START, RECORD_MINUTES,
+                                              time_from="file_month")
+    return sinks.to_long(stats, 1, 1)
+
+
+def q_windowed_synthetic(spark, sf):
+    """The same job over files of the synthetic format (S3, P1)."""
+    path = _month_files(spark, sf, render.synthetic_records, "synthetic-files")
+    return windowed.windowed_cell_statistics(spark, path, RECORD_START, RECORD_MINUTES,
+                                             time_from="file_month", fmt="synthetic")
+
+
+def q_windowed_field_stats(spark, sf):
+    """Field statistics over the record files of a time window (E2)."""
+    path = _month_files(spark, sf, render.call_records, "record-files")
+    rec = rsrc.read_records(spark, path, start=RECORD_START, minutes=RECORD_MINUTES, time_from="file_month")
+    return _single(moments.default_field_stats(rec))
+
+
+def q_damaged_records(spark, sf):
+    """Records damaged in six ways: reports that survive and the error flag,
+    also where no report survives."""
+    kind = F.col("l_orderkey") % 7
+    payload = (F.when(kind == 0, F.lit("[999999999;0;c;5;|")).when(kind == 1, F.lit("[1;0;c;30d;|"))
+               .when(kind == 2, F.lit("[1;0;c;30;")).when(kind == 3, F.lit("[1;0;c;30;;x;0;c;30;|"))
+               .when(kind == 4, F.lit("|")).otherwise(F.lit("[1;0;c;30;|")))
+    fixed = D.fixed_part(F.col("value"))
+    head = F.when(kind == 5, F.substring_index(fixed, L.FIELD_SEP, 12)).otherwise(fixed)
+    rec = _records(spark, sf).select("l_orderkey", F.concat(head, payload).alias("value"))
+    return records.parse_errors(rec).select(F.col("l_orderkey").alias("record_id"), "n_reports", "parse_error")
 
 
 def q_decode_fields(spark, sf):
@@ -142,12 +202,13 @@ def q_bearers(spark, sf):
 def q_bearer_filters(spark, sf):
     """Per record: the three bearer guards (first downlink > 1, two bearers
     with second downlink >= 0, three bearers); blanks fail."""
-    b = records.bearers(_records(spark, sf), names=["dl_rlc_bytes"])
-    per = b.groupBy(F.col("l_orderkey").alias("record_id")).agg(
-        F.first("bearer_count").alias("bearer_count"),
-        F.max(F.when(F.col("bearer_pos") == 0, F.col("dl_rlc_bytes"))).alias("dl0"),
-        F.max(F.when(F.col("bearer_pos") == 1, F.col("dl_rlc_bytes"))).alias("dl1"))
-    return per.select(
+    f = D.field_array(F.col("value"))
+    dl = L.bearer_field_position
+    rec = _records(spark, sf).select(F.col("l_orderkey").alias("record_id"), f.alias("f"))
+    return rec.select(
+        "record_id", D.field(F.col("f"), L.BEARER_COUNT_FIELD, "int").alias("bearer_count"),
+        D.field(F.col("f"), dl("dl_rlc_bytes", 0), "bigint").alias("dl0"),
+        D.field(F.col("f"), dl("dl_rlc_bytes", 1), "bigint").alias("dl1")).select(
         "record_id", "bearer_count",
         F.coalesce(F.col("dl0") > 1, F.lit(False)).alias("first_dl_gt1"),
         F.coalesce((F.col("bearer_count") == 2) & (F.col("dl1") >= 0), F.lit(False)).alias("second_dl_ge0"),
@@ -218,17 +279,18 @@ def q_graph_counts(spark, sf):
 # --- sources ----------------------------------------------------------------------
 
 def q_file_window(spark, sf):
-    """Events written as hourly text files, read back through the
-    inclusive two-hour file window (files outside are never opened)."""
+    """Events written as hourly text files with every column, read back
+    through the inclusive two-hour file window (files outside are never
+    opened)."""
     path = staging_path(spark, "event-files")
     lines = render.event_lines(spark.read.parquet(table_path(sf, "events")))
-    lines.repartition("file_hour").write.partitionBy("file_hour").text(path)
+    lines.write.partitionBy("file_hour").text(path)
     df = rsrc.read_records(spark, path, start=WINDOW_START, minutes=WINDOW_MINUTES,
                            time_from="file_hour")
-    t = F.split("value", ";", -1)
+    t = F.split("value", ";", 6)
     return df.select(F.get(t, 0).cast("bigint").alias("event_id"), F.get(t, 1).alias("ts"),
                      F.get(t, 2).cast("bigint").alias("user_id"), F.get(t, 3).alias("event_type"),
-                     F.get(t, 4).cast("double").alias("value"),
+                     F.get(t, 4).cast("double").alias("value"), F.get(t, 5).alias("props"),
                      F.col("file_hour").cast("string").alias("file_hour"))
 
 
@@ -267,7 +329,7 @@ def q_stream_pair_sums(spark, sf):
     """Rendered records land as files; a stream decodes them and keeps
     per-hour, per-pair sums as state (several micro-batches)."""
     src = staging_path(spark, "stream-in")
-    _records(spark, sf).select("value").repartition(8).write.text(src)
+    _records(spark, sf).repartition("l_orderkey").select("value").write.text(src)
     # The rendered records span years in no particular file order, so the
     # allowed lateness covers that disorder; the result then equals the batch.
     out = pair_sums.run_available(spark, src, staging_path(spark, "stream-out"),
@@ -289,6 +351,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_moments": q_raw_moments,
     "rollup_partials": q_rollup_partials,
     "field_stats": q_field_stats,
+    "pair_stats_cell_field": q_pair_stats_cell_field,
+    "windowed_stats": q_windowed_stats,
+    "windowed_synthetic": q_windowed_synthetic,
+    "windowed_field_stats": q_windowed_field_stats,
+    "damaged_records": q_damaged_records,
     "decode_fields": q_decode_fields,
     "measurements": q_measurements,
     "record_times": q_record_times,

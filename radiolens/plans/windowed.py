@@ -2,8 +2,8 @@
 window, decode them, compute the pair statistics, and produce the outputs
 (text report, tuple export, replaceable long table, interference graph).
 
-One Spark job per output over all selected files; the files are pruned by
-name before any is opened.
+The files are pruned by name before any is opened, and decoded once: the
+statistics are stored in the shared folder and every output reads that table.
 """
 
 from __future__ import annotations
@@ -12,18 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import layout as L
 from ..operators import graph, moments, pairs, sinks
+from ..session import staging_path
 from ..sources import records as rsrc
 
 
 def windowed_cell_statistics(spark: SparkSession, path: str | list[str], start: str,
                              minutes: int, *, fmt: str = "real", sort: bool = True,
-                             **options) -> DataFrame:
+                             time_from: str = "file_name", **options) -> DataFrame:
     """Pair statistics over the files whose name time lies in
     ``[start, start + minutes]``.  ``options`` go to the pair decoder
     (``missing_serving``, ``which``, ``serving_field``, or ``offset`` /
-    ``clamp`` for the synthetic format)."""
-    recs = rsrc.read_records(spark, path, start=start, minutes=minutes)
-    return moments.pair_stats(pairs.record_pairs(recs, fmt=fmt, **options), sort=sort)
+    ``clamp`` for the synthetic format).  The statistics are computed here,
+    once, and stored; the result reads the stored table."""
+    read = rsrc.read_synthetic if fmt == "synthetic" else rsrc.read_records
+    recs = read(spark, path, start=start, minutes=minutes, time_from=time_from)
+    stats = moments.pair_stats(pairs.record_pairs(recs, fmt=fmt, **options))
+    stored = staging_path(spark, "cell-statistics")
+    stats.write.parquet(stored)
+    stats = spark.read.schema(stats.schema).parquet(stored)
+    return stats.orderBy(*moments.PAIR_KEYS) if sort else stats
 
 
 def write_outputs(stats: DataFrame, out_dir: str, *, case_id: int, rnp_id: int,

@@ -1,14 +1,19 @@
 """Render the driver's tables as call records, so every record-format
 operator runs on data that grows with the given tables.
 
-Stand-in mapping (lineitem): report = order, cell = supplier, RSRP index =
-quantity, order inside a report = (linenumber, partkey, suppkey, quantity);
-the serving cell is the cell of the order's first line.  A record is one
-text line per order, like one call record per call: the lines of an order
-are gathered into that line (an order holds at most a few lines in these
-tables; a call record is bounded by its line in the real format).  The
-operators under test never gather anything -- they decode each line on its
-own.
+Stand-in mapping: every ``lineitem`` row is one call record, rendered from
+that row's own columns.  Rendering is narrow -- no shuffle, nothing is
+gathered, no count is limited:
+
+* serving cell (field 21) = supplier; field 3 = the next supplier number;
+  field 131 = a cell from the part number, so the three serving fields differ;
+* ``bearer_count`` = line number - 1, and as many bearer blocks; records
+  whose cell number is 5 modulo 11 state the count but are cut before the
+  first block (a short record);
+* one report, or 1 to 3 with ``split_reports``, of 2 to 4 measurements: a
+  neighbour, the serving cell, the neighbour again (last wins) and the next
+  cell (a blank cell id where the line status is ``F``);
+* line 7 has no payload.
 """
 
 from __future__ import annotations
@@ -19,54 +24,58 @@ from pyspark.sql import functions as F
 from ..functions import layout as L
 
 # --- fixed values of the rendering ------------------------------------------
-CELL_PREFIX = "311:480:"      # cell id = prefix + lower-case hex of l_suppkey
+CELL_PREFIX = "311:480:"      # cell id = prefix + lower-case hex of a number
 RECORD_VERSION = "6"
 TZ_OFFSET = "+00:00"
-MAX_BEARERS = 3               # an order's first three lines become bearers
-REPORT_FLAGS = ["A", "N", "R"]   # multi-report layout: one report per return flag
+NO_PAYLOAD_LINE = 7           # records of this line number have no payload
 
-LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
-               "l_linestatus", "l_extendedprice", "l_shipdate"]
 
+def cell_id(number: Column) -> Column:
+    return F.concat(F.lit(CELL_PREFIX), F.lower(F.hex(number)))
 
-def cell_id(suppkey: Column) -> Column:
-    return F.concat(F.lit(CELL_PREFIX), F.lower(F.hex(suppkey)))
 
+def _part_number() -> Column:
+    return F.col("l_partkey") % 100 + 1
 
-def order_lines(lineitem: DataFrame) -> DataFrame:
-    """``l_orderkey, lines`` with the order's lines sorted by the report
-    order (struct ordering = linenumber, partkey, suppkey, quantity, ...)."""
-    ln = F.struct(*[F.col(c) for c in LINE_FIELDS])
-    # Building a list gains nothing from a map-side combine, so rows are hashed
-    # to their order's task first and the list is built there, in parallel.
-    return (lineitem.repartition("l_orderkey").groupBy("l_orderkey")
-            .agg(F.sort_array(F.collect_list(ln)).alias("lines")))
 
+def _text(x: Column) -> Column:
+    return x.cast("string")
 
-def _rsrp_text(ln: Column, blank_returnflag: str | None) -> Column:
-    txt = ln["l_quantity"].cast("int").cast("string")
+
+def _upto(n: Column) -> Column:
+    """``0 .. n-1``; empty for ``n = 0``."""
+    return F.slice(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), 1, F.greatest(n, F.lit(0)))
+
+
+def _rsrp(j: Column, k: Column) -> Column:
+    return F.col("l_quantity") + k * F.lit(0.25) + j * F.lit(2.0)
+
+
+def _measurement(j: Column, k: Column, blank_returnflag: str | None) -> Column:
+    sk = F.col("l_suppkey")
+    cell = (F.when(k == 1, cell_id(sk))
+            .when((k == 3) & (F.col("l_linestatus") == "F"), F.lit(""))
+            .when(k == 3, cell_id(sk + 1)).otherwise(cell_id(_part_number())))
+    rsrp = _text(_rsrp(j, k))
     if blank_returnflag is not None:
-        txt = F.when(ln["l_returnflag"] == blank_returnflag, F.lit("")).otherwise(txt)
-    return txt
+        rsrp = F.when((k == 1) & (F.col("l_returnflag") == blank_returnflag), F.lit("")).otherwise(rsrp)
+    return F.concat_ws(L.FIELD_SEP, _text(k), cell, rsrp, F.lit(""))
 
 
-def _report_text(lines: Column, blank_returnflag: str | None) -> Column:
-    meas = F.transform(lines, lambda ln: F.concat_ws(
-        L.FIELD_SEP, ln["l_linenumber"].cast("string"), cell_id(ln["l_suppkey"]),
-        _rsrp_text(ln, blank_returnflag), F.lit("")))
-    return F.concat_ws(L.FIELD_SEP, F.size(lines).cast("string"), F.array_join(meas, L.FIELD_SEP))
+def _report_text(j: Column, blank_returnflag: str | None) -> Column:
+    n = F.lit(2) + F.col("l_linenumber") % 3
+    meas = F.transform(_upto(n), lambda k: _measurement(j, k, blank_returnflag))
+    return F.concat_ws(L.FIELD_SEP, _text(n), F.array_join(meas, L.FIELD_SEP))
 
 
-def _payload(lines: Column, *, split_reports: bool, blank_returnflag: str | None) -> Column:
+def _payload(*, split_reports: bool, blank_returnflag: str | None) -> Column:
     if split_reports:
-        groups = F.transform(F.array(*[F.lit(f) for f in REPORT_FLAGS]),
-                             lambda f: F.filter(lines, lambda ln: ln["l_returnflag"] == f))
-        groups = F.filter(groups, lambda g: F.size(g) > 0)
-        body = F.array_join(F.transform(groups, lambda g: _report_text(g, blank_returnflag)),
-                            L.FIELD_SEP)
+        n = F.lit(1) + F.col("l_linenumber") % 3
+        body = F.array_join(F.transform(_upto(n), lambda j: _report_text(j, blank_returnflag)), L.FIELD_SEP)
     else:
-        body = _report_text(lines, blank_returnflag)
-    return F.concat(F.lit(L.PAYLOAD_START), body, F.lit(L.RECORD_END))
+        body = _report_text(F.lit(0), blank_returnflag)
+    return F.when(F.col("l_linenumber") == NO_PAYLOAD_LINE, F.lit(L.RECORD_END)) \
+            .otherwise(F.concat(F.lit(L.PAYLOAD_START), body, F.lit(L.RECORD_END)))
 
 
 def join_fields(values: dict[int, Column], n: int) -> Column:
@@ -88,82 +97,77 @@ def join_fields(values: dict[int, Column], n: int) -> Column:
     return F.concat(*parts)
 
 
-def _bearer_block(ln: Column, k: int) -> Column:
+def _cents() -> Column:
+    return F.round(F.col("l_extendedprice") * 100).cast("bigint")
+
+
+def _bearer_block(k: Column) -> Column:
+    first = F.when(F.col("l_returnflag") == "A", _cents()).when(F.col("l_returnflag") == "R", _cents() % 4)
+    later = F.when(F.col("l_linestatus") == "F", F.lit(-1).cast("bigint")).otherwise(_cents() + k)
     vals = {
-        0: F.concat(F.lit("pgw-"), ln["l_partkey"].cast("string")),
-        1: F.concat(F.lit("apn."), F.lower(ln["l_linestatus"])),
-        5: ln["l_linenumber"].cast("string"),
-        6: (ln["l_partkey"] % 1000).cast("string"),
-        7: F.lit(str(5 + k)),
-        16: ln["l_quantity"].cast("int").cast("string"),
-        17: F.when(ln["l_returnflag"] == "N", F.lit(""))
-             .otherwise(F.floor(ln["l_extendedprice"] / 100).cast("string")),
+        0: F.concat(F.lit("pgw-"), _text(F.col("l_partkey") + k)),
+        1: F.concat(F.lit("apn."), F.lower("l_linestatus")),
+        5: _text(F.col("l_linenumber")),
+        6: _text(F.col("l_partkey") % 1000 + k),
+        7: _text(k + 5),
+        16: _text(F.col("l_quantity").cast("bigint")),
+        17: _text(F.when(k == 0, first).otherwise(later)),
         31: F.lit("0"),
     }
     return join_fields({i + 1: v for i, v in vals.items()}, L.BEARER_WIDTH)
 
 
-def call_record(l_orderkey: Column, lines: Column, *, split_reports: bool = False,
-                blank_returnflag: str | None = None) -> Column:
-    """Text of one version-6 call record for an order's sorted lines."""
-    first = F.try_element_at(lines, F.lit(1))
-    last = F.try_element_at(lines, F.lit(-1))
-    srv = cell_id(first["l_suppkey"])
-    nb = F.least(F.size(lines), F.lit(MAX_BEARERS))
+def call_records(lineitem: DataFrame, *, split_reports: bool = False,
+                 blank_returnflag: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``l_orderkey`` and ``value`` (the record text) per row, with ``keep``.
+
+    ``split_reports`` writes several reports per record; ``blank_returnflag``
+    blanks the serving cell's RSRP on rows with that flag, so their reports
+    miss the serving cell.
+    """
+    nb = F.greatest(F.coalesce(F.col("l_linenumber"), F.lit(0)) - 1, F.lit(0))
     head = {
         1: F.lit(RECORD_VERSION),
-        2: l_orderkey.cast("string"),
-        3: srv,
+        2: _text(F.col("l_orderkey")),
+        3: cell_id(F.col("l_suppkey") + 1),
         4: F.lit(TZ_OFFSET),
-        5: F.date_format(first["l_shipdate"], "MM:dd"),
-        6: F.year(first["l_shipdate"]).cast("string"),
-        8: ((first["l_partkey"] * 60000) % 86400000).cast("string"),
-        21: srv,
-        131: cell_id(last["l_suppkey"]),
-        173: nb.cast("string"),
+        5: F.date_format("l_shipdate", "MM:dd"),
+        6: _text(F.year("l_shipdate")),
+        8: _text((F.col("l_partkey") * 60000) % 86400000),
+        21: cell_id(F.col("l_suppkey")),
+        131: cell_id(_part_number()),
+        173: _text(nb),
     }
-    fixed = join_fields(head, L.FIXED_FIELDS)
-    blocks = [F.when(nb > k, F.concat(F.lit(L.FIELD_SEP),
-                                      _bearer_block(F.try_element_at(lines, F.lit(k + 1)), k)))
-              .otherwise(F.lit("")) for k in range(MAX_BEARERS)]
-    return F.concat(fixed, *blocks,
-                    _payload(lines, split_reports=split_reports, blank_returnflag=blank_returnflag))
+    written = F.when(_part_number() % 11 == 5, F.lit(0)).otherwise(nb)
+    blocks = F.transform(_upto(written), lambda k: F.concat(F.lit(L.FIELD_SEP), _bearer_block(k)))
+    value = F.concat(join_fields(head, L.FIXED_FIELDS), F.array_join(blocks, ""),
+                     _payload(split_reports=split_reports, blank_returnflag=blank_returnflag))
+    return lineitem.select("l_orderkey", *keep, value.alias("value"))
 
 
-def call_records(lineitem: DataFrame, *, split_reports: bool = False,
-                 blank_returnflag: str | None = None) -> DataFrame:
-    """``value`` (record text) and ``l_orderkey`` per order.
+def synthetic_records(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Synthetic ``,`` records per row: the serving cell, then 2 to 4
+    measurements in dBm, of which the first is a neighbour's."""
+    n = F.lit(2) + F.col("l_linenumber") % 3
+    items = F.transform(_upto(n), lambda k: F.concat_ws(
+        L.SYN_SEP, F.when(k == 1, cell_id(F.col("l_suppkey"))).otherwise(cell_id(_part_number() + k)),
+        _text(F.col("l_quantity") - F.lit(150.0) + k * F.lit(0.25))))
+    value = F.concat_ws(L.SYN_SEP, cell_id(F.col("l_suppkey")), _text(F.col("l_orderkey")), F.lit("0"),
+                        _text(n), F.array_join(items, L.SYN_SEP))
+    return lineitem.select("l_orderkey", *keep, value.alias("value"))
 
-    ``split_reports`` writes one report per return flag (several reports per
-    record); ``blank_returnflag`` blanks the RSRP of lines with that flag, so
-    some reports miss their serving cell.
-    """
-    per_order = order_lines(lineitem)
-    return per_order.select(
-        "l_orderkey",
-        call_record(F.col("l_orderkey"), F.col("lines"), split_reports=split_reports,
-                    blank_returnflag=blank_returnflag).alias("value"))
-
-
-def synthetic_records(lineitem: DataFrame) -> DataFrame:
-    """Synthetic ``,`` records per order: serving = first line's cell, then
-    every line as ``cell, rsrp`` with rsrp in dBm = quantity - 150."""
-    per_order = order_lines(lineitem)
-    lines = F.col("lines")
-    items = F.transform(lines, lambda ln: F.concat_ws(
-        L.SYN_SEP, cell_id(ln["l_suppkey"]), (ln["l_quantity"] - F.lit(150.0)).cast("string")))
-    value = F.concat_ws(L.SYN_SEP, cell_id(F.try_element_at(lines, F.lit(1))["l_suppkey"]),
-                        F.col("l_orderkey").cast("string"), F.lit("0"),
-                        F.size(lines).cast("string"), F.array_join(items, L.SYN_SEP))
-    return per_order.select("l_orderkey", value.alias("value"))
+
+def file_month(ts: Column) -> Column:
+    """File key of a row's month, in the form of the file names."""
+    return F.date_format(F.date_trunc("month", ts), "yyyy-MM-dd.HH_mm")
 
 
 def event_lines(events: DataFrame) -> DataFrame:
     """Events as ``;`` text lines with an hourly file key ``file_hour``
     (``yyyy-MM-dd.HH_mm``), for the file-window scan."""
     value = F.concat_ws(L.FIELD_SEP, F.col("event_id").cast("string"),
-                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
                         F.col("user_id").cast("string"), F.col("event_type"),
-                        F.col("value").cast("string"))
+                        F.col("value").cast("string"), F.col("props"))
     return events.select(value.alias("value"),
                          F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd.HH_mm").alias("file_hour"))
