@@ -34,8 +34,20 @@ def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(table_path(sf, "lineitem"))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than the cluster has cores (one row group, say)
+    goes round-robin to all of them, as its records would lie in many files;
+    anything larger is read as it is split, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _records(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return render.call_records(_lineitem(spark, sf), **kw)
+    return render.call_records(_spread(_lineitem(spark, sf)), **kw)
+
+
+def _synthetic(spark: SparkSession, sf: str) -> DataFrame:
+    return render.synthetic_records(_spread(_lineitem(spark, sf)))
 
 
 def _tab_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,13 +101,11 @@ def q_pair_stats_multi_report(spark, sf):
 
 
 def q_synthetic_pairs(spark, sf):
-    rec = render.synthetic_records(_lineitem(spark, sf))
-    return moments.pair_stats(pairs.record_pairs(rec, fmt="synthetic"))
+    return moments.pair_stats(pairs.record_pairs(_synthetic(spark, sf), fmt="synthetic"))
 
 
 def q_synthetic_raw(spark, sf):
-    rec = render.synthetic_records(_lineitem(spark, sf))
-    return moments.pair_stats(pairs.synthetic_pairs(rec, offset=0.0, clamp=False))
+    return moments.pair_stats(pairs.synthetic_pairs(_synthetic(spark, sf), offset=0.0, clamp=False))
 
 
 def q_raw_moments(spark, sf):
@@ -128,7 +138,7 @@ def q_field_stats(spark, sf):
 
 def _month_files(spark, sf, render_rows, name: str) -> str:
     """Rendered rows as text files, one folder per month; returns the path."""
-    li = _lineitem(spark, sf).withColumn("file_month", render.file_month(F.col("l_shipdate")))
+    li = _spread(_lineitem(spark, sf)).withColumn("file_month", render.file_month(F.col("l_shipdate")))
     path = staging_path(spark, name)
     render_rows(li, keep=("file_month",)).select("value", "file_month") \
         .write.partitionBy("file_month").text(path)
@@ -239,8 +249,7 @@ def q_replace_partition(spark, sf):
     stats = _tab_stats(spark, sf)
     for rnp in (1, 2):
         sinks.replace_case(sinks.to_long(stats, 1, rnp), path, 1, rnp)
-    syn = moments.pair_stats(pairs.synthetic_pairs(render.synthetic_records(_lineitem(spark, sf)),
-                                                   offset=0.0, clamp=False))
+    syn = moments.pair_stats(pairs.synthetic_pairs(_synthetic(spark, sf), offset=0.0, clamp=False))
     sinks.replace_case(sinks.to_long(syn, 1, 1), path, 1, 1, overwrite=True)
     return sinks.read_long_table(spark, path)
 
@@ -329,7 +338,7 @@ def q_stream_pair_sums(spark, sf):
     """Rendered records land as files; a stream decodes them and keeps
     per-hour, per-pair sums as state (several micro-batches)."""
     src = staging_path(spark, "stream-in")
-    _records(spark, sf).repartition("l_orderkey").select("value").write.text(src)
+    _records(spark, sf).select("value").write.text(src)
     # The rendered records span years in no particular file order, so the
     # allowed lateness covers that disorder; the result then equals the batch.
     out = pair_sums.run_available(spark, src, staging_path(spark, "stream-out"),

@@ -74,6 +74,27 @@ def test_parse_error_flags(spark):
     assert {r["id"] for r in base.collect() if r["bad"]} == {10}
 
 
+def test_damaged_counts_and_numbers(spark):
+    huge = [record_line(payload="[999999999;7;X:1;30;5|"), record_line(payload="[1;7;X:1;30d;5|"),
+            record_line(payload="[1;7;X:1;30;5;x;7;X:1;31;5|"), record_line(payload="[z;7;X:1;30;5|"),
+            record_line(payload="[1;7;X:1;30;5"), record_line(payload="|"),
+            record_line(n_fields=233 + 36, payload="|", fields={173: "2000000000", 234: "pgw"})]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(huge)], "id int, value string")
+    got = {r.id: (r.n_reports, r.parse_error) for r in records.parse_errors(df).collect()}
+    assert got == {0: (1, False), 1: (1, True), 2: (1, True), 3: (0, True), 4: (0, True),
+                   5: (0, False), 6: (0, False)}
+    assert _pairs(spark, huge[:3]) == {("X:1", "X:1", 30.0, 30.0)}
+    assert [(r.id, r.bearer_pos, r.pgw_id) for r in records.bearers(df).collect()] == [(6, 0, "pgw")]
+
+
+def test_long_report_last_wins(spark):
+    # one report of 20 000 measurements over 100 cells
+    n = 20_000
+    body = ";".join(f"7;X:{i % 100};{i};5" for i in range(n))
+    got = _pairs(spark, [record_line(payload=f"[{n};{body}|")])
+    assert got == {("X:1", f"X:{c}", float(n - 99), float(n - 100 + c)) for c in range(100)}
+
+
 def test_field_at_matches_field_array(spark):
     line = record_line(payload="[1;7;X:1;29;5|", fields={5: "03:26", 8: "76320870", 173: "2"})
     df = spark.createDataFrame([(line,), ("6;x|",), ("",)], "value string")

@@ -55,3 +55,9 @@ def test_field_stats(spark):
     got = {r.key: (r.mean, r.second_moment, r.var, r.cnt)
            for r in moments.field_stats(df, "key", "v", where=F.col("bc") == 2).collect()}
     assert got == {"k1": (2.0, 5.0, 1.0, 2), "k3": (None, None, None, 0)}
+
+
+def test_field_stats_of_large_values(spark):
+    # byte counters: 1e9 and 1e9 + 1 in turn
+    df = spark.range(100_000).selectExpr("'k' AS key", "1e9D + id % 2 AS v")
+    assert abs(moments.field_stats(df, "key", "v").first()["var"] - 0.25) < 1e-6

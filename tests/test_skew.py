@@ -118,3 +118,20 @@ def test_operators_with_salting_active(spark, monkeypatch):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9
+
+
+def test_rendered_records_are_narrow(spark):
+    """One order with a third of the rows: a record per row, no gather, no shuffle."""
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    from radiolens.sources import render
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, 1).otherwise(F.col("l_orderkey")))
+    rec = render.call_records(hot, split_reports=True)
+    plan = _plan(rec)
+    assert "collect_list" not in plan and "Exchange" not in plan
+    assert rec.count() == li.count()
+    # the order number is not part of the statistics
+    a, b = (moments.pair_stats(pairs.serving_pairs(r)).collect()
+            for r in (rec, render.call_records(li, split_reports=True)))
+    assert sorted(a) == sorted(b)

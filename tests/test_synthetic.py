@@ -29,5 +29,10 @@ def test_raw_dbm(spark):
         {("X:1", "X:1", -100.0, -100.0), ("X:1", "X:2", -100.0, -150.0)}
 
 
+def test_damaged_count_and_number(spark):
+    assert _pairs(spark, ["X:1,0,0,2000000000,X:1,-100.0,X:2,-90d", "X:1,0,0,x,X:1,-100.0"]) == \
+        {("X:1", "X:1", 40.0, 40.0)}
+
+
 def test_count_beyond_data(spark):
     assert _pairs(spark, ["X:1,0,0,3,X:1,-100.0"]) == {("X:1", "X:1", 40.0, 40.0)}
