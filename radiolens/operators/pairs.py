@@ -67,7 +67,7 @@ def serving_pairs(records: DataFrame, *, missing_serving: str = "drop",
 
 def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
                           order: list[str], keep: tuple[str, ...] = (),
-                          missing_serving: str = "drop") -> DataFrame:
+                          missing_serving: str = "drop", task_rows: int | None = None) -> DataFrame:
     """Pairs from a table with one row per measurement.
 
     ``report`` identifies the report, ``order`` orders rows within it; the
@@ -75,7 +75,7 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     row (last wins).  Built from two partial (map-side combined)
     aggregations and one equi-join; no group is ever collected, and a report
     holding a large share of all rows is spread over several tasks by
-    ``join_one_per_key``.
+    ``join_one_per_key``, ``task_rows`` to each.
     """
     o = F.struct(*[F.col(c) for c in order])
     v = F.col(value).cast("double")
@@ -109,7 +109,8 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
     meas = per_cell.where(F.col("n").isNotNull() & F.col("_first").isNotNull())
     # hot reports from a count over the report column alone (one narrow
     # column of the input; an upper bound on the report's cells)
-    return join_one_per_key(meas, rep, "_r", key_rows=base.select("_r")).select(
+    return join_one_per_key(meas, rep, "_r", key_rows=base.select("_r"),
+                            task_rows=task_rows).select(
         *keep, "serving_cell", F.col("_c").alias("neighbor_cell"), s.alias("s"), "n")
 
 

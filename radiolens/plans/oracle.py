@@ -147,6 +147,9 @@ SQL: dict[str, str] = {}
 
 SQL["pair_stats"] = _stats()
 SQL["pair_stats_tabular"] = _stats_of(TAB_PAIRS)
+SQL["pair_stats_hot_report"] = _stats_of(TAB_PAIRS.replace(
+    "FROM lineitem", "FROM (SELECT * REPLACE (CASE WHEN l_partkey % 3 = 0 THEN -1 ELSE l_orderkey END AS l_orderkey) "
+    "FROM lineitem)"))
 SQL["pair_stats_blanks"] = _stats(blank=True)
 SQL["pair_stats_sentinel"] = _stats(blank=True, missing="sentinel")
 SQL["pair_stats_zero"] = _stats(serving="cell3", missing="zero", first=True, blank=True, split=True)

@@ -71,6 +71,16 @@ def q_pair_stats_tabular(spark, sf):
     return _tab_stats(spark, sf)
 
 
+def q_pair_stats_hot_report(spark, sf):
+    """The tabular form where one report holds a third of the rows, its join
+    split into many tasks."""
+    li = _lineitem(spark, sf).select(
+        F.when(F.col("l_partkey") % 3 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("l_orderkey")).alias("report"),
+        render.cell_id(F.col("l_suppkey")).alias("cell"), *REPORT_ORDER)
+    return moments.pair_stats(pairs.serving_pairs_tabular(
+        li, report="report", cell="cell", value="l_quantity", order=REPORT_ORDER, task_rows=500))
+
+
 def q_pair_stats_blanks(spark, sf):
     rec = _records(spark, sf, blank_returnflag="R")
     return moments.pair_stats(pairs.serving_pairs(rec, missing_serving="drop"))
@@ -351,6 +361,7 @@ def q_stream_pair_sums(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_stats": q_pair_stats,
     "pair_stats_tabular": q_pair_stats_tabular,
+    "pair_stats_hot_report": q_pair_stats_hot_report,
     "pair_stats_blanks": q_pair_stats_blanks,
     "pair_stats_sentinel": q_pair_stats_sentinel,
     "pair_stats_zero": q_pair_stats_zero,

@@ -70,31 +70,31 @@ def test_join_one_per_key_salts_hot_keys(spark):
     many = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(3000)], "k long, x long")
     one = spark.createDataFrame([(k, f"v{k}") for k in range(0, 3000, 7)], "k long, v string")
     cnt = many.groupBy("k").count()
-    assert [r.k for r in hot_keys(cnt, ["k"], "count", max_keys=5, min_rows=10).collect()] == [0]
+    assert [r.k for r in hot_keys(cnt, ["k"], "count", max_keys=5, task_rows=10).collect()] == [0]
     plain = sorted(tuple(r) for r in many.join(one, "k").collect())
     for how in ("inner", "left"):
         got = sorted(tuple(r) for r in join_one_per_key(
-            many, one, "k", how=how, salts=8, max_keys=5, min_rows=10).collect())
+            many, one, "k", how=how, max_keys=5, task_rows=10).collect())
         want = plain if how == "inner" else sorted(tuple(r) for r in many.join(one, "k", "left").collect())
         assert got == want
         # with the per-key count supplied by the one side
         one_n = one.join(cnt, "k", "left").fillna(0, ["count"])
         got = sorted(tuple(r) for r in join_one_per_key(
-            many, one_n, "k", how=how, counts="count", salts=8, max_keys=5, min_rows=10).collect())
+            many, one_n, "k", how=how, counts="count", max_keys=5, task_rows=10).collect())
         assert got == want
     # the hot key's rows really are spread over several salts
     from pyspark.sql import functions as F
-    salted = many.join(F.broadcast(hot_keys(cnt, ["k"], "count", max_keys=5, min_rows=10)), "k")
-    assert salted.select(F.pmod(F.xxhash64("k", "x"), F.lit(8))).distinct().count() == 8
+    salted = many.join(F.broadcast(hot_keys(cnt, ["k"], "count", max_keys=5, task_rows=10)), "k")
+    assert salted.select("_salts").distinct().collect()[0][0] == 201      # 2001 rows, 10 to a task
+    assert salted.select(F.pmod(F.xxhash64("k", "x"), "_salts")).distinct().count() > 190
 
 
 def test_operators_with_salting_active(spark, monkeypatch):
     """Force every many-to-one join to salt (tiny thresholds) and check the
     operators still give the exact answers."""
     from radiolens.operators import graph, joins
-    monkeypatch.setattr(joins, "MIN_HOT_ROWS", 5)
+    monkeypatch.setattr(joins, "TASK_ROWS", 5)
     monkeypatch.setattr(joins, "MAX_HOT_KEYS", 3)
-    monkeypatch.setattr(joins, "SALTS", 4)
     # a hub graph: "a00" linked to 40 leaves, plus a chain and an isolated node
     names = [f"a{i:02d}" for i in range(50)]
     edges = [("a00", names[i]) for i in range(1, 41)] + [("a41", "a42"), ("a42", "a43")]
