@@ -34,6 +34,8 @@ HEADLINE = [
     "edges",
     "components",
     "file_window",
+    "windowed_stats",        # E1 from record files of a window
+    "windowed_field_stats",
     "stream_pair_sums",
 ]
 
