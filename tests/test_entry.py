@@ -8,11 +8,11 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 
-def test_entry_runs(spark):
+def test_entry_runs(spark, duck):
     df = E.entry(spark)
     assert df.columns == ["serving_cell", "neighbor_cell", "mean_s", "mean_n", "var_s",
                           "cov_sn", "var_n", "cnt"]
-    assert df.count() == 100
+    assert df.count() == len(duck.sql(E.oracle_sql()["pair_stats"]).fetchall()) > 0
 
 
 NAMES = sorted(E.QUERIES)
