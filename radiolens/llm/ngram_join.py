@@ -22,7 +22,9 @@ of two such vectors is never more than d, so it may only rule pairs out.
 
 Large cells are split with DataFrame joins against their pivot (one row per member, no
 gathering) and, if documents remain outside, into the cells of a second shingle;
-only cells of at most ``SMALL`` members are finished inside one task.  Documents
+only cells of at most ``SMALL`` members are finished inside one task.  The pivot of a cell
+is its smallest set: linked sets that have no shingle in common but the cell's own both link
+to it, so a pair for which no deeper cell is left is connected already.  Documents
 with equal shingle sets are one node from the start.  Nothing is capped: every
 pair within r shares a cell at every level until its link, or a path of links, is found.
 """
@@ -268,25 +270,29 @@ def _deeper(threshold: tuple[int, int]):
                 cells = mix64(s[at] ^ mix64(np.array([r["_cell"]], np.int64).view(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cells.view(np.int64)), pa.array([r["_node"]] * len(at), pa.int64()),
-                     pa.array(at, pa.int32()), pa.array([r["_depth"] + 1] * len(at), pa.int32())],
-                    ["_cell", "_node", "_pos", "_depth"])
+                     pa.array(at, pa.int32()), pa.array([r["_depth"] + 1] * len(at), pa.int32()),
+                     pa.array([len(s)] * len(at), pa.int64())],
+                    ["_cell", "_node", "_pos", "_depth", "_n"])
     return run
 
 
 CELL = "_cell long, _node long, _pos int, _depth int"
+SIZED = CELL + ", _n long"
 
 
 def _open_cells(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Cells whose members are not yet all connected: ``_cell``, ``_count``, ``_pivot``; of cells
-    with the same members one is kept."""
+    """Cells whose members are not yet all connected: ``_cell``, ``_count``, ``_pivot`` (the
+    member with the smallest set); of cells with the same members one is kept."""
     m = members
     if labels is not None:
         m = m.join(labels, m["_node"] == labels["node"], "left").withColumn("_comp", F.coalesce("component", "_node"))
     else:
         m = m.withColumn("_comp", F.col("_node"))
+    # sizes come with the members that possible_members keeps; before that no pivot is used
+    pivot = F.min_by("_node", F.struct("_n", "_node")) if "_n" in m.columns else F.min("_node")
     cells = (m.groupBy("_cell").agg(
         F.count("*").alias("_count"), F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"),
-        F.min("_node").alias("_pivot"), F.bit_xor(F.xxhash64("_node")).alias("_x"),
+        pivot.alias("_pivot"), F.bit_xor(F.xxhash64("_node")).alias("_x"),
         F.bit_xor(F.hash("_node")).alias("_y")).where("_lo <> _hi"))
     # a large cell is kept for itself: equal members may sit at other places of their sets
     same = F.when(F.col("_count") > SMALL, F.col("_cell"))
@@ -350,7 +356,7 @@ def link_nodes(first: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
             kept = (star.join(outside, "_cell")
                     .where(~F.col("_near") | (F.col("_d") >= F.col("_dmin") - F.lit(radius + 1e-9))))
             members = staged(kept.select("_cell", "_node", "_pos", "_depth").join(sets, "_node")
-                             .mapInArrow(_deeper(threshold), CELL), "deeper")
+                             .mapInArrow(_deeper(threshold), SIZED), "deeper")
         edges = staged(edges.unionByName(found), "edges")
         labels = staged(components(edges), "labels") if more else labels
         if not more:
@@ -360,7 +366,7 @@ def link_nodes(first: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
 def _possible(threshold: tuple[int, int]):
     """From members sorted by cell, those with a partner in the cell that sizes and count vectors
     do not rule out; large cells pass whole."""
-    names = ["_cell", "_node", "_pos", "_depth"]
+    names = ["_cell", "_node", "_pos", "_depth", "_n"]
 
     def partners(n: np.ndarray, vecs: list[bytes]) -> np.ndarray:
         v = np.frombuffer(b"".join(x or bytes(BUCKETS) for x in vecs), np.uint8).reshape(len(n), BUCKETS)
@@ -406,8 +412,9 @@ def possible_members(members: DataFrame, nodes: DataFrame, threshold: tuple[int,
     # a large cell is not gathered for this test
     tested = (here.where(F.col("_count") <= SMALL).drop("_count").join(nodes.select("_node", "_n", "_vec"), "_node")
               .repartition("_cell").sortWithinPartitions("_cell")
-              .select("_cell", "_node", "_pos", "_depth", "_n", "_vec").mapInArrow(_possible(threshold), CELL))
-    return tested.unionByName(here.where(F.col("_count") > SMALL).drop("_count"))
+              .select("_cell", "_node", "_pos", "_depth", "_n", "_vec").mapInArrow(_possible(threshold), SIZED))
+    large = here.where(F.col("_count") > SMALL).drop("_count").join(nodes.select("_node", "_n"), "_node")
+    return tested.unionByName(large)
 
 
 def _against_pivot(members: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:

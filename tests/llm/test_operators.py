@@ -85,6 +85,18 @@ def test_ngram_components(docs, empty, monkeypatch, small):
     assert ngram_join.ngram_components(empty, 3, (90, 100), slot_bits=16).count() == 0
 
 
+def test_ngram_template_with_one_own_word_each(spark, monkeypatch):
+    """Copies of a template that link to it but not to each other, more of them than a set has shingles."""
+    monkeypatch.setattr(ngram_join, "SMALL", 1)
+    rows = []
+    for g in range(3):
+        template = " ".join(f"t{g}x{j}" for j in range(12))
+        rows += [(100 * g + n, template + ("" if n == 20 else f" own{g}x{n}")) for n in range(30)]
+    out = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, (90, 100), slot_bits=16)
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in out.collect()} == {
+        (i, 10 if i % 100 == 20 else 11, i // 100 * 100) for i, _ in rows}
+
+
 @pytest.mark.parametrize("shard_bytes", [1 << 20, 2000])
 def test_suffix_dedup(docs, empty, shard_bytes):
     last = 1 << 62
