@@ -40,3 +40,18 @@ def test_stages_on_an_empty_table(spark):
     docs = read_table(spark, SF_SMALL, "documents").limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, docs, SF_SMALL).count() == 0
+
+
+def test_near_copies_with_null_and_repeated_identifiers(spark):
+    a, b, c, d, e = (" ".join(f"{x}{j}" for j in range(30)) for x in "abcde")
+    rows = [(1, a), (None, a), (None, a + " tail"), (2, b), (2, b), (3, c), (3, a + " other"), (None, d), (None, d + " tail"),
+            (None, d), (None, e), (4, ""), (4, ""), (None, None), (None, "  ")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n}", len(t or "")) for n, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = P.drop_near_copies(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    of_d = [x for x in got if x[1] and x[1].startswith(d)]
+    assert len(of_d) == 1 and of_d[0] in [(None, d), (None, d + " tail")]
+    want = [(1, a), (2, b), (3, c), (None, e), (4, ""), (4, ""), (None, None), (None, "  ")]
+    assert sorted((x for x in got if x not in of_d), key=repr) == sorted(want, key=repr)
