@@ -6,10 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, hilbert, hmm, line_dedup, mixing, ngram_join, suffix_dedup, token_files, toxicity
+from . import alignment, centroids, decontaminate, exact_dedup, hilbert, hmm, line_dedup, mixing, ngram_join, seekable, suffix_dedup, token_files, toxicity
 from .common import read_table
 
 
+def vocabulary(name: str) -> str:
+    """A vocabulary file as it lies on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.pmod(toxicity.crc_of(F.col("doc_id")), F.lit(4)) == 2
@@ -59,12 +65,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                                      vocabulary("piece_bpe_32k.model"))
+
+
+def op12_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seekable.token_frames(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(read_table(spark, sf_dir, "embeddings"))[0]
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_mix_sources, op3_suffix_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op7_hmm_scores, op8_token_counts, op9_decontaminate, op10_line_dedup)}
+    op1_toxicity, op2_mix_sources, op3_suffix_dedup, op4_exact_dedup, op5_ngram_jaccard, op6_hilbert_shard, op7_hmm_scores, op8_token_counts, op9_decontaminate, op10_line_dedup,
+    op11_align_tokenizers, op12_token_frames, op13_centroids)}
 
 SQL = {
     "op2_mix_sources": mixing.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op9_decontaminate": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op13_centroids": centroids.SQL,
 }
