@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import mix64, staged
 from .perfect_hash import Slots, build, in_slot_order
-from .word_chunks import ByteLevel, Pieces, Remembered, loaded, segments, spread, sums_by_text
+from .word_chunks import ByteLevel, Pieces, Remembered, loaded, runs, segments, sums_by_text
 
 SHARDS = 128
 FAN = 16                 # arrays of a shard that one task holds
@@ -49,47 +49,68 @@ def shard_of(pairs: np.ndarray) -> np.ndarray:
 
 # --- chunks -------------------------------------------------------------------
 
-class Aligned:
-    """One chunk: numbers of tokens, groups and links, the linked pairs in order, the groups as text;
-    ``ok`` if the tokens' bytes are the chunk's."""
-
-    __slots__ = ("ok", "numbers", "pairs", "groups")
-
-    def __init__(self, ok, numbers=(0, 0, 0, 0), pairs=np.zeros(0, np.uint64), groups=b""):
-        self.ok, self.numbers, self.pairs, self.groups = ok, numbers, pairs, groups
-
-
-def align(a: np.ndarray, b: np.ndarray, len_a: np.ndarray, len_b: np.ndarray) -> Aligned:
-    """The alignment of two runs of tokens over the same bytes."""
-    ends_a, ends_b = np.cumsum(len_a[a]), np.cumsum(len_b[b])
-    ends = np.union1d(ends_a, ends_b)
-    pairs = a[np.searchsorted(ends_a, ends)].astype(np.uint64) << np.uint64(32) | b[np.searchsorted(ends_b, ends)].astype(np.uint64)
-    both = np.intersect1d(ends_a, ends_b)
-    texts, at, bt = [], 0, 0
-    sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    for i, j in zip((np.searchsorted(ends_a, both) + 1).tolist(), (np.searchsorted(ends_b, both) + 1).tolist()):
-        texts.append(",".join(sa[at:i]) + "|" + ",".join(sb[bt:j]))
-        at, bt = i, j
-    return Aligned(True, (len(a), len(b), len(both), len(pairs)), pairs, ";".join(texts).encode())
+N_A, N_B, N_GROUPS, N_LINKS, OK = range(5)
 
 
 class Aligner:
-    """Chunks to their alignments."""
+    """Chunks to their alignments: as ``make`` of ``Remembered``, with the linked pairs as values, the numbers
+    of tokens, groups and links and whether the tokens' bytes are the chunk's as row, the groups as text."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, texts: bool):
+        self.texts = texts         # whether the groups are written out
         self.a, self.b = loaded(ByteLevel, path_a, True), loaded(Pieces, path_b)
         self.cuts = self.a.cuts and self.b.cuts
-        self.len_a = np.array([len(t) for t in self.a.token_bytes], np.int64)
-        self.len_b = np.array([len(t) for t in self.b.token_bytes], np.int64)
-        self.known = Remembered(self.make)
-
-    def make(self, chunks: list[bytes]) -> list[Aligned]:
-        out = []
-        for c, a, b in zip(chunks, self.a.encode(chunks), self.b.encode(chunks)):
-            ok = (b"".join(map(self.a.token_bytes.__getitem__, a.tolist())) == c
-                  and b"".join(map(self.b.token_bytes.__getitem__, b.tolist())) == c)
-            out.append(align(a, b, self.len_a, self.len_b) if ok else Aligned(False))
-        return out
+        self.bytes_a, self.bytes_b = _Bytes(self.a.token_bytes), _Bytes(self.b.token_bytes)
+        self.names = list(map(str, range(max(len(self.a.token_bytes), len(self.b.token_bytes)))))
+
+    def __call__(self, chunks: list[bytes]):
+        (n_a, a), (n_b, b) = self.a.encode(chunks), self.b.encode(chunks)
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        text = np.frombuffer(b"".join(chunks), np.uint8)
+        ok = self.bytes_a.same(n_a, a, size, text) & self.bytes_b.same(n_b, b, size, text)
+        a, b = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)]
+        n_a, n_b, size = n_a * ok, n_b * ok, size * ok
+        # all chunks on one line of bytes: both tokenizers end at every chunk's end
+        ends_a, ends_b, borders = np.cumsum(self.bytes_a.lens[a]), np.cumsum(self.bytes_b.lens[b]), np.cumsum(size)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        again = np.concatenate([ends[1:] == ends[:-1], [False]])[:len(ends)]
+        both, ends = ends[again], ends[~again]
+        pairs = (a[np.searchsorted(ends_a, ends)].astype(np.uint64) << np.uint64(32)
+                 | b[np.searchsorted(ends_b, ends)].astype(np.uint64))
+        n_links = np.diff(np.searchsorted(ends, borders, "right"), prepend=0)
+        n_groups = np.diff(np.searchsorted(both, borders, "right"), prepend=0)
+        fixed = np.stack([n_a, n_b, n_groups, n_links, ok.astype(np.int64)], axis=1)
+        return n_links, pairs, fixed, self._groups(a, b, np.searchsorted(ends_a, both, "right"),
+                                                   np.searchsorted(ends_b, both, "right"), n_groups)
+
+    def _groups(self, a, b, to_a, to_b, n_groups) -> list[bytes]:
+        if not self.texts:
+            return []
+        sa, sb = [self.names[i] for i in a.tolist()], [self.names[i] for i in b.tolist()]
+        texts, i, j = [], 0, 0
+        for k, m in zip(to_a.tolist(), to_b.tolist()):
+            texts.append((sa[i] if k - i == 1 else ",".join(sa[i:k])) + "|" + (sb[j] if m - j == 1 else ",".join(sb[j:m])))
+            i, j = k, m
+        ends = np.cumsum(n_groups)
+        return [";".join(texts[lo:hi]).encode() for lo, hi in zip((ends - n_groups).tolist(), ends.tolist())]
+
+
+class _Bytes:
+    """The bytes of a vocabulary's tokens."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lens = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.lens) - self.lens
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def same(self, n: np.ndarray, ids: np.ndarray, size: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Which chunks, of ``n`` tokens and ``size`` bytes of ``text`` each, their tokens' bytes make up."""
+        ok = sums_by_text(self.lens[ids], n) == size
+        fits = ids[np.repeat(ok, n)]
+        got = self.flat[runs(self.starts[fits], self.lens[fits])]
+        wrong = got != text[np.repeat(ok, size)]
+        ok[ok] = sums_by_text(wrong, size[ok]) == 0
+        return ok
 
 
 # --- first pass: distinct pairs and their document counts --------------------
@@ -123,33 +144,35 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts[order], first) if len(first) else np.zeros(0, np.int64)
 
 
-def _document_pairs(counts: np.ndarray, codes: np.ndarray, found: list[Aligned]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(keys, texts, places)``: distinct pairs of the segment, and every (text, pair) in which the
-    text holds the pair, the pair as a place in ``keys``.  Texts with a chunk that is not ok have none."""
-    n = max(len(found), 1)
-    ok = np.array([f.ok for f in found], bool)
+def _document_pairs(counts: np.ndarray, codes: np.ndarray, known: Remembered, places: np.ndarray
+                    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(keys, texts, found)``: distinct pairs of a segment, and every (text, pair) in which the text
+    holds the pair, the pair as a place in ``keys``.  Texts with a chunk that is not ok have none.
+    ``places`` are those of the segment's distinct chunks."""
+    n = max(len(places), 1)
     text = np.repeat(np.arange(len(counts)), counts)
-    fine = sums_by_text(~ok[codes], counts) == 0
+    fine = sums_by_text(known.fixed[places, OK][codes] == 0, counts) == 0
     held = np.unique(text * n + codes)
     held = held[fine[held // n]]
-    lens = np.array([len(f.pairs) for f in found], np.int64)
-    flat = np.concatenate([f.pairs for f in found]) if found else np.zeros(0, np.uint64)
-    keys, place = np.unique(flat, return_inverse=True)
-    both = np.unique(np.repeat(held // n, lens[held % n]) * max(len(keys), 1) + place[spread(lens, held % n)])
+    keys, inverse = np.unique(known.values(places), return_inverse=True)
+    lens = known.lens[places]
+    starts, which = np.cumsum(lens) - lens, held % n
+    both = np.unique(np.repeat(held // n, lens[which]) * max(len(keys), 1) + inverse[runs(starts[which], lens[which])])
     return keys, both // max(len(keys), 1), both % max(len(keys), 1)
 
 
 def _gather(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al, all_ = Aligner(path_a, path_b), Gathered()
+        al, all_ = Aligner(path_a, path_b, texts=False), Gathered()
+        known = Remembered(al)
         long_keys, long_ok = [], True        # of a text that goes on
         for b in batches:
             for _, counts, codes, chunks, goes_on in segments(b.column(0), al.cuts):
-                found = al.known(chunks)
-                keys, _, places = _document_pairs(counts, codes, found)
+                places = known(chunks)
+                keys, _, found = _document_pairs(counts, codes, known, places)
                 if goes_on or long_keys or not long_ok:      # such a segment has one text
-                    long_keys.append(keys[places])
-                    long_ok = long_ok and all(f.ok for f in found)
+                    long_keys.append(keys[found])
+                    long_ok = long_ok and bool(known.fixed[places, OK].all())
                     if not goes_on:
                         if long_ok:
                             k = np.unique(np.concatenate(long_keys))
@@ -158,7 +181,7 @@ def _gather(path_a: str, path_b: str):
                     elif len(long_keys) > FAN:
                         long_keys = [np.unique(np.concatenate(long_keys))]
                 else:
-                    n = np.bincount(places, minlength=len(keys))
+                    n = np.bincount(found, minlength=len(keys))
                     all_.add(keys[n > 0], n[n > 0])
         keys, counts = all_.merged()
         shard = shard_of(keys)
@@ -268,37 +291,35 @@ class Part:
 
 def _score(path_a: str, path_b: str, parts: list, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al = Aligner(path_a, path_b)
+        al = Aligner(path_a, path_b, texts=True)
         only = Part(parts[0].value) if len(parts) == 1 else None
 
-        def measured(chunks: list[bytes]) -> list[tuple]:
-            """Alignments with the sum of their links' counts and their number of best links."""
-            found = al.make(chunks)
-            lens = np.array([len(f.pairs) for f in found], np.int64)
-            flat = np.concatenate([f.pairs for f in found]) if found else np.zeros(0, np.uint64)
+        def measured(chunks: list[bytes]):
+            """Alignments with their number of best links and the sum of their links' counts, without the pairs."""
+            lens, flat, fixed, groups = al(chunks)
             pairs, place = np.unique(flat, return_inverse=True)
             count, best, shard = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64), shard_of(pairs)
             for p in parts:
                 (only or Part(p.value)).look_up(pairs, shard, count, best)
                 if only is None:
-                    p.unpersist_local()
-            total, tops = sums_by_text(count[place], lens), sums_by_text(best[place], lens)
-            return [(f.ok, (*f.numbers, int(tops[i]), int(total[i])), f.groups) for i, f in enumerate(found)]
+                    p.let_go()
+            more = np.stack([sums_by_text(best[place], lens), sums_by_text(count[place], lens)], axis=1)
+            return np.zeros(len(chunks), np.int64), np.zeros(0, np.uint64), np.concatenate([fixed, more], axis=1), groups
 
         known = Remembered(measured)
         for b in batches:
             n = b.num_rows
-            sums, bad, shas = np.zeros((6, n), np.int64), np.zeros(n, bool), [None] * n
+            sums, bad, shas = np.zeros((7, n), np.int64), np.zeros(n, bool), [None] * n
             for row, counts, codes, chunks, _ in segments(b.column(1), al.cuts):
-                got = known(chunks)
+                places = known(chunks)
                 at = slice(row, row + len(counts))
-                numbers = np.array([g[1] for g in got], np.int64).reshape(len(got), 6)
-                for k in range(6):
-                    sums[k, at] += sums_by_text(numbers[codes, k], counts)
-                bad[at] |= sums_by_text(np.array([not g[0] for g in got], bool)[codes], counts) > 0
-                texts = np.empty(len(got), object)
-                texts[:] = [g[2] for g in got]
-                flat, lo = texts[codes], 0
+                numbers = known.fixed[places][codes]
+                for k in range(7):
+                    sums[k, at] += sums_by_text(numbers[:, k], counts)
+                bad[at] |= sums_by_text(numbers[:, OK] == 0, counts) > 0
+                texts = np.empty(len(places), object)
+                texts[:] = [known.notes[i] for i in places.tolist()]
+                flat, lo = texts[codes].tolist(), 0
                 for j, c in enumerate(counts.tolist()):
                     if c:
                         sha = shas[row + j]
@@ -311,7 +332,7 @@ def _score(path_a: str, path_b: str, parts: list, kind: str):
             sums[:, bad] = 0
             names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(s) for s in sums],
+                [b.column(0), *[pa.array(sums[k]) for k in range(7) if k != OK],
                  pa.array(["" if s is None or bad[i] else s.hexdigest() for i, s in enumerate(shas)], pa.string())],
                 ["_id", *names, "groups_sha256"])
     return run
@@ -327,7 +348,7 @@ class TablePart:
     def value(self):
         return self.sent.value
 
-    def unpersist_local(self) -> None:
+    def let_go(self) -> None:
         """Drop this worker's copy; the executor keeps the file it was read from."""
         if hasattr(self.sent, "_value") and getattr(self.sent, "_path", None):
             del self.sent._value

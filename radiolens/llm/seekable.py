@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import staging_path
 from .common import staged
-from .word_chunks import ByteLevel, Remembered, loaded, segments, spread
+from .word_chunks import ByteLevel, Remembered, loaded, segments, sums_by_text
 
 FRAME = 1 << 18             # bytes of identifiers a frame holds before it is closed
 END = 0                     # identifier appended to every document
@@ -187,19 +187,16 @@ def write_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = loaded(ByteLevel, tokenizer, specials_as_text)
-        encode, out, n_ids = Remembered(tok.encode), None, 0
+        known, out, n_ids = Remembered(lambda chunks: (*tok.encode(chunks), np.zeros((len(chunks), 0), np.int64), [])), None, 0
         part = TaskContext.get().partitionId()
         for b in batches:
             ids = b.column(0).to_pylist()
             for row, counts, codes, chunks, goes_on in segments(b.column(1), tok.cuts):
                 if out is None:
                     out = Writer(f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}.zst", frame)
-                runs = encode(chunks)
-                lens = np.array([len(r) for r in runs], np.int64)
-                table = np.concatenate(runs) if runs else np.zeros(0, np.uint32)
-                flat = table[spread(lens, codes)]
-                at = 0
-                ends = np.concatenate([[0], np.cumsum(lens[codes])])[np.cumsum(counts)]
+                places = known(chunks)[codes]
+                flat, at = known.values(places), 0
+                ends = np.cumsum(sums_by_text(known.lens[places], counts))
                 for j, end in enumerate(ends.tolist()):
                     if end > at:
                         out.add(flat[at:end])

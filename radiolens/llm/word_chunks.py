@@ -16,15 +16,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 
 from .common import text_chunks
 
-SEGMENT = 1 << 20          # text bytes handled at once: bounds the arrays of a task
-KEPT_CHUNKS = 200_000      # distinct chunks a task remembers before it starts anew
-KEPT_BYTES = 1024          # longer chunks are not remembered
+SEGMENT = 2 << 20          # text bytes handled at once: bounds the arrays of a task
+KEPT_CHUNKS = 400_000      # distinct chunks and bytes of them a task remembers before it starts anew
+KEPT_BYTES = 16 << 20
 
 _LEAD2 = np.zeros(256, bool)
 _LEAD2[0xC3:0xE0] = True               # two-byte characters but U+0080..U+00BF
@@ -80,7 +81,9 @@ def segments(texts: pa.Array, cut: bool = True, limit: int | None = None
             if cut:
                 # the byte after a place belongs to the same text (a text's last space starts no chunk)
                 at = cut_places(part)
-                starts = np.union1d(starts, at[bounds[np.searchsorted(bounds, at, "right")] > at + 1])
+                text = np.searchsorted(bounds, at, "right")
+                at = at[(bounds[text] > at + 1) & (bounds[text - 1] < at)]
+                starts = np.sort(np.concatenate([starts, at]), kind="stable")     # two sorted runs
             ends = np.append(starts, len(part)).astype(np.int64)
             counts = np.diff(np.searchsorted(starts, bounds))
             cells = pa.LargeBinaryArray.from_buffers(
@@ -90,19 +93,43 @@ def segments(texts: pa.Array, cut: bool = True, limit: int | None = None
 
 
 class Remembered:
-    """What ``make`` gives for each chunk, made once per task for each distinct one."""
+    """What ``make`` gives for chunks, made once per task for each distinct one and kept as arrays.
 
-    def __init__(self, make):
-        self.make, self.known = make, {}
+    ``make(chunks)`` returns ``(lens, flat, fixed, notes)``: a run of values per chunk, its runs one after the
+    other in ``flat``, a row of whole numbers per chunk, and an object per chunk.
+    """
 
-    def __call__(self, chunks: list[bytes]) -> list:
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
-        made = dict(zip(new, self.make(new))) if new else {}
-        out = [made[c] if c in made else self.known[c] for c in chunks]
-        self.known.update((c, v) for c, v in made.items() if len(c) <= KEPT_BYTES)
-        return out
+    def __init__(self, make):
+        self.make = make
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.held, self.notes = {}, 0, []
+        self.lens = self.starts = np.zeros(0, np.int64)
+        self.flat = self.fixed = None
+
+    def __call__(self, chunks: list[bytes]) -> np.ndarray:
+        """The place of each chunk in ``lens``, ``starts``, ``fixed`` and ``notes``; good until the next call."""
+        if len(self.known) > KEPT_CHUNKS or self.held > KEPT_BYTES:
+            self._forget()
+        at = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(at < 0)
+        if len(new) or self.flat is None:
+            asked = [chunks[i] for i in new.tolist()]
+            lens, flat, fixed, notes = self.make(asked)
+            at[new] = len(self.lens) + np.arange(len(new))
+            self.known.update(zip(asked, at[new].tolist()))
+            self.held += sum(map(len, asked))
+            self.flat = flat if self.flat is None else np.concatenate([self.flat, flat])
+            self.fixed = fixed if self.fixed is None else np.concatenate([self.fixed, fixed])
+            self.lens = np.concatenate([self.lens, lens])
+            self.starts = np.cumsum(self.lens) - self.lens
+            self.notes.extend(notes)
+        return at
+
+    def values(self, places: np.ndarray) -> np.ndarray:
+        """The runs of the chunks at ``places``, one after the other."""
+        return self.flat[runs(self.starts[places], self.lens[places])]
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -133,9 +160,10 @@ class ByteLevel:
         names = [self.tok.id_to_token(i) or "" for i in range(size)]
         self.token_bytes = [n.encode() if i in special else bytes(alphabet[c] for c in n) for i, n in enumerate(names)]
 
-    def encode(self, chunks: list[bytes]) -> list[np.ndarray]:
-        got = self.tok.encode_batch([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in got]
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(lens, ids)``: how many identifiers each chunk has, and all of them in order."""
+        got = self.tok.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
+        return _flat([e.ids for e in got])
 
 
 class Pieces:
@@ -149,9 +177,14 @@ class Pieces:
         self.token_bytes = [bytes([int(n[3:5], 16)]) if self.sp.is_byte(i) else n.replace("▁", " ").encode()
                             for i, n in enumerate(names)]
 
-    def encode(self, chunks: list[bytes]) -> list[np.ndarray]:
-        got = self.sp.encode([c[1:].decode("utf-8", "replace") for c in chunks], num_threads=1)
-        return [np.array(ids, np.uint32) for ids in got]
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``ByteLevel.encode``."""
+        return _flat(self.sp.encode([c[1:].decode("utf-8", "replace") for c in chunks], num_threads=1))
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    lens = np.fromiter(map(len, lists), np.int64, len(lists))
+    return lens, np.fromiter(chain.from_iterable(lists), np.int64, int(lens.sum()))
 
 
 _LOADED: dict[tuple, object] = {}
@@ -165,14 +198,10 @@ def loaded(kind, *args):
     return _LOADED[key]
 
 
-def spread(counts: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Indices of consecutive runs: for each of ``places`` the run of that number, where
-    run i is ``counts[i]`` long and runs lie one after the other."""
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]]) if len(counts) else np.zeros(0, np.int64)
-    n = counts[places]
-    total = int(n.sum())
-    first = np.repeat(starts[places] - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n, n)
-    return first + np.arange(total)
+def runs(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Indices of runs, one after the other."""
+    before = np.cumsum(lens) - lens
+    return np.repeat(starts - before, lens) + np.arange(int(lens.sum()))
 
 
 def sums_by_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:

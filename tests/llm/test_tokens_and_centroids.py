@@ -54,10 +54,11 @@ def test_chunks_encode_as_whole_texts(monkeypatch, segment):
         column = pa.array([(" " + t if kind == "b" and t else t) for t in texts], pa.string())
         got = [[] for _ in texts]
         for row, counts, codes, chunks, _ in word_chunks.segments(column):
-            runs, at = tok.encode(chunks), 0
+            (lens, ids), at = tok.encode(chunks), 0
+            ends = np.cumsum(lens)
             for j, c in enumerate(counts):
                 for code in codes[at:at + c]:
-                    got[row + j] += runs[code].tolist()
+                    got[row + j] += ids[ends[code] - lens[code]:ends[code]].tolist()
                 at += c
         for t, g in zip(texts, got):
             assert g == want(t or ""), repr(t)
@@ -165,6 +166,7 @@ def test_alignment(spark, monkeypatch, segment, fan, part):
     monkeypatch.setattr(alignment, "FAN", fan)
     monkeypatch.setattr(alignment, "PART_PAIRS", part)
     monkeypatch.setattr(alignment, "MERGE_AT", 200)
+    monkeypatch.setattr(word_chunks, "SEGMENT", segment)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in SMALL], "doc_id long, text string, _text string, shard int").repartition(5)
     want, _ = aligned_by_hand(SMALL)
     got = alignment.align_tokenizers(docs, A, B).collect()
@@ -180,14 +182,14 @@ def test_alignment_of_a_text_over_many_segments(monkeypatch):
         results = []
         for segment in (1 << 20, 400):
             monkeypatch.setattr(word_chunks, "SEGMENT", segment)
-            al = alignment.Aligner(A, B)
-            keys, ok = [], True
+            al = alignment.Aligner(A, B, texts=False)
+            known, keys = word_chunks.Remembered(al), []
             numbers = np.zeros(4, np.int64)
             for _, counts, codes, chunks, _ in word_chunks.segments(pa.array([" " + text]), al.cuts):
-                found = al.known(chunks)
-                k, _, places = alignment._document_pairs(counts, codes, found)
-                keys.append(k[places])
-                numbers += sum(np.array(found[c].numbers) for c in codes)
+                places = known(chunks)
+                k, _, found = alignment._document_pairs(counts, codes, known, places)
+                keys.append(k[found])
+                numbers += known.fixed[places[codes], :4].sum(axis=0)
             results.append((sorted(set(np.concatenate(keys).tolist())), numbers.tolist()))
         assert results[0] == results[1]
 
