@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from . import layout as L
 
 SPAN_TYPE = "array<struct<start:int,n:int>>"
+WALK_RUN = 512            # reports appended to before a run is put aside
 
 
 def fixed_part(value: Column) -> Column:
@@ -106,27 +107,35 @@ def report_walk(tokens: Column) -> Column:
     """Walk the counted report groups of a payload.
 
     Each report is ``n`` followed by ``n`` measurements of 4 tokens.  A fold
-    over the token indices keeps ``(next, ok, spans)``: at ``i = next`` the
+    over the token indices keeps ``(next, ok, runs, spans)``: at ``i = next`` the
     count is read and ``(i, n)`` appended.  A count that is not a number or
     is negative stops the walk with ``ok = false``; reports before it stay.
-    Returns ``struct<next, ok, spans>``.
+    ``spans`` is put aside as a run once it is long, so an append copies no more than a run and
+    the walk stays linear in the payload.  Returns ``struct<next, ok, spans>``.
     """
+    none = F.array().cast(SPAN_TYPE)
     init = F.struct(F.lit(0).alias("next"), F.lit(True).alias("ok"),
-                    F.array().cast(SPAN_TYPE).alias("spans"))
+                    F.array().cast(f"array<{SPAN_TYPE}>").alias("runs"), none.alias("spans"))
 
     def step(acc: Column, i: Column) -> Column:
         cnt = _count(tokens, i)
         at_head = acc["ok"] & (i == acc["next"])
         bad = cnt.isNull() | (cnt < 0)
         stop = F.struct(acc["next"].alias("next"), F.lit(False).alias("ok"),
-                        acc["spans"].alias("spans"))
+                        acc["runs"].alias("runs"), acc["spans"].alias("spans"))
+        full = F.size(acc["spans"]) >= WALK_RUN
+        one = F.array(F.struct(i.alias("start"), cnt.alias("n")))
         take = F.struct((i + 1 + cnt * L.MEAS_WIDTH).alias("next"), F.lit(True).alias("ok"),
-                        F.concat(acc["spans"],
-                                 F.array(F.struct(i.alias("start"), cnt.alias("n")))).alias("spans"))
+                        F.when(full, F.concat(acc["runs"], F.array(acc["spans"]))).otherwise(acc["runs"]).alias("runs"),
+                        F.when(full, one).otherwise(F.concat(acc["spans"], one)).alias("spans"))
         return F.when(~at_head, acc).when(bad, stop).otherwise(take)
 
+    def finish(acc: Column) -> Column:
+        return F.struct(acc["next"].alias("next"), acc["ok"].alias("ok"),
+                        F.concat(F.flatten(acc["runs"]), acc["spans"]).alias("spans"))
+
     idx = F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    walk = F.aggregate(F.slice(idx, 1, F.size(tokens)), init, step)
+    walk = F.aggregate(F.slice(idx, 1, F.size(tokens)), init, step, finish)
     # Fast path, same result: when the first count's report reaches the end
     # of the payload, there is exactly one report and no fold is needed.
     n0 = _count(tokens, F.lit(0))
@@ -136,17 +145,19 @@ def report_walk(tokens: Column) -> Column:
     return F.when(single, one).otherwise(walk)
 
 
-def span_measurements(tokens: Column, span: Column) -> Column:
-    """Complete 4-token measurements of one report (a truncated last group
+def report_tokens(tokens: Column, spans: Column) -> Column:
+    """Of each span the tokens of its measurements (without the count), as far as there are any."""
+    return F.transform(spans, lambda s: F.slice(tokens, s["start"] + 2, s["n"] * L.MEAS_WIDTH))
+
+
+def split_measurements(tokens: Column) -> Column:
+    """Complete 4-token measurements of one report's tokens (a truncated last group
     is ignored), as ``array<struct<f1, cell, rsrp_raw, f4>>``."""
-    start = span["start"]
-    avail = F.least(span["n"] * L.MEAS_WIDTH, F.size(tokens) - start - 1)
-    k = F.greatest(avail, F.lit(0)) / L.MEAS_WIDTH
-    k = k.cast("int")
-    idx = F.slice(F.sequence(F.lit(0), F.greatest(k - 1, F.lit(0))), 1, k)
+    k = F.floor(F.size(tokens) / F.lit(float(L.MEAS_WIDTH))).cast("int")
+    idx = F.slice(F.sequence(F.lit(0), F.greatest(k - 1, F.lit(0))), 1, F.greatest(k, F.lit(0)))
 
     def meas(j: Column) -> Column:
-        base = start + 1 + j * L.MEAS_WIDTH
+        base = j * L.MEAS_WIDTH
         return F.struct(F.get(tokens, base).alias("f1"),
                         F.get(tokens, base + (L.MEAS_CELL - 1)).alias("cell"),
                         F.get(tokens, base + (L.MEAS_RSRP - 1)).alias("rsrp_raw"),

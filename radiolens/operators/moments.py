@@ -1,14 +1,20 @@
-"""Per-pair moments: one pass, mergeable partial sums, raw moments and
+"""Per-pair moments: one pass, mergeable partial states, raw moments and
 statistics of any field.
 
 Every aggregation here is a plain ``groupBy().agg()`` of built-in
 aggregates, so Spark combines map-side before the shuffle: a hot pair
 costs one partial row per task, not one task holding all its rows.
+
+The state of a pair holds its sums and its centred moments (squared deviations and
+co-deviations from its own means), which Spark merges pairwise inside an aggregation and
+``merge_partials`` merges between stored states.  Sums of RSRP indices (multiples of a quarter)
+are exact, and so is the closed form made of them; values for which it would round are finalised
+from the centred moments, which lose nothing to values far from 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import decode as D
@@ -17,16 +23,20 @@ from ..functions import layout as L
 PAIR_KEYS = ["serving_cell", "neighbor_cell"]
 STAT_COLS = ["mean_s", "mean_n", "var_s", "cov_sn", "var_n", "cnt"]
 SUM_COLS = ["cnt", "sum_s", "sum_n", "sum_ss", "sum_sn", "sum_nn"]
+CENTRED_COLS = ["m2_s", "c_sn", "m2_n", "quarters"]
+STATE_COLS = SUM_COLS + CENTRED_COLS
+#: count times sum of squares up to which the closed form of multiples of 1/4 is exact
+#: (both are multiples of 1/16, and a double holds 53 bits)
+EXACT_UP_TO = float(1 << 49)
 
 
 def pair_stats(pairs: DataFrame, *, finalize: bool = True, by: list[str] | None = None,
                sort: bool = False) -> DataFrame:
     """Means and population (co)variances of ``(s, n)`` per pair.
 
-    One ``groupBy`` of six sums (``pair_partials``) then the closed-form
-    finalisation, so a one-pass result, a roll-up of stored partials and a
-    stream all end in the same arithmetic.  For whole-number RSRP indices
-    every intermediate is exact.  ``finalize=False`` returns the raw
+    One ``groupBy`` of the state (``pair_partials``) then its finalisation, so a
+    one-pass result, a roll-up of stored partials and a stream all end in the
+    same arithmetic.  ``finalize=False`` returns the raw
     moments the older fork produced: means of ``s, n, s*s, s*n, n*n`` and
     the count (A5).
     """
@@ -36,23 +46,40 @@ def pair_stats(pairs: DataFrame, *, finalize: bool = True, by: list[str] | None
     return out.orderBy(*keys) if sort else out
 
 
+def state_columns(s: str = "s", n: str = "n") -> list[Column]:
+    """The aggregates of the mergeable state of a pair: count, sums of s, n, s², s·n, n²; the sums of
+    squared deviations and co-deviations from the means; whether all values are multiples of 1/4.
+    For batch and streaming aggregations alike."""
+    s, n = F.col(s), F.col(n)
+    count = F.count(F.lit(1))
+    return [count.alias("cnt"), F.sum(s).alias("sum_s"), F.sum(n).alias("sum_n"), F.sum(s * s).alias("sum_ss"),
+            F.sum(s * n).alias("sum_sn"), F.sum(n * n).alias("sum_nn"), (F.var_pop(s) * count).alias("m2_s"),
+            (F.covar_pop(s, n) * count).alias("c_sn"), (F.var_pop(n) * count).alias("m2_n"),
+            F.every(((s * 4) % 1 == 0) & ((n * 4) % 1 == 0)).alias("quarters")]
+
+
 def pair_partials(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Mergeable partial state per pair (and per ``by``, e.g. ``file_ts``):
-    count and the sums of s, n, s², s·n, n².  Merging is a sum, so any split
-    of the input merges to the one-pass result (exact on whole numbers)."""
-    keys = (by or []) + PAIR_KEYS
-    s, n = F.col("s"), F.col("n")
-    return pairs.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cnt"), F.sum(s).alias("sum_s"), F.sum(n).alias("sum_n"),
-        F.sum(s * s).alias("sum_ss"), F.sum(s * n).alias("sum_sn"), F.sum(n * n).alias("sum_nn"))
+    """Mergeable partial state per pair (and per ``by``, e.g. ``file_ts``); see ``state_columns``."""
+    return pairs.groupBy(*(by or []), *PAIR_KEYS).agg(*state_columns())
 
 
 def merge_partials(partials: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Roll partial states up to ``by`` + pair (bag union then sum)."""
+    """Roll partial states up to ``by`` + pair, whatever the split of the input.
+
+    Sums add up.  The centred moments of the parts are moved to the common mean first: a part of
+    ``cnt`` values whose mean lies ``d`` from it adds ``cnt * d²``.  One shuffle by key; a key has as
+    many rows as it has stored parts (periods), and none is collected into a value."""
     keys = (by or []) + PAIR_KEYS
-    return partials.groupBy(*keys).agg(
-        F.sum("cnt").alias("cnt"),
-        *[F.sum(c).alias(c) for c in SUM_COLS if c != "cnt"])
+    of_key = Window.partitionBy(*keys)
+    c, total = F.col("cnt").cast("double"), F.sum("cnt").over(of_key)
+    moved = partials.withColumns({
+        "_ds": F.col("sum_s") / c - F.sum("sum_s").over(of_key) / total,
+        "_dn": F.col("sum_n") / c - F.sum("sum_n").over(of_key) / total})
+    ds, dn = F.col("_ds"), F.col("_dn")
+    return moved.groupBy(*keys).agg(
+        *[F.sum(x).alias(x) for x in SUM_COLS],
+        F.sum(F.col("m2_s") + c * ds * ds).alias("m2_s"), F.sum(F.col("c_sn") + c * ds * dn).alias("c_sn"),
+        F.sum(F.col("m2_n") + c * dn * dn).alias("m2_n"), F.every("quarters").alias("quarters"))
 
 
 def _var(c: Column, sxx: Column, sx: Column) -> Column:
@@ -61,16 +88,23 @@ def _var(c: Column, sxx: Column, sx: Column) -> Column:
 
 
 def finalize_partials(partials: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Statistics from summed state (population form; the covariance is
-    (c·Σsn − Σs·Σn) / c²)."""
+    """Statistics of a state (population form).
+
+    Variances and the covariance ((c·Σsn − Σs·Σn) / c²) come from the sums where every step of that is
+    exact, else from the centred moments."""
     keys = (by or []) + PAIR_KEYS
     c = F.col("cnt").cast("double")
     ss, sn = F.col("sum_s"), F.col("sum_n")
+    exact = F.col("quarters") & (c * F.greatest("sum_ss", "sum_nn") <= EXACT_UP_TO)
+
+    def pick(closed: Column, centred: str) -> Column:
+        return F.when(exact, closed).otherwise(F.col(centred) / c)
+
     return partials.select(
         *keys, (ss / c).alias("mean_s"), (sn / c).alias("mean_n"),
-        _var(c, F.col("sum_ss"), ss).alias("var_s"),
-        ((c * F.col("sum_sn") - ss * sn) / (c * c)).alias("cov_sn"),
-        _var(c, F.col("sum_nn"), sn).alias("var_n"),
+        pick(_var(c, F.col("sum_ss"), ss), "m2_s").alias("var_s"),
+        pick((c * F.col("sum_sn") - ss * sn) / (c * c), "c_sn").alias("cov_sn"),
+        pick(_var(c, F.col("sum_nn"), sn), "m2_n").alias("var_n"),
         F.col("cnt"))
 
 
@@ -99,11 +133,14 @@ def field_stats(df: DataFrame, key: str | Column, value: str | Column, *,
         cond = cond & where
     if min_fields is not None:
         cond = cond & (F.size("fields") >= min_fields)
-    rows = df.where(cond).select(k.alias("key"), v.alias("v"))
+    # the condition goes into the aggregates: as a row filter it would be pushed below the decoded
+    # columns and decode there again
+    rows = df.select(k.alias("key"), F.when(cond, v).alias("v"), cond.alias("_in"))
     # ``var_pop`` keeps centred moments, combined map-side: values far from 0 lose nothing
     return rows.groupBy("key").agg(
         F.avg("v").alias("mean"), F.avg(F.col("v") * F.col("v")).alias("second_moment"),
-        F.var_pop("v").alias("var"), F.count("v").alias("cnt"))
+        F.var_pop("v").alias("var"), F.count("v").alias("cnt"), F.count_if("_in").alias("_rows")) \
+        .where(F.col("_rows") > 0).drop("_rows")
 
 
 def default_field_stats(records: DataFrame, *, value: str = "value") -> DataFrame:

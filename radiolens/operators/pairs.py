@@ -38,7 +38,7 @@ def serving_pairs(records: DataFrame, *, missing_serving: str = "drop",
     """
     if missing_serving not in MISSING:
         raise ValueError(f"missing_serving must be one of {MISSING}")
-    reps = _reports(records, which=which, value=value, serving_field=serving_field)
+    reps = _reports(records, which=which, value=value, serving_field=serving_field, keep=keep)
     srv = F.col("serving_cell")
     found = D.serving_value(F.col("meas"), srv)
     meas = F.col("meas")
@@ -115,32 +115,40 @@ def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,
 
 
 def synthetic_pairs(df: DataFrame, *, offset: float = -L.RSRP_MIN, clamp: bool = True,
-                    value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+                    value: str = "value", keep: tuple[str, ...] = (), valid_only: bool = False) -> DataFrame:
     """Pairs of the synthetic ``,`` format
     ``serving,u1,u2,count,cell0,rsrp0,cell1,rsrp1,...``.
 
     The server value is the *first listed* cell's value, whatever its id;
     values are shifted by ``offset`` and clamped at 0 (``offset=0,
     clamp=False`` keeps raw dBm).  No dedupe.  A count beyond the data or a
-    non-numeric value drops that measurement.
+    non-numeric value drops that measurement.  ``valid_only`` applies the
+    canonical server-value filter, on the record before its pairs are made.
     """
-    t = F.split(F.col(value), L.SYN_SEP, -1)
+    # the tokens are a column, so the line is split once; the pairs are an array column of their
+    # own, and the _outer generator keeps Spark from deriving a filter on its size that
+    # would be pushed below and build it twice
+    t = F.col("_t")
     cnt = F.get(t, L.SYN_COUNT_INDEX).try_cast("int")
-    first = D.number(F.get(t, L.SYN_FIRST_CELL_INDEX + 1))
     idx = D.counted(cnt, F.floor((F.size(t) - L.SYN_FIRST_CELL_INDEX) / F.lit(2.0)))
 
     def item(j: Column) -> Column:
         pos = L.SYN_FIRST_CELL_INDEX + 2 * j
-        return F.struct(F.get(t, pos).alias("cell"),
-                        D.number(F.get(t, pos + 1)).alias("v"))
-
-    rows = df.select(*keep, F.get(t, 0).alias("serving_cell"), first.alias("_s"),
-                     F.explode(F.transform(idx, item)).alias("_m"))
-    return (rows.where(F.col("_m")["cell"].isNotNull() & F.col("_m")["v"].isNotNull()
-                       & F.col("_s").isNotNull())
-            .select(*keep, "serving_cell", F.col("_m")["cell"].alias("neighbor_cell"),
-                    D.offset_clamp(F.col("_s"), offset, clamp).alias("s"),
-                    D.offset_clamp(F.col("_m")["v"], offset, clamp).alias("n")))
+        return F.struct(F.get(t, pos).alias("cell"), D.number(F.get(t, pos + 1)).alias("v"))
+
+    usable = F.filter(F.col("_items"), lambda m: m["cell"].isNotNull() & m["v"].isNotNull())
+    if valid_only:
+        usable = F.when(D.valid_serving(F.col("s")), usable)
+    rec = (df.select(*keep, F.split(F.col(value), L.SYN_SEP, -1).alias("_t"))
+           .select(*keep, F.get(t, 0).alias("serving_cell"),
+                   D.offset_clamp(D.number(F.get(t, L.SYN_FIRST_CELL_INDEX + 1)), offset, clamp).alias("s"),
+                   F.transform(idx, item).alias("_items"),
+                   D.number(F.get(t, L.SYN_FIRST_CELL_INDEX + 1)).isNotNull().alias("_served")))
+    rows = (rec.select(*keep, "serving_cell", "s", F.when(F.col("_served"), usable).alias("_items"))
+            .select(*keep, "serving_cell", "s", F.explode_outer("_items").alias("_m"))
+            .where(F.col("_m").isNotNull()))
+    return rows.select(*keep, "serving_cell", F.col("_m")["cell"].alias("neighbor_cell"), "s",
+                       D.offset_clamp(F.col("_m")["v"], offset, clamp).alias("n"))
 
 
 def record_pairs(records: DataFrame, *, fmt: str = "real", **options) -> DataFrame:
@@ -151,5 +159,5 @@ def record_pairs(records: DataFrame, *, fmt: str = "real", **options) -> DataFra
         return serving_pairs(records, **options)
     if fmt == "synthetic":
         keep = options.pop("keep", ())
-        return synthetic_pairs(records, keep=keep, **options).where(D.valid_serving(F.col("s")))
+        return synthetic_pairs(records, keep=keep, valid_only=True, **options)
     raise ValueError("fmt must be 'real' or 'synthetic'")

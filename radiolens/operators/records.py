@@ -30,44 +30,46 @@ def fields(df: DataFrame, field_map: Mapping[str, tuple[int, str]] | None = None
 
 
 def reports(df: DataFrame, *, which: str = "all", value: str = "value",
-            serving_field: int = L.SERVING_FIELD) -> DataFrame:
+            serving_field: int = L.SERVING_FIELD, keep: tuple[str, ...] | None = None) -> DataFrame:
     """One row per measurement report of each record.
 
     Adds ``serving_cell`` (from ``serving_field``), ``report_pos`` and
     ``meas`` (usable, last-wins deduplicated measurements) and the record's
     ``parse_error`` flag.  ``which="first"`` keeps only the first report
     (the older decoder).  Records without payload yield no rows.
+
+    ``keep`` names the columns carried along; without it, all but the line and its
+    ``fields``.  A record is cut into its reports in-row, and a report's row holds
+    its own tokens only, so a record costs what its text costs however many reports it has.
     """
     if which not in ("all", "first"):
         raise ValueError("which must be 'all' or 'first'")
+    keep = tuple(c for c in df.columns if c not in (value, "fields")) if keep is None else tuple(keep)
     v = F.col(value)
     # Each step is its own column, so the split tokens and the usable
     # measurements are computed once per row, not once per lambda call.
     rec = df.select(
-        "*",
-        D.field_at(v, serving_field).alias("serving_cell"),
+        *keep, D.field_at(v, serving_field).alias("serving_cell"), D.has_payload(v).alias("_has"),
         D.payload_tokens(v).alias("_tokens"),
     ).withColumn("_walk", D.report_walk(F.col("_tokens")))
     spans = F.col("_walk")["spans"]
     if which == "first":
         spans = F.slice(spans, 1, 1)
-    rec = rec.withColumn(
-        "parse_error",
-        (D.has_payload(v) & (~D.payload_ok(v) | ~F.col("_walk")["ok"]))
-        | (D.has_payload(v) & F.col("serving_cell").isNull())
-    ).withColumn("_spans", spans)
+    # without tokens a payload is not well-formed
+    bad = F.col("_has") & (F.col("_tokens").isNull() | ~F.col("_walk")["ok"] | F.col("serving_cell").isNull())
+    rec = rec.select(*keep, "serving_cell", bad.alias("parse_error"), D.report_tokens(F.col("_tokens"), spans).alias("_reports"))
     # The _outer generator keeps Spark from inferring a size() filter that
     # would be pushed below this projection and re-run the walk there.
-    exploded = rec.select("*", F.posexplode_outer("_spans").alias("report_pos", "_span")) \
+    exploded = rec.select(*keep, "serving_cell", "parse_error",
+                          F.posexplode_outer("_reports").alias("report_pos", "_report")) \
                   .where(F.col("report_pos").isNotNull())
-    out = (exploded
-           .withColumn("_raw", D.typed(D.span_measurements(F.col("_tokens"), F.col("_span"))))
-           .withColumn("parse_error", F.col("parse_error") | D.bad_rsrp(F.col("_raw")))
-           .withColumn("_use", D.usable(F.col("_raw")))
-           .withColumn("_cells", D.by_cell(F.col("_use")))
-           .withColumn("meas", D.last_wins(F.col("_cells")))
-           .drop("_tokens", "_walk", "_spans", "_span", "_raw", "_use", "_cells"))
-    return out
+    return (exploded
+            .withColumn("_raw", D.typed(D.split_measurements(F.col("_report"))))
+            .withColumn("parse_error", F.col("parse_error") | D.bad_rsrp(F.col("_raw")))
+            .withColumn("_use", D.usable(F.col("_raw")))
+            .withColumn("_cells", D.by_cell(F.col("_use")))
+            .withColumn("meas", D.last_wins(F.col("_cells")))
+            .drop("_report", "_raw", "_use", "_cells"))
 
 
 def parse_errors(df: DataFrame, *, value: str = "value",
@@ -79,8 +81,8 @@ def parse_errors(df: DataFrame, *, value: str = "value",
     no reports and no error."""
     v = F.col(value)
     rec = df.withColumn("_tokens", D.payload_tokens(v)).withColumn("_walk", D.report_walk(F.col("_tokens")))
-    bad = F.exists(F.col("_walk")["spans"],
-                   lambda s: D.bad_rsrp(D.typed(D.span_measurements(F.col("_tokens"), s))))
+    bad = F.exists(D.report_tokens(F.col("_tokens"), F.col("_walk")["spans"]),
+                   lambda t: D.bad_rsrp(D.typed(D.split_measurements(t))))
     err = D.has_payload(v) & (~D.payload_ok(v) | ~F.col("_walk")["ok"] | bad
                               | D.field_at(v, serving_field).isNull())
     return (rec.withColumn("n_reports", F.greatest(F.coalesce(F.size(F.col("_walk")["spans"]), F.lit(0)), F.lit(0)))
@@ -90,32 +92,37 @@ def parse_errors(df: DataFrame, *, value: str = "value",
 
 def measurements(report_rows: DataFrame) -> DataFrame:
     """One row per (deduplicated) measurement of each report."""
+    others = [c for c in report_rows.columns if c != "meas"]
     return (report_rows
-            .select("*", F.posexplode_outer("meas").alias("meas_pos", "_m"))
+            .select(*others, F.posexplode_outer("meas").alias("meas_pos", "_m"))
             .where(F.col("meas_pos").isNotNull())
-            .select(*[c for c in report_rows.columns if c != "meas"], "meas_pos",
-                    F.col("_m")["f1"].alias("f1"), F.col("_m")["cell"].alias("cell"),
+            .select(*others, "meas_pos", F.col("_m")["f1"].alias("f1"), F.col("_m")["cell"].alias("cell"),
                     F.col("_m")["rsrp"].alias("rsrp"), F.col("_m")["f4"].alias("f4")))
 
 
-def bearers(df: DataFrame, *, value: str = "value", names=None) -> DataFrame:
+def bearers(df: DataFrame, *, value: str = "value", names=None, keep: tuple[str, ...] | None = None) -> DataFrame:
     """One row per bearer block: block ``k`` starts at field 234 + 36k and
     ``bearer_count`` (field 173) blocks exist, as far as the record reaches
-    (a count beyond its fields is damage).  Adds ``bearer_pos`` and the typed
-    bearer fields."""
+    (a count beyond its fields is damage).  Adds ``bearer_pos``, ``bearer_count`` and the typed
+    bearer fields to the ``keep`` columns (without it, all but the line and its ``fields``).  The
+    blocks are built in-row as small structs, so no row carries the line or its field array."""
     names = list(names or L.BEARER_FIELDS)
-    base = df if "fields" in df.columns else df.withColumn("fields", D.field_array(F.col(value)))
-    if "bearer_count" not in base.columns:
-        base = base.withColumn("bearer_count",
-                               D.field(F.col("fields"), L.BEARER_COUNT_FIELD, "int"))
+    keep = tuple(c for c in df.columns if c not in (value, "fields", "bearer_count")) if keep is None else tuple(keep)
+    fields = F.col("fields") if "fields" in df.columns else D.field_array(F.col(value))
+    count = F.col("bearer_count") if "bearer_count" in df.columns else D.field(F.col("fields"), L.BEARER_COUNT_FIELD, "int")
+    given = ["bearer_count"] if "bearer_count" in df.columns else []
+    base = df.select(*keep, *given, fields.alias("fields")).select(*keep, "fields", count.alias("bearer_count"))
     # a block cut short still counts: its missing fields are null
     room = F.ceil((F.size("fields") - L.FIXED_FIELDS) / F.lit(float(L.BEARER_WIDTH)))
-    idx = D.counted(F.col("bearer_count"), room)
-    out = base.select("*", F.posexplode(idx).alias("bearer_pos", "_k"))
-    start = F.lit(L.BEARER_FIRST_FIELD) + F.col("_k") * L.BEARER_WIDTH
-    cols = [D.field(F.col("fields"), start + L.BEARER_FIELDS[n][0], L.BEARER_FIELDS[n][1]).alias(n)
-            for n in names]
-    return out.select(*[c for c in out.columns if c != "_k"], *cols)
+
+    def block(k):
+        start = F.lit(L.BEARER_FIRST_FIELD) + k * L.BEARER_WIDTH
+        return F.struct(*[D.field(F.col("fields"), start + L.BEARER_FIELDS[n][0], L.BEARER_FIELDS[n][1]).alias(n)
+                          for n in names])
+
+    blocks = base.select(*keep, "bearer_count", F.transform(D.counted(F.col("bearer_count"), room), block).alias("_blocks"))
+    return (blocks.select(*keep, "bearer_count", F.posexplode_outer("_blocks").alias("bearer_pos", "_b"))
+            .where(F.col("bearer_pos").isNotNull()).select(*keep, "bearer_count", "bearer_pos", "_b.*"))
 
 
 def event_time(df: DataFrame, *, fields_col: str = "fields") -> DataFrame:

@@ -7,7 +7,7 @@ decode path.  Column names and types match the Spark side.
 
 from __future__ import annotations
 
-CELL = "'311:480:' || lower(hex({}))"
+CELL = "'001:01:' || lower(hex({}))"
 
 # Every row as the call record it is rendered to (see sources/render.py).
 RECORDS = f"""r AS (
@@ -272,6 +272,33 @@ SELECT t.window_start, serving_cell, neighbor_cell, count(*) AS cnt, sum(s) AS s
 FROM p JOIN t ON p.id = t.id
 GROUP BY t.window_start, serving_cell, neighbor_cell"""
 
+SQL["stream_with_batch"] = SQL["partial_store"] = _stats()
+SQL["windowed_stats_by_name"] = _stats(window=_months("day0"))
+
+# Files are months, a tenth of the rows in that of 18 months later; a micro-batch reads 12 files.  A row is judged
+# against the watermark of the batch before its own, which has seen the batches before that.
+SQL["stream_late_rows"] = f"""WITH {_pairs()},
+f AS (SELECT id, day0 + to_milliseconds((pk * 60000) % 86400000) AS ts,
+             date_trunc('month', day0) + CASE WHEN o % 10 = 0 THEN INTERVAL 18 MONTH ELSE INTERVAL 0 MONTH END AS file
+      FROM r),
+b AS (SELECT *, (dense_rank() OVER (ORDER BY file) - 1) // 12 AS batch FROM f),
+seen AS (SELECT batch, max(ts) AS top FROM b WHERE id IN (SELECT id FROM p) GROUP BY batch),
+t AS (SELECT id, date_trunc('hour', ts) AS window_start,
+             (SELECT max(top) FROM seen WHERE seen.batch <= b.batch - 2) - INTERVAL 30 DAY AS mark FROM b)
+SELECT epoch(window_start)::BIGINT AS window_start, serving_cell, neighbor_cell, count(*) AS cnt, sum(s) AS sum_s,
+       sum(n) AS sum_n, sum(s * s) AS sum_ss, sum(s * n) AS sum_sn, sum(n * n) AS sum_nn
+FROM p JOIN t ON p.id = t.id
+WHERE mark IS NULL OR window_start + INTERVAL 1 HOUR > mark
+GROUP BY t.window_start, serving_cell, neighbor_cell"""
+
+# Variances do not change when all values move, so the expected ones come from the values as they are.
+SQL["rollup_large_values"] = f"""WITH {TAB_PAIRS}
+SELECT serving_cell, neighbor_cell, """ + ", ".join(
+    f"floor({e} * 100 + 0.1234567891::DOUBLE)::BIGINT AS {k}" for k, e in [
+        ("var_s", VAR(C, "sum(s * s)", "sum(s)")), ("cov_sn", COV(C, "sum(s * n)", "sum(s)", "sum(n)")),
+        ("var_n", VAR(C, "sum(n * n)", "sum(n)"))]) + """, count(*) AS cnt
+FROM p GROUP BY serving_cell, neighbor_cell"""
+
 _Q = "''"   # one quote inside an SQL string literal
 SQL["tuple_text"] = f"""WITH {_STATS_CTE},
 lg AS ({_long('st', 1, 1)})

@@ -10,24 +10,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import decode as D
 from ..functions import layout as L
 from ..operators import graph, moments, pairs, records, sinks
 from ..session import staging_path, table_path
-from ..sources import render
+from ..sources import landing, render
 from ..sources import records as rsrc
 from ..sources import tables
 from ..streaming import pair_sums
-from . import windowed
+from . import partial_store, windowed
 
 REPORT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 GRAPH_THRESHOLD = 0.025
 WINDOW_START, WINDOW_MINUTES = "2024-01-05.12_00", 120
 RECORD_START, RECORD_MINUTES = "1998-01-01.00_00", 181 * 1440   # up to 1998-07-01, inclusive
 STREAM_WINDOW = "1 hour"
+FILES_PER_BATCH = 12                                             # of a stream over monthly files
+LATE_MONTHS, LATE_DELAY = 18, "30 days"
+STORE_UNTIL, STREAM_UNTIL = "1995-07-01.00_00", "1997-01-01.00_00"
+LARGE = 1e9
 
 
 def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,20 +346,109 @@ def q_scan_json(spark, sf):
     return tables.post_mentions(tables.read_posts(spark, path))
 
 
-# --- streaming --------------------------------------------------------------------
+# --- files named by their time, the partial store, streaming ----------------------
+
+def _monthly(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """Rendered records with the ``file_month`` of their ship date, and how many files a month's rows need."""
+    li = _lineitem(spark, sf)
+    months = li.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(render.file_month(F.col("l_shipdate"))).alias("m")).first()
+    slices = max(1, -(-months.n // (max(months.m, 1) * landing.FILE_ROWS)))
+    return render.call_records(_spread(li).withColumn("file_month", render.file_month(F.col("l_shipdate"))),
+                               keep=("file_month",)), slices
+
+
+def _between(rec: DataFrame, since: str | None, until: str | None) -> DataFrame:
+    if since is not None:
+        rec = rec.where(F.col("file_month") >= since)
+    return rec if until is None else rec.where(F.col("file_month") < until)
+
+
+def q_windowed_stats_by_name(spark, sf):
+    """Statistics over the files of a time window, the time taken from the file's name (S2); files
+    outside are not opened."""
+    path = staging_path(spark, "named-files")
+    rec, slices = _monthly(spark, sf)
+    landing.land(rec, path, key="file_month", slices=slices)
+    return windowed.windowed_cell_statistics(spark, path, RECORD_START, RECORD_MINUTES)
+
+
+def q_partial_store(spark, sf):
+    """The stored partials of a growing directory (S6): a first run over some files, one of which is
+    incomplete; a second run after the others have come and that one was replaced."""
+    src, store = staging_path(spark, "store-in"), staging_path(spark, "store")
+    rec, slices = _monthly(spark, sf)
+    last = F.col("file_month") == F.lit("1995-06-01.00_00")
+    landing.land(_between(rec, None, STORE_UNTIL).where(~last | (F.col("l_orderkey") % 2 == 0)), src, key="file_month", slices=slices)
+    partial_store.update(spark, src, store)
+    landing.land(_between(rec, "1995-06-01.00_00", None), src, key="file_month", slices=slices)
+    partial_store.update(spark, src, store)
+    return partial_store.statistics(spark, store)
+
+
+def q_stream_with_batch(spark, sf):
+    """Stored batch partials and a stream's united at a boundary of files (T1, A2).  The stream is stopped and
+    restarted between two landings; the batch then catches up beyond the place where the stream began, and the
+    later boundary decides which of the two counts a file."""
+    src, store, out = (staging_path(spark, n) for n in ("united-in", "united-store", "united-stream"))
+    rec, slices = _monthly(spark, sf)
+    landing.land(_between(rec, None, STREAM_UNTIL), src, key="file_month", slices=slices)
+    partial_store.update(spark, src, store, before=STORE_UNTIL)
+    options = {"since": STORE_UNTIL, "watermark": "62 days", "max_files_per_trigger": FILES_PER_BATCH * slices}
+    pair_sums.run_file_partials(spark, src, out, **options)
+    landing.land(_between(rec, STREAM_UNTIL, None), src, key="file_month", slices=slices)
+    streamed = pair_sums.run_file_partials(spark, src, out, **options)
+    boundary = "1996-04-01.00_00"
+    partial_store.update(spark, src, store, before=boundary)
+    return partial_store.united(partial_store.partials(spark, store), streamed, boundary)
+
+
+def _window_sums(out: DataFrame) -> DataFrame:
+    return out.select(F.unix_seconds("window_start").alias("window_start"),
+                      "serving_cell", "neighbor_cell", *moments.SUM_COLS)
+
 
 def q_stream_pair_sums(spark, sf):
-    """Rendered records land as files; a stream decodes them and keeps
-    per-hour, per-pair sums as state (several micro-batches)."""
+    """Rendered records land as monthly files, oldest first; a stream decodes them and keeps
+    per-hour, per-pair state, which leaves the store a month after its window (several micro-batches)."""
     src = staging_path(spark, "stream-in")
-    _records(spark, sf).select("value").write.text(src)
-    # The rendered records span years in no particular file order, so the
-    # allowed lateness covers that disorder; the result then equals the batch.
-    out = pair_sums.run_available(spark, src, staging_path(spark, "stream-out"),
-                                  window=STREAM_WINDOW, watermark="100000 days",
-                                  max_files_per_trigger=2)
-    return out.select(F.unix_seconds("window_start").alias("window_start"),
-                      "serving_cell", "neighbor_cell", *moments.SUM_COLS)
+    rec, slices = _monthly(spark, sf)
+    landing.land(rec, src, key="file_month", slices=slices)
+    return _window_sums(pair_sums.run_available(
+        spark, src, staging_path(spark, "stream-out"), window=STREAM_WINDOW, watermark="31 days",
+        max_files_per_trigger=FILES_PER_BATCH * slices))
+
+
+def q_stream_late_rows(spark, sf):
+    """The same stream where a tenth of the records come 18 months late: those whose window lies behind the
+    watermark are dropped, the others still count."""
+    src = staging_path(spark, "late-in")
+    rec, slices = _monthly(spark, sf)
+    month = F.try_to_timestamp("file_month", F.lit(L.FILE_TIME_FORMAT))
+    late = F.date_format(F.add_months(month, LATE_MONTHS).cast("timestamp"), L.FILE_TIME_FORMAT)
+    rec = rec.withColumn("file_month", F.when(F.col("l_orderkey") % 10 == 0, late).otherwise(F.col("file_month")))
+    landing.land(rec, src, key="file_month", slices=slices)
+    return _window_sums(pair_sums.run_available(
+        spark, src, staging_path(spark, "late-out"), window=STREAM_WINDOW, watermark=LATE_DELAY,
+        max_files_per_trigger=FILES_PER_BATCH * slices))
+
+
+def hundredths(x) -> Column:
+    """A value in hundredths, counted from an offset that no small fraction meets, so that values equal
+    but for rounding give the same number."""
+    return F.floor(x * 100 + F.lit(0.1234567891)).cast("bigint")
+
+
+def q_rollup_large_values(spark, sf):
+    """Partials per ship year of pairs whose values lie around 1e9, stored, re-read, merged and finalised:
+    the centred moments keep the digits that sums of squares lose (A2, A3)."""
+    li = _lineitem(spark, sf).select(
+        "l_orderkey", render.cell_id(F.col("l_suppkey")).alias("cell"), (F.col("l_quantity") + LARGE).alias("v"),
+        *[c for c in REPORT_ORDER], F.year("l_shipdate").alias("year"))
+    p = pairs.serving_pairs_tabular(li, report="l_orderkey", cell="cell", value="v", order=REPORT_ORDER, keep=("year",))
+    path = staging_path(spark, "large-partials")
+    moments.pair_partials(p, by=["year"]).write.parquet(path)
+    stats = moments.finalize_partials(moments.merge_partials(spark.read.parquet(path)))
+    return stats.select(*moments.PAIR_KEYS, *[hundredths(F.col(c)).alias(c) for c in ("var_s", "cov_sn", "var_n")], "cnt")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -394,4 +487,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_points": q_scan_points,
     "scan_json": q_scan_json,
     "stream_pair_sums": q_stream_pair_sums,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_with_batch": q_stream_with_batch,
+    "partial_store": q_partial_store,
+    "windowed_stats_by_name": q_windowed_stats_by_name,
+    "rollup_large_values": q_rollup_large_values,
 }

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import layout as L
 
 # --- fixed values of the rendering ------------------------------------------
-CELL_PREFIX = "311:480:"      # cell id = prefix + lower-case hex of a number
+CELL_PREFIX = "001:01:"      # cell id = prefix + lower-case hex of a number
 RECORD_VERSION = "6"
 TZ_OFFSET = "+00:00"
 NO_PAYLOAD_LINE = 7           # records of this line number have no payload

@@ -142,3 +142,34 @@ def test_serving_field_option(spark):
     line = record_line(serving="X:9", payload="[2;7;X:1;30;5;8;X:2;20;4|", fields={131: "X:2"})
     got = _pairs(spark, [line], serving_field=131)
     assert got == {("X:2", "X:1", 20.0, 30.0), ("X:2", "X:2", 20.0, 20.0)}
+
+
+def test_one_record_of_many_reports(spark):
+    """A record of 20 000 reports: every report is there, and no row carries the line."""
+    n = 20_000
+    body = ";".join(f"1;7;c{i % 50};{i % 97};1" for i in range(n))
+    df = spark.createDataFrame([(1, record_line(serving="c1", payload=f"[{body}|"))], "id int, value string")
+    rep = records.reports(df)
+    assert rep.columns == ["id", "serving_cell", "parse_error", "report_pos", "meas"]
+    out = records.measurements(rep).agg(F.count("*"), F.sum("rsrp"), F.max("report_pos")).first()
+    assert tuple(out) == (n, float(sum(i % 97 for i in range(n))), n - 1)
+    err = records.parse_errors(df).first()
+    assert (err.n_reports, err.parse_error) == (n, False)
+    # damage after many reports keeps those before it
+    cut = spark.createDataFrame([(1, record_line(serving="c1", payload=f"[{body};x;7|"))], "id int, value string")
+    assert records.reports(cut).where("parse_error").count() == n
+
+
+def test_plans_split_a_record_once(spark):
+    """One split of the line per record in the plans of field statistics and synthetic pairs."""
+    import contextlib
+    import io
+
+    from radiolens.operators import moments
+
+    df = spark.createDataFrame([("a",)], "value string").repartition(2)
+    for plan in (moments.default_field_stats(df), pairs.record_pairs(df, fmt="synthetic")):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            plan.explain("formatted")
+        assert text.getvalue().count("split(") == 1

@@ -61,3 +61,33 @@ def test_field_stats_of_large_values(spark):
     # byte counters: 1e9 and 1e9 + 1 in turn
     df = spark.range(100_000).selectExpr("'k' AS key", "1e9D + id % 2 AS v")
     assert abs(moments.field_stats(df, "key", "v").first()["var"] - 0.25) < 1e-6
+
+
+def test_statistics_of_large_values(spark):
+    """4 M rows of 1e9 and 1e9 + 1: in one pass and rolled up from parts of unequal means."""
+    p = spark.range(4_000_000).selectExpr(
+        "'A' AS serving_cell", "'B' AS neighbor_cell", "1e9D + id % 2 AS s", "1e9D + id % 2 AS n",
+        "CASE WHEN id % 4 = 1 THEN 0 ELSE id % 37 + 1 END AS part")
+    parts = moments.pair_partials(p, by=["part"])
+    merged = moments.finalize_partials(moments.merge_partials(parts))
+    twice = moments.finalize_partials(moments.merge_partials(moments.merge_partials(
+        parts.withColumn("half", parts.part % 2), by=["half"])))
+    for r in (moments.pair_stats(p).first(), merged.first(), twice.first()):
+        assert r.cnt == 4_000_000 and r.mean_s == 1e9 + 0.5
+        assert all(abs(x - 0.25) < 1e-6 for x in (r.var_s, r.cov_sn, r.var_n))
+
+
+def test_fractions_are_finalised_from_centred_moments(spark):
+    """Values that are no multiples of a quarter, with a large mean: sums of squares would lose them."""
+    rng = random.Random(11)
+    vals = [(1e7 + rng.random(), -1e7 + rng.random(), i % 5) for i in range(500)]
+    p = spark.createDataFrame([("A", "B", *v) for v in vals],
+                              "serving_cell string, neighbor_cell string, s double, n double, part int")
+    from fractions import Fraction
+    s, n = [Fraction(v[0]) for v in vals], [Fraction(v[1]) for v in vals]
+    ms, mn = sum(s) / 500, sum(n) / 500
+    want = (float(sum((x - ms) ** 2 for x in s) / 500), float(sum((x - ms) * (y - mn) for x, y in zip(s, n)) / 500),
+            float(sum((y - mn) ** 2 for y in n) / 500))
+    merged = moments.finalize_partials(moments.merge_partials(moments.pair_partials(p, by=["part"])))
+    for r in (moments.pair_stats(p).first(), merged.first()):
+        assert all(abs(a - b) < 1e-7 for a, b in zip((r.var_s, r.cov_sn, r.var_n), want))

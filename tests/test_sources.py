@@ -10,14 +10,17 @@ from radiolens.sources import tables
 
 
 def test_file_window_inclusive_and_pruned(spark, tmp_dir):
-    names = ["2014-03-26.17_12", "2014-03-26.17_14.gz.part", "2014-03-26.17_15",
-             "2014-03-26.17_11", "not-a-time"]
+    names = ["2031-05-09.06_41", "2031-05-09.06_43.gz.part", "2031-05-09.06_44",
+             "2031-05-09.06_40", "not-a-time"]
+    # outside the window, and no gzip data: reading it would fail
+    with open(os.path.join(tmp_dir, "2031-05-09.06_39.gz"), "w") as f:
+        f.write("not to be opened")
     for i, n in enumerate(names):
         with open(os.path.join(tmp_dir, n), "w") as f:
             f.write(record_line(payload=f"[1;7;X:1;{30 + i};5|") + "\n")
-    df = rsrc.read_records(spark, tmp_dir, start="2014-03-26.17_12", minutes=2)
+    df = rsrc.read_records(spark, tmp_dir, start="2031-05-09.06_41", minutes=2)
     got = sorted(r.file_name for r in df.selectExpr("_metadata.file_name AS file_name").collect())
-    assert got == ["2014-03-26.17_12", "2014-03-26.17_14.gz.part"]
+    assert got == ["2031-05-09.06_41", "2031-05-09.06_43.gz.part"]
     s = {tuple(r) for r in pairs.serving_pairs(df).select("s", "n").collect()}
     assert s == {(30.0, 30.0), (31.0, 31.0)}
 
