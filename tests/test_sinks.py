@@ -26,7 +26,7 @@ def test_report_lines(spark):
     got = [r.line for r in sinks.report_lines(_stats(spark, rows)).collect()]
     # worked out by hand: two names in 16 columns, five values in 10, the count in 8
     assert got == [
-        "001:01:abc01     001:01:abc02           44.00     42.00      0.25      2.50      1.12       1",
+        "001:01:abc01      001:01:abc02            44.00     42.00      0.25      2.50      1.12       1",
         "a-very-long-cell-identifier  b                       -0.00"
         "1234567.89      0.00     -1.50     99.50123456789"]
 
