@@ -32,6 +32,7 @@ MIN_ROWS, PER_ROWS = 2, 1500   # a term in fewer than MIN_ROWS + rows / PER_ROWS
 EPOCHS, BATCH, RATE, DAMPING, DECAY = 5, 128, 0.25, 1e-2, 2e-5
 MIN_STEPS = 600             # a small fit goes round more often
 CALIBRATION = 5             # every fifth fitted row only calibrates the probability
+HELD_ROWS = 64              # of them scored at once
 THRESHOLD = 0.3
 SEED = 20
 
@@ -129,9 +130,13 @@ def fit(labels: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> tuple[float,
             gb += err.sum() ** 2
             bias -= RATE * err.sum() / np.sqrt(gb)
     w[used], v[used] = a * scale, f * scale[:, None]
-    held = np.arange(n) % CALIBRATION == 0
+    held = np.flatnonzero(np.arange(n) % CALIBRATION == 0)
     if labels[held].min() != labels[held].max():
-        slope, shift = calibrate(raw_score(bias, w, v, ids, counts)[held], labels[held])
+        ends = np.cumsum(counts)
+        # the rows left out and no others, a few at a time: the terms of all rows times FACTORS are much memory
+        z = np.concatenate([raw_score(bias, w, v, np.concatenate([ids[ends[i] - counts[i]:ends[i]] for i in part]), counts[part])
+                            for part in np.array_split(held, -(-len(held) // HELD_ROWS))])
+        slope, shift = calibrate(z, labels[held])
         bias, w, v = slope * bias + shift, w * np.float32(slope), v * np.float32(np.sqrt(slope))
     return float(bias), w, v
 
