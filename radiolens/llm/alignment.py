@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import mix64, staged
 from .perfect_hash import Slots, build, in_slot_order
-from .word_chunks import ByteLevel, Pieces, Remembered, loaded, runs, segments, sums_by_text
+from .word_chunks import ByteLevel, Pieces, Remembered, give_back, loaded, runs, segments, sums_by_text
 
 SHARDS = 128
 FAN = 16                 # arrays of a shard that one task holds
@@ -59,7 +59,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str, texts: bool):
         self.texts = texts         # whether the groups are written out
         self.a, self.b = loaded(ByteLevel, path_a, True), loaded(Pieces, path_b)
-        self.cuts = self.a.cuts and self.b.cuts
+        self.how = {"cut": self.a.cuts and self.b.cuts, "fine": True, "joined": self.b.joined}
         self.bytes_a, self.bytes_b = _Bytes(self.a.token_bytes), _Bytes(self.b.token_bytes)
         self.names = list(map(str, range(max(len(self.a.token_bytes), len(self.b.token_bytes)))))
 
@@ -167,7 +167,7 @@ def _gather(path_a: str, path_b: str):
         known = Remembered(al)
         long_keys, long_ok = [], True        # of a text that goes on
         for b in batches:
-            for _, counts, codes, chunks, goes_on in segments(b.column(0), al.cuts):
+            for _, counts, codes, chunks, goes_on in segments(b.column(0), **al.how):
                 places = known(chunks)
                 keys, _, found = _document_pairs(counts, codes, known, places)
                 if goes_on or long_keys or not long_ok:      # such a segment has one text
@@ -183,7 +183,9 @@ def _gather(path_a: str, path_b: str):
                 else:
                     n = np.bincount(found, minlength=len(keys))
                     all_.add(keys[n > 0], n[n > 0])
+        known = None
         keys, counts = all_.merged()
+        give_back()
         shard = shard_of(keys)
         order = np.argsort(shard, kind="stable")
         bounds = np.searchsorted(shard[order], np.arange(SHARDS + 1))
@@ -310,7 +312,7 @@ def _score(path_a: str, path_b: str, parts: list, kind: str):
         for b in batches:
             n = b.num_rows
             sums, bad, shas = np.zeros((7, n), np.int64), np.zeros(n, bool), [None] * n
-            for row, counts, codes, chunks, _ in segments(b.column(1), al.cuts):
+            for row, counts, codes, chunks, _ in segments(b.column(1), **al.how):
                 places = known(chunks)
                 at = slice(row, row + len(counts))
                 numbers = known.fixed[places][codes]
@@ -335,6 +337,8 @@ def _score(path_a: str, path_b: str, parts: list, kind: str):
                 [b.column(0), *[pa.array(sums[k]) for k in range(7) if k != OK],
                  pa.array(["" if s is None or bad[i] else s.hexdigest() for i, s in enumerate(shas)], pa.string())],
                 ["_id", *names, "groups_sha256"])
+        known = only = None
+        give_back()
     return run
 
 

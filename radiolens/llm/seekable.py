@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import staging_path
 from .common import staged
-from .word_chunks import ByteLevel, Remembered, loaded, segments, sums_by_text
+from .word_chunks import ByteLevel, Remembered, give_back, loaded, segments, sums_by_text
 
 FRAME = 1 << 18             # bytes of identifiers a frame holds before it is closed
 END = 0                     # identifier appended to every document
@@ -191,7 +191,7 @@ def write_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
         part = TaskContext.get().partitionId()
         for b in batches:
             ids = b.column(0).to_pylist()
-            for row, counts, codes, chunks, goes_on in segments(b.column(1), tok.cuts):
+            for row, counts, codes, chunks, goes_on in segments(b.column(1), tok.cuts, fine=True, whole=tok.whole):
                 if out is None:
                     out = Writer(f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}.zst", frame)
                 places = known(chunks)[codes]
@@ -205,7 +205,8 @@ def write_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
                         n_ids += out.open + 1
                         out.end(ids[row + j])
         if out is not None:
-            docs_in = len(out.rows)
+            known, docs_in = None, len(out.rows)
+            give_back()
             size = out.close()
             yield pa.RecordBatch.from_pydict({"path": [out.path], "part": [part], "n_docs": [docs_in],
                                               "n_ids": [n_ids], "n_bytes": [size]}, schema=FILES)

@@ -8,12 +8,20 @@ mark behind another character.  Both are checked when a tokenizer is loaded; one
 check gets whole texts as chunks.  So the tokens of a text are the tokens of its chunks in a row,
 and a task encodes each distinct chunk once.
 
+A byte-level vocabulary may also be cut finely: between letters, digits and other signs of ASCII (not
+after an apostrophe, which may start a contraction), and round a single line end between
+other characters.  The splitting pattern has a border at each of these places too, and a piece
+vocabulary allows those between signs that none of its pieces holds side by side.  Special tokens that
+a tokenizer recognises in texts are never cut.
+
 Very long texts come in several segments of about ``SEGMENT`` bytes.  A stretch without a cut is
 one chunk however long, so its tokens are held at once.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -23,8 +31,8 @@ import pyarrow as pa
 
 from .common import text_chunks
 
-SEGMENT = 2 << 20          # text bytes handled at once: bounds the arrays of a task
-KEPT_CHUNKS = 400_000      # distinct chunks and bytes of them a task remembers before it starts anew
+SEGMENT = 1 << 20          # text bytes handled at once: bounds the arrays of a task
+KEPT_CHUNKS = 200_000      # distinct chunks and bytes of them a task remembers before it starts anew
 KEPT_BYTES = 16 << 20
 
 _LEAD2 = np.zeros(256, bool)
@@ -33,8 +41,52 @@ _LEAD3 = np.zeros(256, bool)
 _LEAD3[[0xE0, *range(0xE4, 0xF0)]] = True   # three-byte ones but those blocks that hold spaces
 
 
-def cut_places(buf: np.ndarray) -> np.ndarray:
-    """Positions in ``buf`` at which a chunk may start, its own start not among them."""
+#: classes of ASCII signs: 1 letter, 2 digit, 3 other; 0 white space, control and bytes beyond ASCII
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = 3
+_CLASS[0x30:0x3A] = 2
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+
+
+def _fine_places(buf: np.ndarray) -> np.ndarray:
+    """Further positions at which a finely cut chunk may start."""
+    kind = _CLASS[buf]
+    # letters U+00C0..U+00FF (but the signs for times and divided) by their second byte
+    second = np.flatnonzero(buf[:-1] == 0xC3) + 1
+    kind[second[(buf[second] != 0x97) & (buf[second] != 0xB7)]] = 1
+    ascii_ = buf < 0x80
+    signs = (kind[1:] != kind[:-1]) & (kind[:-1] > 0) & (kind[1:] > 0) & ascii_[1:] & (buf[:-1] != 0x27)
+    line = np.flatnonzero(buf[1:-1] == 0x0A) + 1
+    line = line[kind[line - 1] > 0]
+    after = line[(kind[line + 1] > 0) & ascii_[line + 1]] + 1
+    return np.concatenate([np.flatnonzero(signs) + 1, line, after])
+
+
+def _outside(at: np.ndarray, buf: np.ndarray, whole: tuple[bytes, ...]) -> np.ndarray:
+    """The positions that do not lie inside one of the ``whole`` strings."""
+    raw = buf.tobytes() if whole else b""
+    for w in whole:
+        i = raw.find(w)
+        while i >= 0:
+            at = at[(at <= i) | (at >= i + len(w))]
+            i = raw.find(w, i + 1)
+    return at
+
+
+def cut_places(buf: np.ndarray, fine: bool = False, whole: tuple[bytes, ...] = (),
+               joined: np.ndarray | None = None) -> np.ndarray:
+    """Positions in ``buf`` at which a chunk may start, its own start not among them, in order.  ``joined``
+    tells which bytes may not be parted."""
+    at = _word_places(buf)
+    if fine and len(buf) > 2:
+        at = np.sort(np.concatenate([at, _fine_places(buf)]))
+        at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
+        if joined is not None:
+            at = at[~joined[buf[at - 1], buf[at]]]
+    return _outside(at, buf, whole) if fine else at
+
+
+def _word_places(buf: np.ndarray) -> np.ndarray:
     n = len(buf)
     if n < 3:
         return np.zeros(0, np.int64)
@@ -64,8 +116,8 @@ def _pieces(buf: np.ndarray, limit: int) -> Iterator[np.ndarray]:
     yield buf
 
 
-def segments(texts: pa.Array, cut: bool = True, limit: int | None = None
-             ) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[bytes], bool]]:
+def segments(texts: pa.Array, cut: bool = True, limit: int | None = None, fine: bool = False,
+             whole: tuple[bytes, ...] = (), joined: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[bytes], bool]]:
     """``(row, counts, codes, chunks, open)``: from ``row`` on, how many chunks each text has here, the
     chunks of all of them in order as places in the distinct ``chunks``, and whether the last
     text goes on in the next segment.  Null counts as empty."""
@@ -79,10 +131,13 @@ def segments(texts: pa.Array, cut: bool = True, limit: int | None = None
             left -= len(part)
             starts = bounds[:-1][np.diff(bounds) > 0]
             if cut:
-                # the byte after a place belongs to the same text (a text's last space starts no chunk)
-                at = cut_places(part)
+                # a text's last space starts no chunk, and no place is judged by the text before
+                at = cut_places(part, fine, whole, joined)
                 text = np.searchsorted(bounds, at, "right")
-                at = at[(bounds[text] > at + 1) & (bounds[text - 1] < at)]
+                at = at[((bounds[text] > at + 1) | (part[at] != 0x20)) & (bounds[text - 1] < at)]
+                if fine:
+                    # a line end at the end of a text, or right after its start, was seen with its neighbours
+                    at = at[(part[at - 1] != 0x0A) | (at - bounds[np.searchsorted(bounds, at, "right") - 1] > 1)]
                 starts = np.sort(np.concatenate([starts, at]), kind="stable")     # two sorted runs
             ends = np.append(starts, len(part)).astype(np.int64)
             counts = np.diff(np.searchsorted(starts, bounds))
@@ -107,13 +162,28 @@ class Remembered:
         self.known, self.held, self.notes = {}, 0, []
         self.lens = self.starts = np.zeros(0, np.int64)
         self.flat = self.fixed = None
+        self.met_again = np.zeros(0, bool)
+
+    def _thin(self) -> None:
+        """Keep the chunks that came again; if those are most, start anew."""
+        keep = np.flatnonzero(self.met_again)
+        chunks = list(self.known)              # in the order of their places
+        size = sum(len(chunks[i]) for i in keep.tolist())
+        if len(keep) > KEPT_CHUNKS // 2 or size > KEPT_BYTES // 2:
+            return self._forget()
+        flat, lens = self.values(keep), self.lens[keep]
+        self.notes = [self.notes[i] for i in keep.tolist()] if self.notes else []
+        self.known = {chunks[k]: i for i, k in enumerate(keep.tolist())}
+        self.held, self.flat, self.lens, self.fixed = size, flat, lens, self.fixed[keep]
+        self.starts, self.met_again = np.cumsum(lens) - lens, np.zeros(len(keep), bool)
 
     def __call__(self, chunks: list[bytes]) -> np.ndarray:
         """The place of each chunk in ``lens``, ``starts``, ``fixed`` and ``notes``; good until the next call."""
         if len(self.known) > KEPT_CHUNKS or self.held > KEPT_BYTES:
-            self._forget()
+            self._thin()
         at = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
         new = np.flatnonzero(at < 0)
+        self.met_again[at[at >= 0]] = True
         if len(new) or self.flat is None:
             asked = [chunks[i] for i in new.tolist()]
             lens, flat, fixed, notes = self.make(asked)
@@ -124,6 +194,7 @@ class Remembered:
             self.fixed = fixed if self.fixed is None else np.concatenate([self.fixed, fixed])
             self.lens = np.concatenate([self.lens, lens])
             self.starts = np.cumsum(self.lens) - self.lens
+            self.met_again = np.concatenate([self.met_again, np.zeros(len(new), bool)])
             self.notes.extend(notes)
         return at
 
@@ -155,6 +226,8 @@ class ByteLevel:
         self.cuts = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and bool(pre.get("use_regex", True))
                      and not pre.get("add_prefix_space") and not spec.get("post_processor") and not any(
                          t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in extra))
+        #: special tokens recognised in texts
+        self.whole = () if specials_as_text else tuple(t["content"].encode() for t in extra)
         alphabet, special = _byte_alphabet(), {t["id"] for t in extra}
         size = self.tok.get_vocab_size()
         names = [self.tok.id_to_token(i) or "" for i in range(size)]
@@ -167,19 +240,35 @@ class ByteLevel:
 
 
 class Pieces:
-    """A sentencepiece model; every chunk starts with the space that the model adds itself."""
+    """A sentencepiece model that puts a word mark before a text; here the texts' first space is that mark."""
+
+    AFTER = "\n"      # no piece holds it with another sign, so what follows it is encoded as it stands
 
     def __init__(self, path: str):
         import sentencepiece
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        names = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
-        self.cuts = not any("▁" in n.lstrip("▁") for n in names)
+        size = range(self.sp.get_piece_size())
+        names = [self.sp.id_to_piece(i) for i in size]
+        #: last and first bytes of characters that stand side by side in some piece
+        self.joined = np.zeros((256, 256), bool)
+        for i, n in enumerate(names):
+            if not (self.sp.is_byte(i) or self.sp.is_control(i) or self.sp.is_unknown(i)):
+                signs = [c.encode() for c in n.replace("▁", " ")]
+                for x, y in zip(signs, signs[1:]):
+                    self.joined[x[-1], y[0]] = True
+        end = ord(self.AFTER)
+        self.cuts = not (self.joined[:32, 32].any() or self.joined[33:, 32].any()
+                         or self.joined[end].any() or self.joined[:, end].any())
+        self.skip = len(self.sp.encode(self.AFTER))
         self.token_bytes = [bytes([int(n[3:5], 16)]) if self.sp.is_byte(i) else n.replace("▁", " ").encode()
                             for i, n in enumerate(names)]
 
     def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """As ``ByteLevel.encode``."""
-        return _flat(self.sp.encode([c[1:].decode("utf-8", "replace") for c in chunks], num_threads=1))
+        texts = [c.decode("utf-8", "replace") for c in chunks]
+        if not self.cuts:
+            return _flat(self.sp.encode([t[1:] for t in texts], num_threads=1))
+        return _flat([ids[self.skip:] for ids in self.sp.encode([self.AFTER + t for t in texts], num_threads=1)])
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -187,6 +276,16 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return lens, np.fromiter(chain.from_iterable(lists), np.int64, int(lens.sum()))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: an idle worker would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass                    # a C library without it
+
+
 _LOADED: dict[tuple, object] = {}
 
 

@@ -45,15 +45,17 @@ def test_chunks_encode_as_whole_texts(monkeypatch, segment):
     from tokenizers import Tokenizer
     monkeypatch.setattr(word_chunks, "SEGMENT", segment)
     sp = sentencepiece.SentencePieceProcessor(model_file=B)
-    texts = [t for _, t in TEXTS] + ["".join(RND.choice(" ab'\n é数▁0.") for _ in range(RND.randrange(60))) for _ in range(1500)]
+    texts = [t for _, t in TEXTS] + ["".join(RND.choice(" ab's\né数▁0.,×́") for _ in range(RND.randrange(60))) for _ in range(3000)]
+    texts += ["".join(RND.choice(["a", " ", "\n", "<|endoftext|>", "!", "7", "|>", "'s"]) for _ in range(12)) for _ in range(800)]
     one = Tokenizer.from_file(A)
-    for kind, tok, want in (
-            ("a", word_chunks.ByteLevel(A, False), lambda t: one.encode(t, add_special_tokens=False).ids),
-            ("b", word_chunks.Pieces(B), sp.encode)):
+    whole = lambda t: one.encode(t, add_special_tokens=False).ids
+    a, b = word_chunks.ByteLevel(A, False), word_chunks.Pieces(B)
+    for kind, tok, want, how in (("a", a, whole, {}), ("a", a, whole, {"fine": True, "whole": a.whole}),
+                                 ("b", b, sp.encode, {}), ("b", b, sp.encode, {"fine": True, "joined": b.joined})):
         assert tok.cuts
         column = pa.array([(" " + t if kind == "b" and t else t) for t in texts], pa.string())
         got = [[] for _ in texts]
-        for row, counts, codes, chunks, _ in word_chunks.segments(column):
+        for row, counts, codes, chunks, _ in word_chunks.segments(column, **how):
             (lens, ids), at = tok.encode(chunks), 0
             ends = np.cumsum(lens)
             for j, c in enumerate(counts):
@@ -185,7 +187,7 @@ def test_alignment_of_a_text_over_many_segments(monkeypatch):
             al = alignment.Aligner(A, B, texts=False)
             known, keys = word_chunks.Remembered(al), []
             numbers = np.zeros(4, np.int64)
-            for _, counts, codes, chunks, _ in word_chunks.segments(pa.array([" " + text]), al.cuts):
+            for _, counts, codes, chunks, _ in word_chunks.segments(pa.array([" " + text]), **al.how):
                 places = known(chunks)
                 k, _, found = alignment._document_pairs(counts, codes, known, places)
                 keys.append(k[found])
