@@ -36,9 +36,18 @@ def serving_pairs(records: DataFrame, *, missing_serving: str = "drop",
 
     ``keep`` names input columns carried to the output (e.g. ``file_ts``).
     """
+    reps = _reports(records, which=which, value=value, serving_field=serving_field, keep=keep)
+    rows = (_report_pairs(reps, missing_serving)
+            .select(*keep, "serving_cell", "s", F.explode_outer("_meas").alias("_m"))
+            .where(F.col("_m").isNotNull()))
+    return rows.select(*keep, "serving_cell", F.col("_m")["cell"].alias("neighbor_cell"),
+                       "s", F.col("_m")["rsrp"].alias("n"))
+
+
+def _report_pairs(reps: DataFrame, missing_serving: str) -> DataFrame:
+    """Reports with ``s`` and ``_meas``, the measurements that pair with it."""
     if missing_serving not in MISSING:
         raise ValueError(f"missing_serving must be one of {MISSING}")
-    reps = _reports(records, which=which, value=value, serving_field=serving_field, keep=keep)
     srv = F.col("serving_cell")
     found = D.serving_value(F.col("meas"), srv)
     meas = F.col("meas")
@@ -57,12 +66,31 @@ def serving_pairs(records: DataFrame, *, missing_serving: str = "drop",
         # a row filter on ``s`` would be pushed below the generator and
         # re-evaluate the whole decode there.
         meas = F.when(D.valid_serving(F.col("s")), meas)
-    rows = (reps.withColumn("_meas", meas)
-            .select(*keep, "report_pos", "serving_cell", "s", F.explode_outer("_meas").alias("_m"))
-            .where(F.col("_m").isNotNull()))
-    pairs = rows.select(*keep, "serving_cell", F.col("_m")["cell"].alias("neighbor_cell"),
-                        "s", F.col("_m")["rsrp"].alias("n"))
-    return pairs
+    return reps.withColumn("_meas", meas)
+
+
+def pairs_and_damage(records: DataFrame, *, by: str, missing_serving: str = "drop", which: str = "all",
+                     serving_field: int = L.SERVING_FIELD, value: str = "value") -> DataFrame:
+    """The pairs of ``serving_pairs`` and, among them, one row per record that counts it for its ``by``
+    (a file's time, say): ``by, serving_cell, neighbor_cell, s, n, records, damaged``.  Rows of pairs have no
+    ``by`` and 0 records, rows of records no pair.  One decode serves both, and one aggregation by
+    ``by`` and pair ends in the statistics of the pairs and the counts of each ``by``."""
+    reps = _reports(records, which=which, value=value, serving_field=serving_field, keep=(by,), marks=True)
+    of = records.schema[by].dataType
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def row(group, serving, neighbor, s, n, counted, bad):
+        return F.struct(group.alias(by), serving.alias("serving_cell"), neighbor.alias("neighbor_cell"), s.alias("s"),
+                        n.alias("n"), counted.alias("records"), bad.alias("damaged"))
+
+    found = F.transform(F.coalesce(F.col("_meas"), F.slice("meas", 1, 0)), lambda m: row(
+        F.lit(None).cast(of), F.col("serving_cell"), m["cell"], F.col("s"), m["rsrp"], none, none))
+    mark = F.array(row(F.col(by), text, text, number, number, one, F.col("record_error").cast("long")))
+    found = F.coalesce(found, F.slice(mark, 1, 0))
+    rows = _report_pairs(reps, missing_serving).select(
+        F.when(F.col("first"), F.concat(found, mark)).otherwise(found).alias("_rows"))
+    return rows.select(F.explode_outer("_rows").alias("_r")).where(F.col("_r").isNotNull()).select("_r.*")
 
 
 def serving_pairs_tabular(df: DataFrame, *, report: str, cell: str, value: str,

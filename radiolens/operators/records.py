@@ -30,7 +30,8 @@ def fields(df: DataFrame, field_map: Mapping[str, tuple[int, str]] | None = None
 
 
 def reports(df: DataFrame, *, which: str = "all", value: str = "value",
-            serving_field: int = L.SERVING_FIELD, keep: tuple[str, ...] | None = None) -> DataFrame:
+            serving_field: int = L.SERVING_FIELD, keep: tuple[str, ...] | None = None,
+            marks: bool = False) -> DataFrame:
     """One row per measurement report of each record.
 
     Adds ``serving_cell`` (from ``serving_field``), ``report_pos`` and
@@ -39,8 +40,12 @@ def reports(df: DataFrame, *, which: str = "all", value: str = "value",
     (the older decoder).  Records without payload yield no rows.
 
     ``keep`` names the columns carried along; without it, all but the line and its
-    ``fields``.  A record is cut into its reports in-row, and a report's row holds
-    its own tokens only, so a record costs what its text costs however many reports it has.
+    ``fields``.  A record is cut into its reports' measurements in-row, and a report's row holds
+    its own only, so a record costs what its text costs however many reports it has.
+
+    ``marks`` keeps a row, without measurements, of records that have no report, and adds ``first`` (true
+    on one row of each record) and ``record_error`` (damage anywhere in the record, as in
+    ``parse_errors``), so records and damage can be counted from the same rows as the reports.
     """
     if which not in ("all", "first"):
         raise ValueError("which must be 'all' or 'first'")
@@ -57,19 +62,26 @@ def reports(df: DataFrame, *, which: str = "all", value: str = "value",
         spans = F.slice(spans, 1, 1)
     # without tokens a payload is not well-formed
     bad = F.col("_has") & (F.col("_tokens").isNull() | ~F.col("_walk")["ok"] | F.col("serving_cell").isNull())
-    rec = rec.select(*keep, "serving_cell", bad.alias("parse_error"), D.report_tokens(F.col("_tokens"), spans).alias("_reports"))
+    raw = F.transform(D.report_tokens(F.col("_tokens"), spans), lambda t: D.typed(D.split_measurements(t)))
+    rec = rec.select(*keep, "serving_cell", bad.alias("parse_error"), raw.alias("_reports"))
+    carried = [*keep, "serving_cell", "parse_error"]
+    if marks:
+        wrong = F.coalesce(F.exists("_reports", D.bad_rsrp), F.lit(False))
+        rec = rec.withColumn("record_error", F.col("parse_error") | wrong)
+        carried.append("record_error")
     # The _outer generator keeps Spark from inferring a size() filter that
     # would be pushed below this projection and re-run the walk there.
-    exploded = rec.select(*keep, "serving_cell", "parse_error",
-                          F.posexplode_outer("_reports").alias("report_pos", "_report")) \
-                  .where(F.col("report_pos").isNotNull())
+    exploded = rec.select(*carried, F.posexplode_outer("_reports").alias("report_pos", "_raw"))
+    if marks:
+        exploded = exploded.withColumn("first", F.coalesce(F.col("report_pos") == 0, F.lit(True)))
+    else:
+        exploded = exploded.where(F.col("report_pos").isNotNull())
     return (exploded
-            .withColumn("_raw", D.typed(D.split_measurements(F.col("_report"))))
-            .withColumn("parse_error", F.col("parse_error") | D.bad_rsrp(F.col("_raw")))
+            .withColumn("parse_error", F.col("parse_error") | F.coalesce(D.bad_rsrp(F.col("_raw")), F.lit(False)))
             .withColumn("_use", D.usable(F.col("_raw")))
             .withColumn("_cells", D.by_cell(F.col("_use")))
             .withColumn("meas", D.last_wins(F.col("_cells")))
-            .drop("_report", "_raw", "_use", "_cells"))
+            .drop("_raw", "_use", "_cells"))
 
 
 def parse_errors(df: DataFrame, *, value: str = "value",

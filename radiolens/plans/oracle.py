@@ -191,6 +191,10 @@ SQL["damaged_records"] = """SELECT l_orderkey AS record_id,
        l_orderkey % 7 IN (1, 2, 3, 5) AS parse_error
 FROM lineitem"""
 
+SQL["windowed_damage"] = f"""SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS file_day, count(*) AS records,
+       count(CASE WHEN l_orderkey % 7 IN (1, 2, 3, 5) THEN 1 END) AS damaged
+FROM lineitem WHERE true {_months('l_shipdate')} GROUP BY 1"""
+
 SQL["decode_fields"] = f"""WITH {RECORDS}
 SELECT o AS record_id, 6::INTEGER AS version, cell3 AS serving_cell_v0,
        '+00:00' AS tz_offset, strftime(day0, '%m:%d') AS month_day,
@@ -234,7 +238,11 @@ SQL["replace_partition"] = f"""WITH {_STATS_CTE},
 syn AS (SELECT serving_cell, neighbor_cell, {STATS_COLS} FROM syn_p GROUP BY serving_cell, neighbor_cell)
 {_long('syn', 1, 1)}
 UNION ALL
-{_long('st', 1, 2)}"""
+{_long('st', 1, 2)}
+UNION ALL
+{_long('st', 1, 2)}
+UNION ALL
+{_long('st', 2, 1)}"""
 
 SQL["edges"] = f"WITH RECURSIVE {GRAPH}\nSELECT src, dst, cnt, total FROM e"
 SQL["nodes"] = f"WITH RECURSIVE {GRAPH}\nSELECT node FROM v"
@@ -264,6 +272,24 @@ SQL["scan_json"] = """SELECT doc_id AS post_id, lang, 'u' || doc_id AS author,
        CASE WHEN n_chars % 2 = 0 THEN source END AS mention_name
 FROM documents"""
 
+SQL["scan_posts"] = """SELECT doc_id AS post_id, text, lang, 1400000000 + doc_id * 3600 AS created,
+       n_chars % 7 AS retweet_count, n_chars % 5 AS favorite_count,
+       '{"type":"Point","coordinates":[' || n_chars % 90 || ',' || n_chars % 180 || ']}' AS coordinates,
+       doc_id AS user_id, 'u' || doc_id AS author, n_chars * 3 AS followers, lang AS user_lang,
+       n_chars % 2 = 0 AS verified, CASE WHEN n_chars % 3 = 0 THEN 3600::BIGINT END AS utc_offset,
+       CASE WHEN n_chars % 2 = 0 THEN '0-' || length(lang) || ':' || lang || ' 5-' || n_chars || ':' || source ELSE '' END AS hashtags,
+       CASE WHEN n_chars % 3 = 0 THEN '1-2:' || source ELSE '' END AS user_mentions,
+       CASE WHEN n_chars % 5 = 0 THEN n_chars || '-' || (n_chars + 1) || ':http://y.example/u' || doc_id ELSE '' END AS urls,
+       CASE WHEN n_chars % 4 = 0 THEN doc_id END AS retweeted_id,
+       CASE WHEN n_chars % 4 = 0 THEN 'orig' END AS retweeted_author,
+       CASE WHEN n_chars % 4 = 0 THEN reverse(source) END AS retweeted_text
+FROM documents WHERE doc_id % 13 <> 0"""
+
+SQL["damaged_posts"] = """SELECT count(*) AS lines, count(CASE WHEN doc_id % 13 = 0 THEN 1 END) AS damaged FROM documents"""
+
+SQL["sorted_files"] = f"""WITH {_STATS_CTE}
+SELECT serving_cell, neighbor_cell, cnt, row_number() OVER (ORDER BY serving_cell, neighbor_cell) AS place FROM st"""
+
 SQL["stream_pair_sums"] = f"""WITH {_pairs()},
 t AS (SELECT id, epoch(date_trunc('hour', day0 + to_milliseconds((pk * 60000) % 86400000)))::BIGINT AS window_start
       FROM r)
@@ -305,7 +331,8 @@ lg AS ({_long('st', 1, 1)})
 SELECT kind, measured_cell_1, measured_cell_2,
        '(' || case_id || ', ' || rnp_simulation_id || ', {_Q}' || kind || '{_Q}, {_Q}' || cell
        || '{_Q}, {_Q}' || measured_cell_1 || '{_Q}, {_Q}' || measured_cell_2 || '{_Q}, '
-       || value::VARCHAR || ', ' || cnt || ')' AS line
+       || CASE WHEN regexp_matches(printf('%.12g', value), '[.en]') THEN printf('%.12g', value)
+               ELSE printf('%.12g', value) || '.0' END || ', ' || cnt || ')' AS line
 FROM lg"""
 
 SQL["record_times"] = f"""WITH {RECORDS}

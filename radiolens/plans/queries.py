@@ -43,7 +43,8 @@ def _spread(df: DataFrame) -> DataFrame:
     goes round-robin to all of them, as its records would lie in many files;
     anything larger is read as it is split, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df.select(F.spark_partition_id().alias("p")).distinct().count()     # reads no column
+    return df.repartition(cores) if splits < cores else df
 
 
 def _records(spark: SparkSession, sf: str, **kw) -> DataFrame:
@@ -182,17 +183,32 @@ def q_windowed_field_stats(spark, sf):
     return _single(moments.default_field_stats(rec))
 
 
-def q_damaged_records(spark, sf):
-    """Records damaged in six ways: reports that survive and the error flag,
-    also where no report survives."""
+def _damaged(rec: DataFrame, *keep: str) -> DataFrame:
+    """The records with payloads damaged in six ways, some of them sound."""
     kind = F.col("l_orderkey") % 7
     payload = (F.when(kind == 0, F.lit("[999999999;0;c;5;|")).when(kind == 1, F.lit("[1;0;c;30d;|"))
                .when(kind == 2, F.lit("[1;0;c;30;")).when(kind == 3, F.lit("[1;0;c;30;;x;0;c;30;|"))
                .when(kind == 4, F.lit("|")).otherwise(F.lit("[1;0;c;30;|")))
     fixed = D.fixed_part(F.col("value"))
     head = F.when(kind == 5, F.substring_index(fixed, L.FIELD_SEP, 12)).otherwise(fixed)
-    rec = _records(spark, sf).select("l_orderkey", F.concat(head, payload).alias("value"))
-    return records.parse_errors(rec).select(F.col("l_orderkey").alias("record_id"), "n_reports", "parse_error")
+    return rec.select("l_orderkey", *keep, F.concat(head, payload).alias("value"))
+
+
+def q_damaged_records(spark, sf):
+    """Records damaged in six ways: reports that survive and the error flag,
+    also where no report survives."""
+    return records.parse_errors(_damaged(_records(spark, sf))).select(
+        F.col("l_orderkey").alias("record_id"), "n_reports", "parse_error")
+
+
+def q_windowed_damage(spark, sf):
+    """Records and damaged records per file of a time window, counted in the pass that makes the
+    window's statistics."""
+    path = staging_path(spark, "damaged-files")
+    rec, slices = _monthly(spark, sf)
+    landing.land(_damaged(rec, "file_month"), path, key="file_month", slices=slices)
+    _, damage = windowed.windowed_with_damage(spark, path, RECORD_START, RECORD_MINUTES)
+    return damage.select(F.date_format("file_ts", "yyyy-MM-dd").alias("file_day"), "records", "damaged")
 
 
 def q_decode_fields(spark, sf):
@@ -257,21 +273,34 @@ def q_report_text(spark, sf):
 
 
 def q_replace_partition(spark, sf):
-    """Write cases (1,1) and (1,2), replace (1,1) with other statistics, read
-    the table back."""
+    """Write cases (1,1), (1,2), (2,1) and (2,2) at once; replace (1,1) by other statistics and
+    (2,2), which has none, in one write; add to (1,2); read the table back (K3)."""
     path = staging_path(spark, "long-table")
-    stats = _tab_stats(spark, sf)
-    for rnp in (1, 2):
-        sinks.replace_case(sinks.to_long(stats, 1, rnp), path, 1, rnp)
+    stats = staging_path(spark, "replace-stats")
+    _tab_stats(spark, sf).write.parquet(stats)
+    stats = spark.read.parquet(stats)
+    cases = [(1, 1), (1, 2), (2, 1), (2, 2)]
+    rows = sinks.to_long(stats, *cases[0])
+    for c in cases[1:]:
+        rows = rows.unionByName(sinks.to_long(stats, *c))
+    sinks.replace_cases(rows, path, cases)
     syn = moments.pair_stats(pairs.synthetic_pairs(_synthetic(spark, sf), offset=0.0, clamp=False))
-    sinks.replace_case(sinks.to_long(syn, 1, 1), path, 1, 1, overwrite=True)
+    sinks.replace_cases(sinks.to_long(syn, 1, 1), path, [(1, 1), (2, 2)])
+    sinks.replace_cases(sinks.to_long(stats, 1, 2), path, [(1, 2)], overwrite=False)
     return sinks.read_long_table(spark, path)
 
 
 # --- graph ----------------------------------------------------------------------
 
+def _stored_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """The pair statistics as a table written once: the graph reads it several times."""
+    path, stats = staging_path(spark, "graph-stats"), _tab_stats(spark, sf)
+    stats.write.parquet(path)
+    return spark.read.schema(stats.schema).parquet(path)
+
+
 def q_edges(spark, sf):
-    return graph.interference_edges(_tab_stats(spark, sf), threshold=GRAPH_THRESHOLD)
+    return graph.interference_edges(_stored_stats(spark, sf), threshold=GRAPH_THRESHOLD)
 
 
 def q_nodes(spark, sf):
@@ -279,7 +308,7 @@ def q_nodes(spark, sf):
 
 
 def _components(spark, sf):
-    stats = _tab_stats(spark, sf).cache()
+    stats = _stored_stats(spark, sf)
     e = graph.interference_edges(stats, threshold=GRAPH_THRESHOLD)
     n = graph.nodes(stats)
     return n, e, graph.components(n, e)
@@ -328,6 +357,56 @@ def q_scan_points(spark, sf):
     return tables.read_points(spark, path, header=True)
 
 
+def _posts(docs: DataFrame) -> Column:
+    """A document as the JSON line of a post with every pinned field; every 13th line is cut in the middle."""
+    n, who = F.col("n_chars"), F.concat(F.lit("u"), F.col("doc_id").cast("string"))
+    span = lambda a, b: F.array(a.cast("bigint"), b.cast("bigint")).alias("indices")
+    some = lambda cond, *items: F.when(cond, F.array(*items)).otherwise(F.slice(F.array(*items), 1, 0))
+    core = [F.col("doc_id").alias("id"), F.col("text"), F.col("lang"),
+            F.concat(F.lit("Wed "), F.date_format(F.timestamp_seconds(1400000000 + F.col("doc_id") * 3600), "MMM dd HH:mm:ss"),
+                     F.lit(" +0000 2014")).alias("created_at"),
+            (n % 7).alias("retweet_count"), (n % 5).alias("favorite_count"),
+            F.struct(F.lit("Point").alias("type"), F.array(n % 90, n % 180).alias("coordinates")).alias("coordinates"),
+            F.struct(F.col("doc_id").alias("id"), who.alias("screen_name"), (n * 3).alias("followers_count"), F.col("lang"),
+                     (n % 2 == 0).alias("verified"), F.when(n % 3 == 0, F.lit(3600)).alias("utc_offset")).alias("user"),
+            F.struct(
+                some(n % 2 == 0, F.struct(F.col("lang").alias("text"), span(F.lit(0), F.length("lang"))),
+                     F.struct(F.col("source").alias("text"), span(F.lit(5), n))).alias("hashtags"),
+                some(n % 3 == 0, F.struct(n.alias("id"), F.col("source").alias("screen_name"), span(F.lit(1), F.lit(2)))
+                     ).alias("user_mentions"),
+                some(n % 5 == 0, F.struct(F.lit("http://x.example/").alias("url"), F.concat(F.lit("http://y.example/"), who)
+                                          .alias("expanded_url"), span(n, n + 1))).alias("urls")).alias("entities")]
+    again = F.when(n % 4 == 0, F.struct(F.col("doc_id").alias("id"), F.reverse("source").alias("text"),
+                                        F.struct(F.lit("orig").alias("screen_name")).alias("user")))
+    line = F.to_json(F.struct(*core, again.alias("retweeted_status")))
+    return F.when(F.col("doc_id") % 13 == 0, F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))).otherwise(line)
+
+
+def _post_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = staging_path(spark, "post-lines")
+    docs = spark.read.parquet(table_path(sf, "documents"))
+    docs.select(_posts(docs).alias("value")).write.text(path)
+    return tables.read_posts(spark, path)
+
+
+def q_scan_posts(spark, sf):
+    """Documents written as whole nested posts, some lines damaged, and read back with the pinned schema: every
+    column of every post (S5)."""
+    return tables.post_rows(_post_file(spark, sf))
+
+
+def q_damaged_posts(spark, sf):
+    """How many of the same lines are no post."""
+    return tables.damaged_lines(_post_file(spark, sf))
+
+
+def q_sorted_files(spark, sf):
+    """Pair statistics written in files of one total order, and each row's place when they are read (O1)."""
+    path = staging_path(spark, "sorted")
+    sinks.write_sorted(_tab_stats(spark, sf), path, moments.PAIR_KEYS, files=8)
+    return sinks.read_places(spark, path).select(*moments.PAIR_KEYS, "cnt", "place")
+
+
 def q_scan_json(spark, sf):
     """Documents written as nested JSON posts, read back with the pinned
     schema; one row per (post, mention)."""
@@ -469,6 +548,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "windowed_synthetic": q_windowed_synthetic,
     "windowed_field_stats": q_windowed_field_stats,
     "damaged_records": q_damaged_records,
+    "windowed_damage": q_windowed_damage,
     "decode_fields": q_decode_fields,
     "measurements": q_measurements,
     "record_times": q_record_times,
@@ -486,6 +566,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_window": q_file_window,
     "scan_points": q_scan_points,
     "scan_json": q_scan_json,
+    "scan_posts": q_scan_posts,
+    "damaged_posts": q_damaged_posts,
+    "sorted_files": q_sorted_files,
     "stream_pair_sums": q_stream_pair_sums,
     "stream_late_rows": q_stream_late_rows,
     "stream_with_batch": q_stream_with_batch,

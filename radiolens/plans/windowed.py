@@ -9,6 +9,7 @@ statistics are stored in the shared folder and every output reads that table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..operators import graph, moments, pairs, sinks
@@ -33,6 +34,23 @@ def windowed_cell_statistics(spark: SparkSession, path: str | list[str], start:
     return stats.orderBy(*moments.PAIR_KEYS) if sort else stats
 
 
+def windowed_with_damage(spark: SparkSession, path: str | list[str], start: str, minutes: int, *,
+                         time_from: str = "file_name", **options) -> tuple[DataFrame, DataFrame]:
+    """``(statistics, damage)`` over the files of a window of real records: the pair statistics, and per file time
+    its ``records`` and how many of them are ``damaged``.  Both come from one scan, one decode and one
+    aggregation, stored once."""
+    recs = rsrc.read_records(spark, path, start=start, minutes=minutes, time_from=time_from)
+    rows = pairs.pairs_and_damage(recs, by="file_ts", **options)
+    stored = staging_path(spark, "cell-statistics")
+    (rows.groupBy("file_ts", *moments.PAIR_KEYS)
+     .agg(*moments.state_columns(), F.sum("records").alias("records"), F.sum("damaged").alias("damaged"))
+     .write.parquet(stored))
+    table = spark.read.parquet(stored)
+    # files of the window have a time, so rows without one are pairs
+    return (moments.finalize_partials(table.where(F.col("file_ts").isNull())),
+            table.where(F.col("file_ts").isNotNull()).select("file_ts", "records", "damaged"))
+
+
 def write_outputs(stats: DataFrame, out_dir: str, *, case_id: int, rnp_id: int,
                   table: str | None = None, overwrite: bool = True) -> None:
     """Text report and tuple export under ``out_dir``; with ``table``, the

@@ -37,6 +37,80 @@ def test_tuple_lines(spark):
     assert "(1, 2, 'MeanServer', 'a', 'a', 'b', -96.0, 3)" in lines
 
 
+def test_tuple_digits(spark):
+    """Lines written out by hand, and random values against the C format of 12 digits."""
+    import math
+    import random
+    import struct
+
+    from pyspark.sql import functions as F
+
+    hand = [(8.0 / 3, "2.66666666667"), (0.1 + 0.2, "0.3"), (-96.0, "-96.0"), (1e11, "100000000000.0"),
+            (123456789012.0, "123456789012.0"), (999999999999.5, "1e+12"), (1e12, "1e+12"), (0.0001, "0.0001"),
+            (1234567890123.0, "1.23456789012e+12"), (0.00001, "1e-05"), (1.5e-300, "1.5e-300"), (-0.0, "-0.0"), (0.0, "0.0"),
+            (float("inf"), "inf"), (9.9999999999995, "10.0"), (0.5, "0.5"), (2.5e-05, "2.5e-05"), (1e100, "1e+100")]
+    rnd = random.Random(2)
+    many = [rnd.gauss(0, 1) * 10 ** rnd.randint(-9, 16) for _ in range(2000)]
+    many += [struct.unpack("<d", rnd.randbytes(8))[0] for _ in range(2000)] + [k / 16 + 1e8 for k in range(200)]
+    many = [x for x in many if math.isfinite(x)]
+
+    def c_text(x):
+        t = f"{x:.12g}"
+        return t if any(c in t for c in ".en") else t + ".0"
+
+    df = spark.createDataFrame([(x,) for x in [*(x for x, _ in hand), *many]], "x double")
+    got = [(r.x, r.t) for r in df.select("x", sinks.short_double(F.col("x")).alias("t")).collect()]
+    for x, t in got[len(hand):]:
+        assert t == c_text(x), (x, t)
+    assert [t for _, t in got[:len(hand)]] == [t for _, t in hand]
+    assert spark.createDataFrame([(float("nan"),), (None,)], "x double").select(
+        sinks.short_double(F.col("x")).alias("t")).collect() == [("nan",), (None,)]
+
+
+def test_replace_cases_all_or_nothing(spark, tmp_dir):
+    """Several cases in one write; a job that fails half-way leaves every case as it was."""
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = f"{tmp_dir}/long"
+    st = _stats(spark, [("a", "b", 44.0, 42.0, 1.0, 0.5, 2.0, 3)])
+    two = _stats(spark, [("a", "b", 44.0, 42.0, 1.0, 0.5, 2.0, 3), ("a", "c", 4.0, 2.0, 1.0, 0.5, 2.0, 1)])
+
+    def counts():
+        t = sinks.read_long_table(spark, path)
+        return {(r[0], r[1]): r[2] for r in t.groupBy("case_id", "rnp_simulation_id").count().collect()}
+
+    cases = [(1, 1), (1, 2), (2, 1)]
+    every = sinks.to_long(st, 1, 1).unionByName(sinks.to_long(st, 1, 2)).unionByName(sinks.to_long(st, 2, 1))
+    sinks.replace_cases(every.unionByName(sinks.to_long(st, 9, 9)), path, cases)
+    assert counts() == {c: 5 for c in cases}
+    late = sinks.to_long(two, 1, 1).unionByName(sinks.to_long(two, 1, 2)).repartition(2)
+    bad = late.withColumn("value", F.when(F.col("measured_cell_2") == "c", F.raise_error(F.lit("half-way")).cast("double"))
+                          .otherwise(F.col("value")))
+    with pytest.raises(Exception, match="half-way"):
+        sinks.replace_cases(bad, path, cases)
+    assert counts() == {c: 5 for c in cases}
+    # (2, 1) has no new rows and is cleared, (1, 2) is not named and stays
+    sinks.replace_cases(late, path, [(1, 1), (2, 1)])
+    assert counts() == {(1, 1): 10, (1, 2): 5}
+    sinks.replace_cases(late, path, [(1, 1), (1, 2)], overwrite=False)
+    assert counts() == {(1, 1): 20, (1, 2): 15}
+    sinks.replace_cases(late, path, [])
+    assert counts() == {(1, 1): 20, (1, 2): 15}
+    assert not [n for n in os.listdir(path) if n.startswith("_")]
+
+
+def test_sorted_files(spark, tmp_dir):
+    df = spark.range(5000).selectExpr("cast(id * 7919 % 1009 AS string) AS a", "id % 3 AS b", "id")
+    sinks.write_sorted(df, f"{tmp_dir}/sorted", ["a", "b"], files=6)
+    got = [(r.a, r.b) for r in sinks.read_places(spark, f"{tmp_dir}/sorted").orderBy("place").collect()]
+    assert got == sorted(got) and len(got) == 5000
+    places = sinks.read_places(spark, f"{tmp_dir}/sorted").selectExpr("min(place)", "max(place)", "count(DISTINCT place)").first()
+    assert tuple(places) == (1, 5000, 5000)
+
+
 def test_replace_case(spark, tmp_dir):
     path = f"{tmp_dir}/long"
     st = _stats(spark, [("a", "b", 44.0, 42.0, 1.0, 0.5, 2.0, 3)])
