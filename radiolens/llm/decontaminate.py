@@ -14,6 +14,8 @@ is exploded or shuffled; it only ever lets too much through.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +38,6 @@ def run_hashes(ws: Column, k: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def minima(gs: Column, width: int) -> Column:
-    """The smallest hash of every window of ``width`` hashes."""
-    return F.when(F.size(gs) >= width, F.transform(
-        F.sequence(F.lit(1), F.size(gs) - (width - 1)),
-        lambda i: F.array_min(F.slice(gs, i, width)))
-    ).otherwise(F.array().cast("array<bigint>"))
-
-
 def slot(h: Column) -> Column:
     return F.pmod(h, F.lit(SLOTS)).cast("int")
 
@@ -58,18 +52,29 @@ FP = "array<struct<k:int,h:bigint,pos:int,ctx:array<string>>>"
 
 
 def fingerprints(ws: Column, k: int, span: int, within: bytes | None) -> Column:
-    """Structs (k, hash, position, context) of the winnowed runs; with
-    ``within`` only those whose slot is set in the bit table."""
-    none = F.array().cast(FP)
+    """Structs (k, hash, position, context) of the winnowed runs: those that are the smallest of some window they lie in;
+    with ``within`` only those whose slot is set in the bit table.  The work is linear in the text."""
+    none, width = F.array().cast(FP), span - k + 1
+
+    def least(gs: Column, i: Column, g: Column) -> Column:
+        """Some window of ``width`` hashes round place ``i`` has none below ``g``."""
+        whole = lambda j: (i > j) & (i - j + width - 1 <= F.size(gs))
+        tests = [F.when(whole(j), F.array_min(F.slice(gs, F.greatest(i - j, F.lit(1)), width)) >= g).otherwise(F.lit(False))
+                 for j in range(width)]
+        return functools.reduce(lambda x, y: x | y, tests)
+
+    def kept(gs: Column, i: Column) -> Column:
+        g = F.element_at(gs, i)
+        tests = [] if width == 1 else [least(gs, i, g)]
+        if within is not None:
+            tests.insert(0, F.substring(F.lit(within), slot(g) + 1, F.lit(1)) == F.lit(b"\x01"))
+        return functools.reduce(lambda x, y: x & y, tests) if tests else F.lit(True)
 
     def chosen(gs: Column) -> Column:
-        least = F.array_distinct(minima(gs, span - k + 1) if span > k else gs)
-        if within is not None:
-            least = F.filter(least, lambda h: F.substring(F.lit(within), slot(h) + 1, F.lit(1)) == F.lit(b"\x01"))
-        return let(least, lambda m: F.when(F.size(m) == 0, none).otherwise(F.transform(
-            F.filter(F.sequence(F.lit(1), F.size(gs)), lambda i: F.array_contains(m, F.element_at(gs, i))),
+        return F.when(F.size(gs) < width, none).otherwise(F.transform(
+            F.filter(F.sequence(F.lit(1), F.size(gs)), lambda i: kept(gs, i)),
             lambda i: F.struct(F.lit(k).alias("k"), F.element_at(gs, i).alias("h"), i.alias("pos"),
-                               context(ws, i, k, span - k).alias("ctx")))))
+                               context(ws, i, k, span - k).alias("ctx"))))
 
     return let(run_hashes(ws, k), chosen)
 

@@ -15,6 +15,7 @@ read once, and only these reports are shuffled.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,9 @@ END = 50256                      # fixed value: the identifier left free by that
 #: Fixed value: the vocabulary's published splitting pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Runs of white space (of the pattern's kind) too long for the pattern's matcher, which recurses over them.
+LONG_BLANK = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{4096,}")
+
 _ENCODERS: dict[str, object] = {}
 
 
@@ -43,6 +47,18 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+def encode(enc, text: str) -> list[int]:
+    """The text's tokens.  A long run of white space is taken out as the pattern would take it: all of it at the
+    end of the text, else all but its last character, which goes with what follows."""
+    out, at = [], 0
+    for run in LONG_BLANK.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += enc.encode_ordinary(text[at:run.start()])
+        out += enc._encode_single_piece(text[run.start():end])
+        at = end
+    return out + enc.encode_ordinary(text[at:])
+
+
 def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       tokenizer: str = TOKENIZER, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
     """``(blocks, manifest)``: ``file, block, data`` and ``file, place, _id``, both written to
@@ -75,7 +91,7 @@ def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             for _, buf, offsets in text_chunks(b.column(1)):
                 raw = buf.tobytes()
                 for lo, hi in zip(offsets[:-1], offsets[1:]):
-                    t = enc.encode_ordinary(raw[lo:hi].decode("utf-8", "replace"))
+                    t = encode(enc, raw[lo:hi].decode("utf-8", "replace"))
                     t.append(END)
                     held.append(np.array(t, np.uint16))
                     n += len(t)
@@ -134,7 +150,8 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id, ``n_tokens``.
 
     Null and empty texts have 0 tokens; repeated rows are documents of their own.  The
-    texts are written as token files, and counted from those alone.
+    texts are written as token files, and counted from those alone.  Very long texts straddle blocks; a long
+    run of white space is one piece, as in the pattern.  An empty table gives no rows.
     """
     blocks, manifest = write_token_files(docs, id_col, text_col, tokenizer, block_tokens)
     return manifest.join(scan_counts(blocks), ["file", "place"]).select(F.col("_id").alias(id_col), "n_tokens")

@@ -250,3 +250,27 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.toxicity(docs, none).where("predicted = 1").count() == 0
     assert toxicity.toxicity(empty, none).count() == 0
     assert toxicity.without_toxic(d, weights).columns == d.columns
+
+
+def test_token_counts_of_long_blanks(spark):
+    """Runs of white space beyond what the splitting pattern's matcher can take."""
+    texts = [" " * 1_000_000, "x" + "\n" * 200_000 + " y", "a" + " " * 5000, "z " * 5000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_files.token_counts(rows).collect()}
+    from tokenizers import Tokenizer
+    from radiolens.llm.queries import vocabulary
+    same = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))       # the same vocabulary
+    assert got == {i: len(same.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_decontamination_of_long_texts(spark):
+    """A long item and a long document: the shared stretch is hit, and time stays in proportion to the length."""
+    import time
+    item = [f"i{n * 7919 % 60013}" for n in range(60_000)]
+    doc = [f"d{n}" for n in range(20_000)] + item[30_000:30_400] + [f"e{n}" for n in range(20_000)]
+    docs = spark.createDataFrame([(1, " ".join(doc)), (2, " ".join(doc[:9]))], "doc_id long, text string")
+    its = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    t0 = time.time()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.decontaminate(docs, its).collect()}
+    assert got == {1: (40_400, 400, 1), 2: (9, 0, 0)}
+    assert time.time() - t0 < 60
