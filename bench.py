@@ -33,6 +33,7 @@ HEADLINE = [
     "report_text",
     "edges",
     "components",
+    "components_low_threshold",   # a graph with edges at sf0.1
     "file_window",
     "windowed_stats",        # E1 from record files of a window
     "windowed_field_stats",

@@ -5,8 +5,8 @@
 
 START is ``yyyy-mm-dd.HH_MM``; files whose name time lies in
 [START, START + MINUTES] are read.  Writes the text report, the tuple export
-and the component summary under OUT, replaces the (case, rnp) rows of TABLE,
-and prints the graph counts.
+and the component summary under OUT, with the damaged records per file of real records,
+replaces the (case, rnp) rows of TABLE, and prints the graph counts.
 """
 
 from __future__ import annotations
@@ -34,8 +34,11 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("radiolens").getOrCreate()
-    stats = windowed.windowed_cell_statistics(
-        spark, a.directory, a.start, a.minutes, fmt="synthetic" if a.synthetic else "real")
+    if a.synthetic:
+        stats = windowed.windowed_cell_statistics(spark, a.directory, a.start, a.minutes, fmt="synthetic")
+    else:
+        stats, damage = windowed.windowed_with_damage(spark, a.directory, a.start, a.minutes)
+        damage.orderBy("file_ts").write.mode("overwrite").csv(f"{a.out}/damage", header=True)
     windowed.write_outputs(stats, a.out, case_id=a.case, rnp_id=a.rnp, table=a.table,
                            overwrite=not a.append)
     _, _, summary, counts = windowed.interference_clusters(stats, threshold=a.threshold)

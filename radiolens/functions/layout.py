@@ -21,7 +21,7 @@ BEARER_COUNT_FIELD = 173
 BEARER_FIRST_FIELD = 234
 BEARER_WIDTH = 36
 MIN_FIELDS_FIELD_STATS = 253
-FILE_TIME_FORMAT = "yyyy-MM-dd.HH_mm"   # file name prefix, e.g. 2014-03-26.17_12
+FILE_TIME_FORMAT = "yyyy-MM-dd.HH_mm"   # file name prefix, e.g. 2031-05-09.06_41
 
 # Long export: statistic kinds in output order.
 STAT_KINDS = ["MeanServer", "MeanNeighbor", "VarianceServer",

@@ -247,6 +247,7 @@ UNION ALL
 SQL["edges"] = f"WITH RECURSIVE {GRAPH}\nSELECT src, dst, cnt, total FROM e"
 SQL["nodes"] = f"WITH RECURSIVE {GRAPH}\nSELECT node FROM v"
 SQL["components"] = f"WITH RECURSIVE {GRAPH}\nSELECT node, component FROM comp"
+SQL["components_low_threshold"] = SQL["components"].replace("0.025::DOUBLE", "0.015::DOUBLE")
 SQL["component_summary"] = f"""WITH RECURSIVE {GRAPH},
 nn AS (SELECT component, count(*) AS n_nodes FROM comp GROUP BY component),
 ec AS (SELECT comp.component, count(*) AS n_edges FROM ue JOIN comp ON ue.a = comp.node

@@ -60,3 +60,17 @@ def test_damage_counted_with_the_statistics(spark, tmp_dir):
         plain = windowed.windowed_cell_statistics(spark, src, "2031-05-09.06_41", 2, missing_serving=missing)
         assert sorted(map(tuple, stats.collect())) == sorted(map(tuple, plain.collect()))
         assert sorted((r.file_ts.minute, r.records, r.damaged) for r in damage.collect()) == [(41, 4, 2), (43, 3, 1)]
+
+
+def test_command_line(spark, tmp_dir):
+    from radiolens.__main__ import main
+
+    src = f"{tmp_dir}/records"
+    os.makedirs(src)
+    with open(os.path.join(src, "2031-05-09.06_41"), "w") as f:
+        f.write("\n".join(record_line(serving="A", payload=p) for p in ("[2;7;A;40;1;8;B;30;1|", "[1;7;A;4x;1|")) + "\n")
+    main([src, "2031-05-09.06_41", "0", "--out", f"{tmp_dir}/out", "--table", f"{tmp_dir}/table", "--case", "2"])
+    assert spark.read.text(f"{tmp_dir}/out/report").count() == 2
+    damage = spark.read.option("header", True).csv(f"{tmp_dir}/out/damage").collect()
+    assert [(r.records, r.damaged) for r in damage] == [("2", "1")]
+    assert {r.case_id for r in sinks.read_long_table(spark, f"{tmp_dir}/table").collect()} == {2}
