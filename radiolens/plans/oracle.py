@@ -286,7 +286,8 @@ SQL["scan_posts"] = """SELECT doc_id AS post_id, text, lang, 1400000000 + doc_id
        CASE WHEN n_chars % 4 = 0 THEN reverse(source) END AS retweeted_text
 FROM documents WHERE doc_id % 13 <> 0"""
 
-SQL["damaged_posts"] = """SELECT count(*) AS lines, count(CASE WHEN doc_id % 13 = 0 THEN 1 END) AS damaged FROM documents"""
+SQL["damaged_posts"] = """SELECT count(*) AS lines, count(CASE WHEN doc_id % 13 = 0 THEN 1 END) AS damaged,
+       max(CASE WHEN doc_id % 13 <> 0 THEN doc_id END) AS last_post FROM documents"""
 
 SQL["sorted_files"] = f"""WITH {_STATS_CTE}
 SELECT serving_cell, neighbor_cell, cnt, row_number() OVER (ORDER BY serving_cell, neighbor_cell) AS place FROM st"""

@@ -101,9 +101,11 @@ def post_rows(posts: DataFrame) -> DataFrame:
 
 
 def damaged_lines(posts: DataFrame) -> DataFrame:
-    """The number of lines that are no post, as ``lines, damaged``."""
+    """The number of lines, of those that are no post, and the largest identifier of the posts:
+    ``lines, damaged, last_post``."""
     # Spark does not read the corrupt-record column alone
-    return posts.select(F.count(F.struct("id")).alias("lines"), F.count(CORRUPT).alias("damaged"))
+    return posts.select(F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("damaged"),
+                        F.max(F.when(F.col(CORRUPT).isNull(), F.col("id"))).alias("last_post"))
 
 
 def post_mentions(posts: DataFrame) -> DataFrame:
