@@ -322,7 +322,7 @@ GROUP BY t.window_start, serving_cell, neighbor_cell"""
 # Variances do not change when all values move, so the expected ones come from the values as they are.
 SQL["rollup_large_values"] = f"""WITH {TAB_PAIRS}
 SELECT serving_cell, neighbor_cell, """ + ", ".join(
-    f"floor({e} * 100 + 0.1234567891::DOUBLE)::BIGINT AS {k}" for k, e in [
+    f"floor({e} * 10 + 0.6180339887::DOUBLE)::BIGINT AS {k}" for k, e in [
         ("var_s", VAR(C, "sum(s * s)", "sum(s)")), ("cov_sn", COV(C, "sum(s * n)", "sum(s)", "sum(n)")),
         ("var_n", VAR(C, "sum(n * n)", "sum(n)"))]) + """, count(*) AS cnt
 FROM p GROUP BY serving_cell, neighbor_cell"""

@@ -516,10 +516,10 @@ def q_stream_late_rows(spark, sf):
         max_files_per_trigger=FILES_PER_BATCH * slices))
 
 
-def hundredths(x) -> Column:
-    """A value in hundredths, counted from an offset that no small fraction meets, so that values equal
-    but for rounding give the same number."""
-    return F.floor(x * 100 + F.lit(0.1234567891)).cast("bigint")
+def tenths(x) -> Column:
+    """A value in tenths, counted from an offset far from small fractions (the golden ratio's), so that values
+    equal but for rounding give the same number."""
+    return F.floor(x * 10 + F.lit(0.6180339887)).cast("bigint")
 
 
 def q_rollup_large_values(spark, sf):
@@ -532,7 +532,7 @@ def q_rollup_large_values(spark, sf):
     path = staging_path(spark, "large-partials")
     moments.pair_partials(p, by=["year"]).write.parquet(path)
     stats = moments.finalize_partials(moments.merge_partials(spark.read.parquet(path)))
-    return stats.select(*moments.PAIR_KEYS, *[hundredths(F.col(c)).alias(c) for c in ("var_s", "cov_sn", "var_n")], "cnt")
+    return stats.select(*moments.PAIR_KEYS, *[tenths(F.col(c)).alias(c) for c in ("var_s", "cov_sn", "var_n")], "cnt")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
