@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from . import layout as L
 
 SPAN_TYPE = "array<struct<start:int,n:int>>"
-WALK_RUN = 512            # reports appended to before a run is put aside
+WALK_BLOCK = 512          # tokens whose reports are gathered apart
 
 
 def fixed_part(value: Column) -> Column:
@@ -107,35 +107,41 @@ def report_walk(tokens: Column) -> Column:
     """Walk the counted report groups of a payload.
 
     Each report is ``n`` followed by ``n`` measurements of 4 tokens.  A fold
-    over the token indices keeps ``(next, ok, runs, spans)``: at ``i = next`` the
+    over the token indices keeps ``(next, ok, heads)``: at ``i = next`` the
     count is read and ``(i, n)`` appended.  A count that is not a number or
     is negative stops the walk with ``ok = false``; reports before it stay.
-    ``spans`` is put aside as a run once it is long, so an append copies no more than a run and
-    the walk stays linear in the payload.  Returns ``struct<next, ok, spans>``.
+    Returns ``struct<next, ok, spans>``.
+
+    Spark copies what a fold keeps at every step.  So the reports of a block of tokens are gathered by a fold of
+    their own, as one number each, and added to those before once per block.
     """
-    none = F.array().cast(SPAN_TYPE)
-    init = F.struct(F.lit(0).alias("next"), F.lit(True).alias("ok"),
-                    F.array().cast(f"array<{SPAN_TYPE}>").alias("runs"), none.alias("spans"))
+    size = F.size(tokens)
+    none = F.array().cast("array<bigint>")
+
+    def state(next_: Column, ok: Column, heads: Column) -> Column:
+        return F.struct(next_.alias("next"), ok.alias("ok"), heads.alias("heads"))
 
     def step(acc: Column, i: Column) -> Column:
         cnt = _count(tokens, i)
         at_head = acc["ok"] & (i == acc["next"])
         bad = cnt.isNull() | (cnt < 0)
-        stop = F.struct(acc["next"].alias("next"), F.lit(False).alias("ok"),
-                        acc["runs"].alias("runs"), acc["spans"].alias("spans"))
-        full = F.size(acc["spans"]) >= WALK_RUN
-        one = F.array(F.struct(i.alias("start"), cnt.alias("n")))
-        take = F.struct((i + 1 + cnt * L.MEAS_WIDTH).alias("next"), F.lit(True).alias("ok"),
-                        F.when(full, F.concat(acc["runs"], F.array(acc["spans"]))).otherwise(acc["runs"]).alias("runs"),
-                        F.when(full, one).otherwise(F.concat(acc["spans"], one)).alias("spans"))
+        stop = state(acc["next"], F.lit(False), acc["heads"])
+        head = F.shiftleft(i.cast("bigint"), 32) + cnt
+        take = state(i + 1 + cnt * L.MEAS_WIDTH, F.lit(True), F.concat(acc["heads"], F.array(head)))
         return F.when(~at_head, acc).when(bad, stop).otherwise(take)
 
+    def block(acc: Column, b: Column) -> Column:
+        places = F.sequence(b * WALK_BLOCK, F.least((b + 1) * WALK_BLOCK, size) - 1)
+        return F.aggregate(places, state(acc["next"], acc["ok"], none), step,
+                           lambda own: state(own["next"], own["ok"], F.concat(acc["heads"], own["heads"])))
+
     def finish(acc: Column) -> Column:
-        return F.struct(acc["next"].alias("next"), acc["ok"].alias("ok"),
-                        F.concat(F.flatten(acc["runs"]), acc["spans"]).alias("spans"))
+        return F.struct(acc["next"].alias("next"), acc["ok"].alias("ok"), F.transform(acc["heads"], lambda h: F.struct(
+            F.shiftright(h, 32).cast("int").alias("start"), h.bitwiseAND(0xFFFFFFFF).cast("int").alias("n"))).alias("spans"))
 
-    idx = F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    walk = F.aggregate(F.slice(idx, 1, F.size(tokens)), init, step, finish)
+    # a payload has one token at least
+    blocks = F.sequence(F.lit(0), F.greatest(F.floor((size - 1) / F.lit(float(WALK_BLOCK))), F.lit(0)).cast("int"))
+    walk = F.aggregate(blocks, state(F.lit(0), F.lit(True), none), block, finish)
     # Fast path, same result: when the first count's report reaches the end
     # of the payload, there is exactly one report and no fold is needed.
     n0 = _count(tokens, F.lit(0))
