@@ -34,6 +34,7 @@ from .common import text_chunks
 SEGMENT = 1 << 20          # text bytes handled at once: bounds the arrays of a task
 KEPT_CHUNKS = 200_000      # distinct chunks and bytes of them a task remembers before it starts anew
 KEPT_BYTES = 16 << 20
+LINE = 1 << 12             # bytes of chunks that are encoded as one text
 
 _LEAD2 = np.zeros(256, bool)
 _LEAD2[0xC3:0xE0] = True               # two-byte characters but U+0080..U+00BF
@@ -232,10 +233,30 @@ class ByteLevel:
         size = self.tok.get_vocab_size()
         names = [self.tok.id_to_token(i) or "" for i in range(size)]
         self.token_bytes = [n.encode() if i in special else bytes(alphabet[c] for c in n) for i, n in enumerate(names)]
+        self.lens = np.fromiter(map(len, self.token_bytes), np.int64, size)
 
     def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """``(lens, ids)``: how many identifiers each chunk has, and all of them in order."""
-        got = self.tok.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
+        """``(lens, ids)``: how many identifiers each chunk has, and all of them in order.
+
+        A text costs much beside its words, so chunks that may stand side by side (a text would be cut between
+        them) are encoded as one text, and its tokens' bytes tell whose they are."""
+        if not self.cuts or len(chunks) < 2:
+            return self._texts(chunks)
+        text, size = b"".join(chunks), np.fromiter(map(len, chunks), np.int64, len(chunks))
+        ends = np.cumsum(size)
+        may = np.zeros(len(text) + 1, bool)
+        may[cut_places(np.frombuffer(text, np.uint8), True, self.whole)] = True
+        line = np.flatnonzero(~may[ends] | (ends // LINE != (ends - size) // LINE))     # the last chunks of lines
+        stops = ends[line]
+        n, ids = self._texts([text[lo:hi] for lo, hi in zip([0, *stops[:-1].tolist()], stops.tolist())])
+        reach = np.concatenate([[0], np.cumsum(self.lens[ids])])
+        at = np.searchsorted(reach, ends)
+        if (reach[np.cumsum(n)] != stops).any() or (reach[at] != ends).any():
+            return self._texts(chunks)      # tokens that are not their text's bytes
+        return np.diff(at, prepend=0), ids
+
+    def _texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.tok.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return _flat([e.ids for e in got])
 
 
