@@ -274,3 +274,23 @@ def test_component_too_large_is_an_error(spark):
     df = spark.createDataFrame([(1, [1e30] * 64)], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="64 bits"):
         centroids.centroid_clusters(df)
+
+
+def test_chunks_share_texts(monkeypatch):
+    """Chunks that may stand side by side go to the tokenizer as one text, with the same identifiers."""
+    for specials_as_text in (False, True):
+        a = word_chunks.ByteLevel(A, specials_as_text)
+        texts = [t for _, t in TEXTS] + ["".join(RND.choice(["a", " ", "\n", "<|endoftext|>", "!", "7", "|>", "<|", "'s", "é"])
+                                                 for _ in range(12)) for _ in range(800)]
+        asked, alone = [], a._texts
+        monkeypatch.setattr(a, "_texts", lambda texts: asked.append(len(texts)) or alone(texts))
+        for _, _, _, chunks, _ in word_chunks.segments(pa.array(texts, pa.string()), fine=True, whole=a.whole):
+            lens, ids = a.encode(chunks)
+            want_lens, want_ids = alone(chunks)
+            assert (lens == want_lens).all() and (ids == want_ids).all()
+            assert len(asked) == 1 and asked.pop() < len(chunks) / 2
+
+
+def test_distinct():
+    for values in ([], [3], [5, 1, 5, 2, 1]):
+        assert alignment.distinct(np.array(values, np.int64)).tolist() == sorted(set(values))
