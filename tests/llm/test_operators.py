@@ -274,3 +274,25 @@ def test_decontamination_of_long_texts(spark):
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.decontaminate(docs, its).collect()}
     assert got == {1: (40_400, 400, 1), 2: (9, 0, 0)}
     assert time.time() - t0 < 60
+
+
+def test_suffix_dedup_moves_little(docs):
+    """A pick travels as 4 bytes and its document's key, once per document; a hash in pieces is that of the whole;
+    the texts go through one exchange for both joins."""
+    import numpy as np
+    import pyarrow as pa
+
+    t = LONG.encode()
+    buf, offsets = np.frombuffer(t + t[:400] * 2, np.uint8), np.array([0, len(t), len(t) + 800])
+    _, _, pick, text = suffix_dedup.picks(buf, offsets)
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6]), pa.array([t.decode(), (t[:400] * 2).decode()])], ["_key", "_text"])
+    for bits in (0, 3):
+        got = [r for b in suffix_dedup._announce(bits)(iter([batch])) for r in b.to_pylist()]
+        pairs = [(r["shard"] << 32 | c, k) for r in got for c, k in
+                 zip(np.frombuffer(r["codes"], np.uint32).tolist(), np.frombuffer(r["keys"], np.int64).tolist())]
+        assert len(pairs) == len(set(pairs))
+        assert set(pairs) == {(int(p) >> (32 - bits), 5 + int(d)) for p, d in zip(pick, text)}
+    begin = np.arange(0, 3 * suffix_dedup.PIECE, 70)
+    many = np.frombuffer(np.random.default_rng(1).bytes(int(begin[-1]) + 70), np.uint8)
+    whole = suffix_dedup.span_hash(suffix_dedup.prefix_hash(many, lower=False), begin, begin + 70)
+    assert (suffix_dedup.stretch_hash(many, begin, np.full(len(begin), 70)) == whole).all()
