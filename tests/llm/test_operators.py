@@ -296,3 +296,77 @@ def test_suffix_dedup_moves_little(docs):
     many = np.frombuffer(np.random.default_rng(1).bytes(int(begin[-1]) + 70), np.uint8)
     whole = suffix_dedup.span_hash(suffix_dedup.prefix_hash(many, lower=False), begin, begin + 70)
     assert (suffix_dedup.stretch_hash(many, begin, np.full(len(begin), 70)) == whole).all()
+
+
+def test_suffix_dedup_rows_follow_pieces(spark):
+    """What shards send back is one row per piece, not per document; copies are announced and compared once per piece;
+    shards are alike in size."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    words = rng.permutation(90000).astype(str)
+    texts = [" ".join(words[i * 300:(i + 1) * 300]) for i in range(300)]
+    both = " ".join(words[:200])
+    piece = pa.table({"_key": pa.array(range(300)), "_id": pa.array(range(300)), "_text": [both + " " + x for x in texts]})
+    bits = 4
+    told = [suffix_dedup._announce_piece(bits)((pa.scalar(p),), piece) for p in (0, 1)]
+    sizes = [len(x) // 4 for x in told[0]["codes"].to_pylist()]
+    assert len(sizes) == 16 and max(sizes) < 1.2 * min(sizes)
+    alone = [suffix_dedup._shared((pa.scalar(s),), told[0].slice(s, 1)) for s in range(16)]
+    assert [len(x) for x in alone] == [1] * 16                       # 300 documents share picks
+    shared = pa.concat_tables(alone)
+    sent = suffix_dedup._stretches(bits)((pa.scalar(0),), piece, shared)
+    _, _, pick, _ = suffix_dedup.picks(np.frombuffer(both.encode(), np.uint8), np.array([0, len(both)]))
+    n = sum(sent["n"].to_pylist())
+    assert len(sent) == 16 and len(pick) <= n < len(pick) + 2 * 300 + 100     # 300 copies once, their ends apart
+    ids, start, code, count, text = suffix_dedup._unpacked(*(sent[c][0].as_py() for c in ("n", "size")), sent["packed"][0])
+    assert (np.diff(start) > 0).all() and (np.diff(ids) >= 0).all() and len(text) == (count + 49).sum()
+
+
+def test_suffix_dedup_covered_bytes():
+    """Bits of all stretches at once, as byte by byte."""
+    import time
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    start, mask = rng.choice(4900, 60, replace=False), rng.integers(0, 1 << 35, 60).astype(np.uint64)
+    want = np.zeros(5000, bool)
+    for s, m in zip(start.tolist(), mask.tolist()):
+        for j in range(35):
+            if m >> j & 1:
+                want[s + j:s + j + 50] = True
+    assert (suffix_dedup.covered_bytes(5000, start, mask) == want).all()
+    many = np.arange(0, 3_000_000, 40)
+    t0 = time.time()
+    assert suffix_dedup.covered_bytes(3_000_200, many, np.full(len(many), 1, np.uint64)).sum() == 2999960 + 50
+    assert time.time() - t0 < 5
+
+
+def test_suffix_dedup_among_pieces(spark):
+    """Copies, near copies, equal identifiers and repeated rows in several pieces, against brute force."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    parts = ["".join(rng.choice(list("ab cdé"), 90)) for _ in range(12)]
+    rows = [(int(i) if i else None, "".join(parts[k] for k in rng.integers(0, 12, 4)) + str(n % 7))
+            for n, i in enumerate(rng.integers(0, 40, 60))]
+    rows += rows[:5] + [(-3, parts[0])]
+    last, first = 1 << 62, {}
+    raw = [(last if i is None else i, t.encode()) for i, t in rows]
+    for i, b in raw:
+        for j in range(len(b) - 49):
+            first[b[j:j + 50]] = min(i, first.get(b[j:j + 50], last))
+    want = []
+    for (i, b), (doc, _) in zip(raw, rows):
+        gone = bytearray(len(b))
+        for j in range(len(b) - 49):
+            if first[b[j:j + 50]] < i:
+                gone[j:j + 50] = b"\1" * 50
+        spans = sum(1 for j in range(len(b)) if gone[j] and (j == 0 or not gone[j - 1]))
+        want.append((doc, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard_bytes in (1 << 20, 3000):
+        got = [tuple(r) for r in suffix_dedup.suffix_dedup(docs, shard_bytes=shard_bytes).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
