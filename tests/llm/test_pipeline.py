@@ -12,7 +12,7 @@ from radiolens.llm.common import read_table, staged
 @pytest.mark.parametrize("name", sorted(Q.SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = Q.QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
