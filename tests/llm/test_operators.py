@@ -370,3 +370,38 @@ def test_suffix_dedup_among_pieces(spark):
     for shard_bytes in (1 << 20, 3000):
         got = [tuple(r) for r in suffix_dedup.suffix_dedup(docs, shard_bytes=shard_bytes).collect()]
         assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_suffix_dedup_hot_pick_in_bounded_memory(monkeypatch):
+    """One pick in many different surroundings, some windows of which repeat: the bits are those of brute force, and the
+    arrays do not hold a suffix array over all of them."""
+    import tracemalloc
+
+    import numpy as np
+
+    abc = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz ", np.uint8)
+
+    def stretches(n, ends):
+        rng = np.random.default_rng(6)
+        side = [abc[rng.integers(0, 27, (ends, 32))][rng.integers(0, ends, n)] for _ in "lr"]
+        text = np.concatenate([side[0], np.tile(abc[:20], (n, 1)), side[1]], axis=1).ravel()
+        return np.full(n, 9, np.uint64), np.arange(n), rng.integers(0, n // 2, n), np.full(n, 35), text
+
+    pick, key, doc, count, text = stretches(400, 30)
+    least = {}
+    for i in range(400):
+        for j in range(35):
+            w = text[84 * i + j:84 * i + j + 50].tobytes()
+            least[w] = min(doc[i], least.get(w, 400))
+    want = [sum(int(least[text[84 * i + j:84 * i + j + 50].tobytes()] < doc[i]) << j for j in range(35)) for i in range(400)]
+    assert suffix_dedup.covered(pick, key, doc, count, text).tolist() == want
+    for block in (1 << 7, 1 << 12):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        assert suffix_dedup.covered(pick, key, doc, count, text).tolist() == want
+    monkeypatch.undo()
+    many = stretches(30000, 700)
+    tracemalloc.start()
+    suffix_dedup.covered(*many)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50 * len(many[-1])
