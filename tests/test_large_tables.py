@@ -1,10 +1,12 @@
 """Steps that were rewritten for large tables give what the plainer ones gave."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, record_line
+from radiolens import session
 from radiolens.functions import decode as D
 from radiolens.operators import records
 from radiolens.plans import queries
@@ -58,3 +60,60 @@ def test_state_settings_are_put_back(spark, tmp_dir):
     before = {k: spark.conf.get(k, None) for k in pair_sums.STORED_STATE}
     pair_sums.run_available(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", window="1 hour", watermark="1 hour")
     assert {k: spark.conf.get(k, None) for k in pair_sums.STORED_STATE} == before
+
+
+def test_landing_moves_rows_and_renders_where_it_writes(spark, tmp_dir):
+    """Rows are dealt and sorted before their lines are made, null and blank months included; the lines are those of rendering first."""
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").withColumn("file_month", F.when(F.col("l_orderkey") % 50 == 0, F.lit(None))
+        .when(F.col("l_orderkey") % 50 == 1, F.lit("")).otherwise(render.file_month(F.col("l_shipdate"))))
+    seen = []
+
+    def lines(rows):
+        seen.append(rows)
+        return render.call_records(rows, keep=("file_month",))
+
+    names = landing.land(li, f"{tmp_dir}/in", key="file_month", slices=3, render=lines, by=queries.ROW_KEY)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [file_month" in plan and "RepartitionByExpression" in plan and "value" not in seen[0].columns
+    assert not seen[0].schema["file_month"].nullable          # so the writer does not sort the lines again
+    want = sorted((r.value, r.file_month) for r in render.call_records(li, keep=("file_month",)).where("file_month != ''").collect())
+    got = spark.read.text(f"{tmp_dir}/in").select("value", F.substring_index(F.col("_metadata.file_name"), ".", 2).alias("m"))
+    assert sorted((r.value, r.m) for r in got.collect()) == want
+    # as before, rows without a month are landed under a name that readers pass over
+    assert {n.split(".")[0] for n in names} == {m[:10] for _, m in want} | {landing.NO_KEY}
+
+
+def test_log_of_a_stream_is_small_and_read_without_a_sort(spark, tmp_dir):
+    rows = [("2031-05-09 00:00:00", "2031-05-09 01:00:00", "A", c, b, 1.0 * b, 2.0, 3.0, 4.0, 5.0, 0.0, 0.0, 0.0, True)
+            for b in (0, 1, 10) for c in "BC"]
+    log = spark.createDataFrame(rows, "window_start string, window_end string, serving_cell string, neighbor_cell string, batch_id long, "
+                                      "sum_s double, sum_n double, sum_ss double, sum_sn double, sum_nn double, m2_s double, "
+                                      "c_sn double, m2_n double, quarters boolean")
+    newest = pair_sums.latest(log)
+    assert sorted((r.neighbor_cell, r.sum_s, r.quarters) for r in newest.collect()) == [("B", 10.0, True), ("C", 10.0, True)]
+    plan = newest.select("serving_cell", "sum_s")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "sum_nn" not in plan.split("Scan")[0]
+
+
+def test_shuffles_of_finished_jobs_go(spark, tmp_dir, monkeypatch):
+    """Their files go when asked for, not when the driver happens to collect garbage; a stream asks in every batch."""
+    def held():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return blocks.mkString(" ").count("shuffle_")
+
+    session.drop_shuffles(spark)
+    for n in range(5):
+        spark.range(1000).repartition(7).write.parquet(f"{tmp_dir}/rows{n}")
+    most = held()
+    assert most > 0
+    session.drop_shuffles(spark)
+    until = time.time() + 20
+    while held() >= most and time.time() < until:
+        time.sleep(0.1)
+    assert held() < most
+    asked = []
+    monkeypatch.setattr(pair_sums, "drop_shuffles", asked.append)
+    lines = [record_line(serving="A", payload="[1;7;A;40;1|", fields={5: "03:26", 6: "2014", 8: "61200000"})] * 3
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(3).write.text(f"{tmp_dir}/in")
+    pair_sums.run_available(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", window="1 hour", watermark="1 day")
+    assert len(asked) >= 3
