@@ -9,7 +9,7 @@ from conftest import SF_SMALL, record_line
 from radiolens import session
 from radiolens.functions import decode as D
 from radiolens.operators import records
-from radiolens.plans import queries
+from radiolens.plans import partial_store, queries
 from radiolens.sources import landing, render
 from radiolens.streaming import pair_sums
 
@@ -117,3 +117,20 @@ def test_shuffles_of_finished_jobs_go(spark, tmp_dir, monkeypatch):
     spark.createDataFrame([(x,) for x in lines], "value string").repartition(3).write.text(f"{tmp_dir}/in")
     pair_sums.run_available(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", window="1 hour", watermark="1 day")
     assert len(asked) >= 3
+
+
+def test_store_writes_its_rows_once(spark, tmp_dir, monkeypatch):
+    """A run of the store writes its rows in one job, old rows of the same day with them, and nothing beside the store."""
+    made = []
+    monkeypatch.setattr(session, "staging_path", lambda *a: made.append(a))
+    monkeypatch.setattr(partial_store, "staging_path", lambda *a: made.append(a), raising=False)
+    src, store = f"{tmp_dir}/in", f"{tmp_dir}/store"
+    os.makedirs(src)
+    for n, value in enumerate((10, 20, 40)):
+        with open(f"{src}/2031-05-08.06_0{n}", "w") as f:
+            f.write(record_line(serving="A", payload=f"[1;7;A;{value};1|") + "\n")
+        assert partial_store.update(spark, src, store) == 1
+    assert not made
+    row = partial_store.statistics(spark, store).first()
+    assert (row.cnt, row.mean_s) == (3, 70 / 3)
+    assert partial_store.partials(spark, store).count() == 3
