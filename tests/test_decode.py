@@ -173,3 +173,21 @@ def test_plans_split_a_record_once(spark):
         with contextlib.redirect_stdout(text):
             plan.explain("formatted")
         assert text.getvalue().count("split(") == 1
+
+
+def test_payload_is_cut_with_one_split(spark):
+    """The line is split once, at the first ``[``; a record is well-formed if that comes before the first ``|``."""
+    lines = ["6;a[1;b|", "6;a[1;b", "6;a|[1;b|", "6;a|", "6;a", "", "[|", "[", "|", "x[1[2|3[4|", "x[;;|", "x[|y|", "é;ü[1;ß|", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
+    got = D.payload_columns(df, "value", "i")
+    assert got.columns == ["i", "_has", "_tokens"]
+
+    def want(v):
+        if v is None:
+            return None, None
+        p, q = v.find("["), v.find("|")
+        return p >= 0, v[p + 1:q].split(";") if 0 <= p < q else None
+
+    assert [(r._has, r._tokens) for r in got.orderBy("i").collect()] == [want(v) for v in lines]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring_index(") == 1 and "substring_index(_rest" in plan
