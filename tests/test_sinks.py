@@ -147,3 +147,30 @@ def test_replaced_cases_keep_pairs_together(spark, tmp_dir, monkeypatch):
         files.setdefault((r.case_id, r.rnp_simulation_id, r.file), []).append((r.measured_cell_1, r.measured_cell_2))
     assert len(rows) == kept and {f[:2] for f in files} == {(1, 1), (1, 2), (2, 1)}
     assert all(pairs == sorted(pairs) for pairs in files.values())
+
+
+def test_cases_are_written_side_by_side(spark, tmp_dir, monkeypatch):
+    """Rows of several cases in one task are not sorted by case, also where there are more cases than open files; files are zstd."""
+    import contextlib
+    import os
+
+    used, real = [], sinks.setting
+
+    @contextlib.contextmanager
+    def noted(s, key, value):
+        with real(s, key, value):
+            used.append((key, s.conf.get(key)))
+            yield
+
+    monkeypatch.setattr(sinks, "setting", noted)
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    rows = [(i % 5, 1, "mean", f"c{i}", "a", "b", float(i), i) for i in range(500)]
+    df = spark.createDataFrame(rows, sinks.LONG_SCHEMA).coalesce(2)
+    for n, most in enumerate((16, 2)):
+        monkeypatch.setattr(sinks, "OPEN_CASES", most)
+        path = f"{tmp_dir}/t{n}"
+        sinks.replace_cases(df, path, [(c, 1) for c in range(5)])
+        assert sorted(tuple(r) for r in sinks.read_long_table(spark, path).collect()) == sorted(rows)
+        assert all(f.endswith(".zstd.parquet") for _, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+    assert used == [(key, "16"), (key, "2")] and spark.conf.get(key) == before
